@@ -55,7 +55,7 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _words(buffer: np.ndarray, start: np.ndarray, depth: int) -> np.ndarray:
     """Eight bytes of each string from depth on, as numbers that sort like them. The buffer goes on for long enough."""
-    return buffer[(start + depth)[:, None] + np.arange(8)].view(">u8")[:, 0].astype(np.uint64)
+    return np.lib.stride_tricks.sliding_window_view(buffer, 8)[start + depth].view(">u8")[:, 0].astype(np.uint64)
 
 
 def deep_shallow(buffer: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,17 +142,50 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_pydict({"h": signed(h), "d": ids[i:j].astype(np.int64)[doc], "p": (p - (at[i:j] - at[i])[doc]).astype(np.int32)})
 
 
+def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of anchors sorted by their hash, (d, p, hot) of those that occur again; hot: over HOT times. At most HOT occurrences of
+    one anchor wait for that to be known."""
+    held: list[tuple] = []
+    rows, hottest = 0, None
+
+    def told(h, d, p, whole: bool):
+        """Tells of all runs but, unless whole, the last one; returns what waits."""
+        nonlocal hottest
+        edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        size = np.diff(np.append(edge, len(h)))
+        hot = size > HOT
+        if h[0] == hottest:
+            hot[0] = True
+        stay = 0 if whole or hot[-1] else size[-1]
+        n = np.repeat(size, size)
+        hot_row = np.repeat(hot, size)
+        keep = (n > 1) | hot_row
+        keep[len(h) - stay :] = False
+        hottest = h[-1] if hot[-1] else None
+        return pa.RecordBatch.from_pydict({"d": d[keep], "p": p[keep], "hot": hot_row[keep]}), (h[len(h) - stay :], d[len(h) - stay :], p[len(h) - stay :])
+
+    for batch in batches:
+        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)))
+        rows += batch.num_rows
+        if rows >= 4 * BLOCK:
+            out, wait = told(*(np.concatenate(x) for x in zip(*held, strict=True)), False)
+            yield out
+            held, rows = [wait], len(wait[0])
+    if rows:
+        yield told(*(np.concatenate(x) for x in zip(*held, strict=True)), True)[0]
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each repeated anchor, the bytes of the strings that have it: n strings from lo on, the first off bytes before the
     anchor. Of contexts that are equal within the task's run only the earliest goes on; the others' strings are known to
     repeat and go on as ranges (off -1)."""
     for batch in batches:
-        batch = batch.filter(batch.column(2).is_valid())
+        batch = batch.filter(batch.column(4).is_valid())
         if not batch.num_rows:
             continue
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         data, at = text_buffer(batch.column(1))
-        marks = batch.column(2)
+        marks = batch.column(4)
         flat = marks.flatten()
         to = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(marks).to_numpy(zero_copy_only=False))])
         marked, hot = flat.field("p").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("hot").to_numpy(zero_copy_only=False)
@@ -243,7 +276,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = start[of] + 2 + r
             if room != LENGTH:
                 windows = np.zeros((len(of), room), np.uint8)
-                windows[:, :LENGTH] = buffer[begin[:, None] + np.arange(LENGTH)]
+                windows[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(buffer, LENGTH)[begin]
                 strings, begin = np.append(windows.reshape(-1), np.zeros(16, np.uint8)), np.arange(len(of)) * room
             else:
                 strings = buffer
@@ -260,7 +293,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i = 0
         while i < len(n):
             total = np.cumsum(n[i : i + BLOCK * 2])
-            j = i + max(1, int(np.searchsorted(total, 12 * BLOCK)))
+            j = i + max(1, int(np.searchsorted(total, 4 * BLOCK)))
             while j < len(n) and column[j] == column[j - 1]:
                 j += 1
             yield i, j
@@ -288,7 +321,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, copy, spans, keys = batch.column(0), batch.column(2).to_pylist(), batch.column(3), batch.column(4)
+        ids, copy, keys, spans = batch.column(0), batch.column(2).to_pylist(), batch.column(3), batch.column(4)
         data, at = text_buffer(batch.column(1))
         flat = spans.flatten()
         to = np.concatenate([[0], np.cumsum(np.nan_to_num(pa.compute.list_value_length(spans).to_numpy(zero_copy_only=False)).astype(np.int64))])
@@ -336,13 +369,13 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     copies = hashed.join(first, "_h").filter("_rid > _first").select("_rid", F.lit(True).alias("_copy"))
     dealt = rows.repartition("_rid").join(copies.hint("shuffle_hash"), "_rid", "left").select("_rid", "_bytes", F.coalesce("_copy", F.lit(False)).alias("_copy"), "_key")
 
-    found = dealt.mapInArrow(_find_anchors, "h long, d long, p int").repartition("h")
-    again = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", (F.col("n") > HOT).alias("hot"))
-    marks = found.join(again, "h").groupBy("d").agg(F.collect_list(F.struct("p", "hot")).alias("_marks")).withColumnRenamed("d", "_rid")
-    contexts = dealt.join(marks.hint("shuffle_hash"), "_rid", "left").select("_rid", "_bytes", "_marks").mapInArrow(_contexts, SCHEMA)
+    found = dealt.mapInArrow(_find_anchors, "h long, d long, p int").repartition("h").sortWithinPartitions("h")
+    marks = found.mapInArrow(_again, "d long, p int, hot boolean").groupBy("d").agg(F.collect_list(F.struct("p", "hot")).alias("_marks")).withColumnRenamed("d", "_rid")
+    # The same columns of dealt each time, so that its shuffle is made once.
+    contexts = dealt.join(marks.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_marks").mapInArrow(_contexts, SCHEMA)
     spans = contexts.repartition("h").sortWithinPartitions("h", "d", "lo").mapInArrow(_repeats, "d long, a int, z int")
     spans = spans.groupBy("d").agg(F.collect_list(F.struct("a", "z")).alias("_spans")).withColumnRenamed("d", "_rid")
-    return dealt.join(spans.hint("shuffle_hash"), "_rid", "left").select("_rid", "_bytes", "_copy", "_spans", "_key").mapInArrow(_removed, "_rid long, _key long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return dealt.join(spans.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_spans").mapInArrow(_removed, "_rid long, _key long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
