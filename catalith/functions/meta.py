@@ -68,7 +68,7 @@ def best_labels(labels: Column, least: float, most: int) -> Column:
 
 
 def _line(values: Column) -> Column:
-    return F.array_join(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), F.trim), lambda x: x != ""), " ")
+    return F.array_join(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""), " ")
 
 
 def self_text(summary: Column, keywords: Column, labels: Column) -> Column:
@@ -92,7 +92,7 @@ def embedding_text(summary: Column, keywords: Column, labels: Column) -> Column:
 def about(json: Column) -> Column:
     """The first three entries of a JSON list, trimmed, without blank ones; none of anything else."""
     listed = F.from_json(json, "array<string>")
-    return F.slice(F.filter(F.transform(F.coalesce(listed, F.array().cast("array<string>")), F.trim), lambda x: x != ""), 1, ABOUT_MOST)
+    return F.slice(F.filter(F.transform(F.coalesce(listed, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""), 1, ABOUT_MOST)
 
 
 def composite_version(*parts: Column) -> Column:

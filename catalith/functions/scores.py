@@ -14,7 +14,7 @@ def confidence(value: Column) -> Column:
 def clamped(value: Column) -> Column:
     """Between 0 and 1; 0 for what is missing, unreadable or NaN."""
     x = confidence(value)
-    return F.coalesce(F.when(F.isnan(x), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))), F.lit(0.0))
+    return F.when(x.isNull() | F.isnan(x), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
 
 
 def finite(score: Column) -> Column:

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def with_leader(assets: DataFrame, *, order: tuple[str, ...] = ("created_at", "asset_id")) -> DataFrame:
@@ -68,7 +69,7 @@ def suppress_sequence(frames: DataFrame, *, group: str, order: str, bits: str, v
             kept[over], reason[over] = False, "cap"
         return rows.assign(kept=kept, reason=reason)
 
-    return frames.groupBy(group).applyInPandas(walk, frames.schema.add("kept", "boolean").add("reason", "string"))
+    return frames.groupBy(group).applyInPandas(walk, T.StructType([*frames.schema.fields, T.StructField("kept", T.BooleanType()), T.StructField("reason", T.StringType())]))
 
 
 def close_pairs(rows: DataFrame, *, key: str, bits: str, most: int) -> DataFrame:

@@ -42,7 +42,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, least: float = -1.
         return m / np.linalg.norm(m, axis=1, keepdims=True)
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found: list[tuple] = []
         if len(left) and len(right):
             a = unit(left[vector])
             for value, part in right.groupby(group, sort=False):
@@ -55,8 +55,8 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, least: float = -1.
                     for row, cols in zip(range(len(sims)), top, strict=True):
                         s = sims[row, cols]
                         ok = np.isfinite(s) & (s >= least)
-                        found.append(pd.DataFrame({"query": left["query"].to_numpy()[i + row], "id": ids[cols[ok]], group: value, "similarity": s[ok]}))
-        return pd.concat(found) if found else pd.DataFrame({"query": [], "id": [], group: [], "similarity": []})
+                        found += [(left["query"].iloc[i + row], x, value, y) for x, y in zip(ids[cols[ok]], s[ok], strict=True)]
+        return pd.DataFrame(found, columns=["query", "id", group, "similarity"])
 
     kind = queries.schema[key].dataType.simpleString()
     local = q.groupBy("_q", "_c").cogroup(c.groupBy("_q", "_c")).applyInPandas(best, f"query {kind}, id {corpus.schema[key].dataType.simpleString()}, {group} string, similarity double")

@@ -62,7 +62,7 @@ def page(rows: DataFrame, topic: str, offset: int, limit: int) -> tuple[DataFram
 
 def unknown(requested: DataFrame, active: DataFrame, column: str) -> DataFrame:
     """What is asked for but isn't there: an error's text names all of it."""
-    return requested.select(column).exceptAll(active.select(column)).distinct()
+    return requested.select(column).subtract(active.select(column))
 
 
 def missing_keys(required: DataFrame, registered: DataFrame) -> DataFrame:

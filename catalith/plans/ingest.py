@@ -130,7 +130,7 @@ def cascade_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT doc_id, unnest(range(0, length(text), 500)) AS i, text FROM documents), p AS (SELECT doc_id, substring(text, i + 1, 500) AS t FROM c)
-  SELECT doc_id AS asset_id, CAST(sum(length(t)) AS BIGINT) AS chars, CAST(sum(len(list_filter(regexp_split_to_array(t, '[.!?]+|\\n+'), x -> trim(x) <> ''))) AS BIGINT) AS sentences,
+  SELECT doc_id AS asset_id, CAST(sum(length(t)) AS BIGINT) AS chars, CAST(sum(len(list_filter(regexp_split_to_array(t, '[.!?]+|\\n+'), lambda x: trim(x) <> ''))) AS BIGINT) AS sentences,
   CAST(sum(len(regexp_extract_all(t, '[^\\s]+'))) AS BIGINT) AS tokens, CAST(sum(len(regexp_extract_all(t, '[A-Za-z]'))) AS BIGINT) AS latin FROM p GROUP BY doc_id""")
 def doc_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.document_stats(assets(spark, sf_dir), 500).select("asset_id", "chars", "sentences", "tokens", "latin")
@@ -184,7 +184,7 @@ def merge_ext_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 JUDGE = {"axis_en": {"article": ["the"], "join": ["and", "of"]}, "axis_fr": {"article": ["le", "la"]}}
 
 
-@query(f"WITH {COUNTED}, m AS (SELECT asset_id, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])the($|[^\\p{{L}}\\p{{N}}_])') AS t, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(and|of)($|[^\\p{{L}}\\p{{N}}_])') AS j, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(le|la)($|[^\\p{{L}}\\p{{N}}_])') AS f FROM counted) SELECT asset_id, array_to_string(list_filter([CASE WHEN t THEN 'axis_en/article' END, CASE WHEN j THEN 'axis_en/join' END, CASE WHEN f THEN 'axis_fr/article' END], x -> x IS NOT NULL), ',') AS facets FROM m")
+@query(f"WITH {COUNTED}, m AS (SELECT asset_id, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])the($|[^\\p{{L}}\\p{{N}}_])') AS t, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(and|of)($|[^\\p{{L}}\\p{{N}}_])') AS j, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(le|la)($|[^\\p{{L}}\\p{{N}}_])') AS f FROM counted) SELECT asset_id, array_to_string(list_filter([CASE WHEN t THEN 'axis_en/article' END, CASE WHEN j THEN 'axis_en/join' END, CASE WHEN f THEN 'axis_fr/article' END], lambda x: x IS NOT NULL), ',') AS facets FROM m")
 def facet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = assets(spark, sf_dir)
     out = state.facet_keys(a, classify.lexicon_judge(JUDGE)(a, "text"))

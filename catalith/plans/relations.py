@@ -11,7 +11,7 @@ from catalith.plans.registry import ASSET, assets, query
 from catalith.session import table
 
 EMB = "emb AS (SELECT vec_id // 4 AS asset_id, CAST(vec_id % 4 AS INT) AS chunk_index, CASE WHEN label < 5 THEN 'st' ELSE 'clip' END AS channel, embedding FROM embeddings)"
-COS = "list_sum(list_transform(list_zip({a}, {b}), x -> CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE))) / sqrt(list_sum(list_transform({a}, x -> CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) / sqrt(list_sum(list_transform({b}, x -> CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))"
+COS = "list_sum(list_transform(list_zip({a}, {b}), lambda x: CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE))) / sqrt(list_sum(list_transform({a}, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) / sqrt(list_sum(list_transform({b}, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))"
 PAIRS = f"{EMB}, ids AS (SELECT DISTINCT asset_id FROM emb), pair AS (SELECT a.asset_id AS src, a.asset_id + d AS dst FROM ids a, (VALUES (1), (2), (7)) t(d) WHERE a.asset_id + d IN (SELECT asset_id FROM ids)), best AS (SELECT src, dst, max({COS.format(a='x.embedding', b='y.embedding')}) AS score FROM pair JOIN emb x ON x.asset_id = src JOIN emb y ON y.asset_id = dst AND y.channel = x.channel GROUP BY src, dst), scored AS (SELECT src, dst, coalesce(score, 0.0) AS score FROM pair LEFT JOIN best USING (src, dst))"
 
 
@@ -74,7 +74,7 @@ RAW = f"""{PAIRS}, raw AS (SELECT src, CASE WHEN src % 17 = 0 THEN src ELSE dst
 KIND_ROWS = [("same_event", True), ("part_of", False), ("same_domain", True)]
 KINDS = "kinds AS (SELECT * FROM (VALUES ('same_event', TRUE), ('part_of', FALSE), ('same_domain', TRUE)) t(kind_code, is_symmetric))"
 SKIP = "CASE WHEN src = dst THEN 'self' WHEN kind_code = '' THEN 'no_kind' WHEN kind_code = 'nonsense' THEN 'unknown_kind' WHEN (src, dst) NOT IN (SELECT (src, dst) FROM scored) THEN 'not_allowed' END"
-CONF = "coalesce(greatest(0.0, least(1.0, TRY_CAST(confidence AS DOUBLE))), 0.0)"
+CONF = "CASE WHEN TRY_CAST(confidence AS DOUBLE) IS NULL THEN 0.0 ELSE greatest(0.0, least(1.0, TRY_CAST(confidence AS DOUBLE))) END"
 DECIDED = f"{RAW}, {KINDS}, good AS (SELECT *, {CONF} AS c FROM raw WHERE {SKIP} IS NULL), decided AS (SELECT CASE WHEN is_symmetric THEN least(g.src, g.dst) ELSE g.src END AS src, CASE WHEN is_symmetric THEN greatest(g.src, g.dst) ELSE g.dst END AS dst, g.kind_code, c AS confidence, reason, CASE WHEN g.kind_code <> 'same_domain' AND c >= 0.7 AND s.score >= 0.1 THEN 'active' ELSE 'proposed' END AS status FROM good g JOIN kinds USING (kind_code) JOIN scored s ON s.src = g.src AND s.dst = g.dst)"
 
 
@@ -114,7 +114,7 @@ def edge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.upsert_edges(old, _decided(spark, s))
 
 
-@query(f"WITH {DECIDED} SELECT src, array_to_string(list_transform(list_sort(list(dst)), x -> CAST(x AS VARCHAR)), ',') AS targets FROM decided GROUP BY src")
+@query(f"WITH {DECIDED} SELECT src, array_to_string(list_transform(list_sort(list(dst)), lambda x: CAST(x AS VARCHAR)), ',') AS targets FROM decided GROUP BY src")
 def edge_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = relations.edge_lineage(_decided(spark, _scored(spark, sf_dir)))
     return e.select("src", F.array_join(F.transform("targets", lambda t: t["dst"].cast("string")), ",").alias("targets"))

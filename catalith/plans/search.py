@@ -10,7 +10,7 @@ from catalith.plans.registry import query
 from catalith.plans.relations import COS
 from catalith.session import table
 
-TERMS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), x -> x <> '')"
+TERMS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
 BM25 = f"""q AS (SELECT item_id AS query, unnest(list_distinct({TERMS})) AS term FROM benchmark WHERE item_id < 20), d AS (SELECT doc_id AS id, {TERMS} AS t FROM documents), sized AS (SELECT id, len(t) AS dl FROM d), stats AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM sized),
   tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(t) AS term FROM d) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
   s AS (SELECT query, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 9) AS score FROM q JOIN tf USING (term) JOIN df USING (term) JOIN sized USING (id), stats GROUP BY query, id),
@@ -58,7 +58,7 @@ def fused_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {BM25}, rel AS (SELECT DISTINCT item_id AS query, doc_id AS id FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE item_id < 20), n AS (SELECT query, count(*) AS n FROM rel GROUP BY query), h AS (SELECT lex.*, CAST(rel.id IS NOT NULL AS INT) AS hit FROM lex LEFT JOIN rel USING (query, id)),
   a AS (SELECT query, sum(CASE WHEN rank <= 5 THEN hit END) AS hits, min(CASE WHEN hit = 1 THEN rank END) AS first, sum(CASE WHEN rank <= 5 THEN hit / log2(rank + 1) END) AS dcg, avg(CASE WHEN hit = 0 THEN rank END) AS mean_rank, count(*) FILTER (rank <= 5 AND hit = 0) AS shown FROM h GROUP BY query)
-  SELECT n.query, round(coalesce(hits / n, 0), 6) AS recall, round(coalesce(hits / 5, 0), 6) AS precision, round(coalesce(1 / first, 0), 6) AS mrr, round(coalesce(dcg / list_sum(list_transform(range(1, least(n, 5) + 1), i -> 1 / log2(i + 1))), 0), 6) AS ndcg, round(mean_rank, 6) AS nonrelevant_mean_rank, round(coalesce(shown / 5, 0), 6) AS nonrelevant_exposure FROM n LEFT JOIN a USING (query)""")
+  SELECT n.query, round(coalesce(hits / n, 0), 6) AS recall, round(coalesce(hits / 5, 0), 6) AS precision, round(coalesce(1 / first, 0), 6) AS mrr, round(coalesce(dcg / list_sum(list_transform(range(1, least(n, 5) + 1), lambda i: 1 / log2(i + 1))), 0), 6) AS ndcg, round(mean_rank, 6) AS nonrelevant_mean_rank, round(coalesce(shown / 5, 0), 6) AS nonrelevant_exposure FROM n LEFT JOIN a USING (query)""")
 def search_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark").filter("item_id < 20").select(F.col("item_id").alias("query"), F.col("text").alias("passage"))
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
