@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ WORDS, NUM, DEN = 5, 3, 4
 SMALL = 24
 #: The most frequent shingles, put last in the order of columns; at most so many come to the driver. They change the work, never the result.
 FREQUENT, FREQUENT_FROM = 40_000, 24
+#: Ids that are broadcast to pick their texts, at most; more are joined. Sets in one part of a block that are compared with another part.
+MOST_IDS, PART = 1_000_000, 64
 #: Rows of postings handled at once.
 BLOCK = 400_000
 
@@ -104,7 +107,7 @@ def prefix(n):
 
 
 def _postings(frequent: np.ndarray):
-    """(column, set name, set size, place) of the first columns of each set in the order (frequent, hash), once a task."""
+    """(column, set name, set size) of the first columns of each set in the order (frequent, hash), once a task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -126,8 +129,8 @@ def _postings(frequent: np.ndarray):
             own = np.bincount(d, minlength=len(ids))
             place = np.arange(len(d)) - (np.cumsum(own) - own)[d]
             first = place < prefix(n)[d]
-            d, x, place = d[first], x[first], place[first]
-            yield pa.RecordBatch.from_pydict({"h": signed(x), "k": signed(name)[d], "n": n[d].astype(np.int32), "i": place.astype(np.int32)})
+            d, x = d[first], x[first]
+            yield pa.RecordBatch.from_pydict({"h": signed(x), "k": signed(name)[d], "n": n[d].astype(np.int32)})
 
     return work
 
@@ -138,20 +141,20 @@ def needed(na, nb):
 
 
 def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Products of columns, which come sorted by (column, size, name). Kind 0: (set, set, sizes, shared columns); kind 1:
-    (column, set, size, place) of columns with over SMALL sets, which so far were multiplied with leaders only."""
-    names = ("kind", "a", "b", "na", "nb", "c")
+    """Products of columns, which come sorted by (column, size, name). Kind 0: (set, set, sizes, shared columns, the least of
+    these); kind 1: (column, set, size) of columns with over SMALL sets, which so far were multiplied with leaders only."""
+    names = ("kind", "a", "b", "na", "nb", "c", "h")
     leaders: dict[int, int] = {}  # of a column that is cut: band -> set
     column = None
 
-    def out(kind, a, b, na, nb, c):
-        return pa.RecordBatch.from_pydict(dict(zip(names, (np.full(len(a), kind, np.int32), a, b, na.astype(np.int32), nb.astype(np.int32), c.astype(np.int32)), strict=True)))
+    def out(kind, a, b, na, nb, c, h):
+        return pa.RecordBatch.from_pydict(dict(zip(names, (np.full(len(a), kind, np.int32), a, b, na.astype(np.int32), nb.astype(np.int32), c.astype(np.int32), h), strict=True)))
 
-    def multiply(h, k, n, i, part: bool):
+    def multiply(h, k, n, part: bool):
         nonlocal column, leaders
         again = np.zeros(len(h), bool)
         again[1:] = (h[1:] == h[:-1]) & (k[1:] == k[:-1])
-        h, k, n, i = h[~again], k[~again], n[~again], i[~again]
+        h, k, n = h[~again], k[~again], n[~again]
         edge = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
         size = np.diff(np.append(edge, len(h)))
         cut = size > SMALL
@@ -171,7 +174,7 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = x[DEN * n[x] >= NUM * n[y]], y[DEN * n[x] >= NUM * n[y]]
             left.append(x)
             right.append(y)
-        pairs = [(k[x], k[y], n[x], n[y]) for x, y in zip(left, right, strict=True)]
+        pairs = [(k[x], k[y], n[x], n[y], h[x]) for x, y in zip(left, right, strict=True)]
         for run in np.flatnonzero(cut):
             a, b = edge[run], edge[run] + size[run]
             if column != h[a]:
@@ -182,61 +185,81 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 leaders.setdefault(int(band[f]), (int(k[a + f]), int(n[a + f])))
             lead = np.array([leaders[int(x)] for x in band[first]], np.int64)[np.cumsum(np.append(True, band[1:] != band[:-1])) - 1]
             other = lead[:, 0] != k[a:b]
-            pairs.append((lead[other, 0], k[a:b][other], lead[other, 1].astype(np.int32), n[a:b][other]))
-            yield out(1, h[a:b], k[a:b], n[a:b], i[a:b], np.zeros(b - a))
+            pairs.append((lead[other, 0], k[a:b][other], lead[other, 1].astype(np.int32), n[a:b][other], h[a:b][other]))
+            yield out(1, h[a:b], k[a:b], n[a:b], n[a:b], np.zeros(b - a), h[a:b])
         if pairs:
-            a, b, na, nb = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            a, b, na, nb, g = (np.concatenate(x) for x in zip(*pairs, strict=True))
             swap = a > b
             a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
-            order = np.lexsort((b, a))
-            a, b, na, nb = a[order], b[order], na[order], nb[order]
+            order = np.lexsort((g, b, a))
+            a, b, na, nb, g = a[order], b[order], na[order], nb[order], g[order]
             new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
-            yield out(0, a[new], b[new], na[new], nb[new], np.diff(np.append(new, len(a))))
+            yield out(0, a[new], b[new], na[new], nb[new], np.diff(np.append(new, len(a))), g[new])
 
     held: list[tuple] = []
     rows = 0
     for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(4)))
+        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)))
         rows += batch.num_rows
         if rows >= BLOCK:
-            h, k, n, i = (np.concatenate(x) for x in zip(*held, strict=True))
+            h, k, n = (np.concatenate(x) for x in zip(*held, strict=True))
             last = int(np.searchsorted(h, h[-1]))
             part = last == 0
             last = last or len(h)
-            yield from multiply(h[:last], k[:last], n[:last], i[:last], part)
-            held, rows = [(h[last:], k[last:], n[last:], i[last:])], len(h) - last
+            yield from multiply(h[:last], k[:last], n[:last], part)
+            held, rows = [(h[last:], k[last:], n[last:])], len(h) - last
     if rows:
         yield from multiply(*(np.concatenate(x) for x in zip(*held, strict=True)), False)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b, text, text) whose whole sets link."""
+    """Rows (block, a, b, text), sorted by block: a text of set a where b is null, else a pair of sets whose texts are in the
+    block. Gives the pairs whose whole sets link."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        is_text = pa.compute.is_null(rows["b"])
+        texts, pairs = rows.filter(is_text), rows.filter(pa.compute.invert(is_text))
+        data, at = text_buffer(texts["text"])
+        sets = []
+        for i, j in runs(at):
+            d, x = shingles(data[at[i] : at[j]], at[i : j + 1])
+            sets += np.split(x, np.cumsum(np.bincount(d, minlength=j - i))[:-1])
+        place = {key: i for i, key in enumerate(zip(texts["block"].to_pylist(), texts["a"].to_pylist(), strict=True))}
+        a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
+        ok = np.zeros(len(a), bool)
+        for i, (block, u, v) in enumerate(zip(pairs["block"].to_pylist(), a.tolist(), b.tolist(), strict=True)):
+            x, y = sets[place[block, u]], sets[place[block, v]]
+            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            ok[i] = DEN * shared >= NUM * (len(x) + len(y) - shared)
+        return pa.RecordBatch.from_pydict({"a": a[ok], "b": b[ok]})
+
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-        (left, at), (right, to) = text_buffer(batch.column(2)), text_buffer(batch.column(3))
-        for i, j in runs((at - at[0]) + (to - to[0])):
-            d1, x1 = shingles(left[at[i] : at[j]], at[i : j + 1])
-            d2, x2 = shingles(right[to[i] : to[j]], to[i : j + 1])
-            d, x = np.concatenate([d1, d2]), np.concatenate([x1, x2])
-            order = np.lexsort((x, d))
-            d, x = d[order], x[order]
-            shared = np.bincount(d[1:][(d[1:] == d[:-1]) & (x[1:] == x[:-1])], minlength=j - i)
-            union = np.bincount(d, minlength=j - i) - shared
-            ok = DEN * shared >= NUM * union
-            yield pa.RecordBatch.from_pydict({"a": a[i:j][ok], "b": b[i:j][ok]})
+        held.append(batch)
+        size += batch.nbytes
+        if size > 16 << 20:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            block = rows["block"].to_numpy()
+            cut = int(np.searchsorted(block, block[-1]))
+            if cut:
+                yield work(rows[:cut])
+                held = rows[cut:].to_batches()
+                size = sum(x.nbytes for x in held)
+    if held:
+        yield work(pa.Table.from_batches(held))
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: key, n_shingles, component_id (the smallest key reachable by links, its own included), links (to
-    other sets, as far as they were looked at), first (whether it stands for its component: the smallest key, and the
-    smallest text of those that share it).
+    """One row a document: key, n_shingles, component_id (the smallest key reachable by links, its own included), first
+    (whether it stands for its component: the smallest key, and the smallest text of those that share it).
 
     Documents with equal sets are one row of the matrix. Its columns are ordered, frequent ones last; of each set only its
     first columns can hold the first one that it shares with a set that links with it, and only those are multiplied, block by
     block of columns. Overlaps of pairs are summed over all blocks; a pair goes on if sum and what the sizes leave open reach
-    the least overlap that its sizes need. Whole sets decide. A column of many sets is multiplied with one leader a size band
-    first; then its sets that are in different components by then are multiplied with each other, so no link between
-    components is lost and groups of copies stay linear.
+    the least overlap that its sizes need. Whole sets decide. A column of many sets is multiplied with one leader a size band first; then its sets that are in
+    different components by then are multiplied with each other, so no link between components is lost and groups of copies
+    stay linear.
 
     Null, empty and blank texts have no set, link with nothing and are their own component. 64-bit hashes stand for shingles.
     """
@@ -248,51 +271,58 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     sets = members.filter("kind = 0").select(F.col("x").alias("_rid"), F.col("n").alias("n_shingles"), F.col("y").alias("_k"))
     reps = sets.filter("n_shingles > 0").groupBy("_k").agg(F.min("_rid").alias("_rep"))
 
-    postings = plain.mapInArrow(_postings(late), "h long, k long, n int, i int").repartition("h").sortWithinPartitions("h", "n", "k")
-    made = materialize(postings.mapInArrow(_products, "kind int, a long, b long, na int, nb int, c int"))
-    wide = made.filter("kind = 1").select(F.col("a").alias("h"), F.col("b").alias("k"), F.col("na").alias("n"), F.col("nb").alias("i"))
+    postings = plain.mapInArrow(_postings(late), "h long, k long, n int").repartition("h").sortWithinPartitions("h", "n", "k")
+    made = materialize(postings.mapInArrow(_products, "kind int, a long, b long, na int, nb int, c int, h long"))
+    wide = made.filter("kind = 1").select(F.col("a").alias("h"), F.col("b").alias("k"), F.col("na").alias("n"))
     open_ = wide.groupBy("k").agg(F.count("*").cast("int").alias("w"))
-    pairs = made.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
+    pairs = made.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"), F.min("h").alias("h"))
 
     need, rest = f"ceil({NUM} * (na + nb) / {NUM + DEN}.0)", f"ceil({NUM} * greatest(na, nb) / {DEN}.0) - 1"
     counted = pairs.join(open_.toDF("a", "wa"), "a", "left").join(open_.toDF("b", "wb"), "b", "left")
-    first = materialize(_check(counted.filter(f"c + least(coalesce(wa, 0), coalesce(wb, 0)) + {rest} >= {need}").select("a", "b"), rows, reps))
-    edges = _edges(first, reps)
-    found = components(edges)
-
-    label = reps.join(found.toDF("_rep", "_c"), "_rep", "left").select(F.col("_k").alias("k"), F.coalesce("_c", "_rep").alias("c"))
-    spread = wide.join(label, "k")
-    mixed = spread.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
-    left = materialize(spread.join(mixed, "h", "left_semi").join(open_, "k"))
+    close = counted.filter(f"c + least(coalesce(wa, 0), coalesce(wb, 0)) + {rest} >= {need}").select("a", "b", "h", F.lit(1).alias("m"))
+    edges = materialize(_check(close, rows, reps))
+    label = _labels(reps, components(edges))
+
+    # Columns of many sets: what is in different components by now.
+    spread = wide.join(label.toDF("k", "c"), "k")
+    mixed = spread.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("h", "m")
+    left = materialize(spread.join(mixed, "h"))
     if left.take(1):
-        p = lambda x: f"({x}n - ceil({NUM} * {x}n / {DEN}.0) + 1 - {x}w)"
         on = F.expr(f"x.h = y.h and x.k < y.k and x.c <> y.c and {DEN} * least(x.n, y.n) >= {NUM} * greatest(x.n, y.n)")
-        more = left.alias("x").join(left.alias("y"), on).groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("xn"), F.col("y.n").alias("yn"), F.col("x.w").alias("xw"), F.col("y.w").alias("yw")).agg(F.count("*").alias("s"))
-        more = more.filter(f"s + least({p('x')}, {p('y')}) + ceil({NUM} * greatest(xn, yn) / {DEN}.0) - 1 >= ceil({NUM} * (xn + yn) / {NUM + DEN}.0)")
-        second = materialize(_check(more.select("a", "b"), rows, reps))
-        if second.take(1):
-            edges = edges.union(_edges(second, reps))
-            found = components(edges)
-
-    ends = edges.select(F.explode(F.array("a", "b")).alias("_rep")).groupBy("_rep").agg(F.count("*").alias("links"))
-    of = reps.join(found.toDF("_rep", "_c"), "_rep", "left").join(ends, "_rep", "left").select("_k", F.coalesce("_c", "_rep").alias("_c"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+        met = left.alias("x").join(left.alias("y"), on).groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count("*").alias("s"), F.max(F.struct("x.m", "x.h")).alias("at"))
+        met = met.join(pairs.select("a", "b", "c"), ["a", "b"], "left").filter(f"s + coalesce(c, 0) + {rest} >= {need}")
+        more = materialize(_check(met.select("a", "b", "at.h", "at.m"), rows, reps))
+        if more.take(1):
+            label = _labels(reps, components(edges.union(more)))
+
     keys = rows.select("_rid", "_key")
-    joined = sets.join(of, "_k", "left").withColumn("_c", F.when(F.col("n_shingles") > 0, F.col("_c")).otherwise(F.col("_rid"))).drop("_k")
+    joined = sets.join(label.toDF("_k", "_c"), "_k", "left").withColumn("_c", F.when(F.col("n_shingles") > 0, F.col("_c")).otherwise(F.col("_rid"))).drop("_k")
     joined = joined.join(keys, "_rid").join(keys.toDF("_c", "component_id"), "_c")
-    return joined.select(F.col("_key").alias(key), "n_shingles", "component_id", F.coalesce("links", F.lit(0).cast("long")).alias("links"), (F.col("_rid") == F.col("_c")).alias("first"), "_rid")
+    return joined.select(F.col("_key").alias(key), "n_shingles", "component_id", (F.col("_rid") == F.col("_c")).alias("first"))
 
 
-def _edges(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    return pairs.join(reps.toDF("a", "_a"), "a").join(reps.toDF("b", "_b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+def _labels(reps: DataFrame, found: DataFrame) -> DataFrame:
+    """(set name, smallest document of its component); found: components of set names' edges."""
+    named = reps.join(found.toDF("_k", "_top"), "_k", "left").withColumn("_top", F.coalesce("_top", "_k"))
+    return materialize(named.join(named.groupBy("_top").agg(F.min("_rep").alias("_c")), "_top").select("_k", "_c"))
 
 
 def _check(pairs: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs of set names that link, decided on the whole texts of one document each."""
-    pairs = materialize(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_k")).distinct().join(reps, "_k").select("_k", F.col("_rep").alias("_rid"))
-    texts = rows.select("_rid", "_text").join(wanted, "_rid").select("_k", "_text")
-    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(_verified, "a long, b long")
+    """The pairs (a, b, h, m) that link, decided on the whole texts of one document each.
+
+    h: a column that both have, m: about how many sets it has. Pairs of one column meet in one task, so a text moves once for
+    all of its pairs there; a long column is dealt into blocks of two parts of about PART sets. The texts that take part are
+    picked by a broadcast of their ids up to MOST_IDS of them, else by a join.
+    """
+    part = lambda c: F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.ceil(F.col("m") / PART)).cast("int"))
+    pairs = materialize(pairs.withColumn("block", F.xxhash64("h", F.least(part("a"), part("b")), F.greatest(part("a"), part("b")))).select("block", "a", "b"))
+    ends = pairs.select("block", F.explode(F.array("a", "b")).alias("_k")).distinct().join(reps, "_k").select("block", "_k", F.col("_rep").alias("_rid"))
+    ends = materialize(ends)
+    if ends.count() <= MOST_IDS:
+        ends = F.broadcast(ends)
+    texts = rows.select("_rid", "_text").join(ends, "_rid").select("block", F.col("_k").alias("a"), F.lit(None).cast("long").alias("b"), F.col("_text").alias("text"))
+    both = texts.unionByName(pairs.withColumn("text", F.lit(None).cast("string")))
+    return both.repartition("block").sortWithinPartitions("block").mapInArrow(_verified, "a long, b long")
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
