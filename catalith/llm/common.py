@@ -35,6 +35,8 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column end to end, and its len + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     if column.null_count:
         column = column.fill_null(b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
