@@ -23,6 +23,8 @@ FOLD = {ord(x): letter for letter, alike in LOOKS.items() for x in alike} | {0x2
 WORD = re.compile(r"[^\W\d_]+")
 #: Labelled rows that the lexicon is learned from, at most; prefixes of words that may become entries.
 SAMPLE, PREFIXES = 12_000, (4, 5, 6)
+#: Least surprise of an entry: chance would give its counts once in a million.
+SURPRISE = math.log(1e6)
 
 
 def fold(text: str) -> str:
@@ -106,8 +108,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     """A lexicon from labelled rows (those that train keeps; at most sample of them, by a hash of their ids).
 
     Tasks count in how many toxic and other documents each word and word beginning stands; counts are united by a grouped
-    sum. An entry stands in at least 4 toxic documents and, smoothed, in 12 times as many toxic ones as its share; a
-    longer term that a shorter entry already finds is left out. Neighbouring words with which an entry stands in other
+    sum. An entry stands, smoothed, in 12 times as many toxic documents as its share, and chance would give its counts once
+    in a million terms at most; a longer term that a shorter entry already finds is left out. Neighbouring words with which an entry stands in other
     documents only become exception phrases. Without both kinds of labels the lexicon is empty.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
@@ -127,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
             yield pa.RecordBatch.from_pydict({"term": pa.array(part, pa.string()), "n0": pa.array([seen[0][t] for t in part], pa.int64()), "n1": pa.array([seen[1][t] for t in part], pa.int64())})
 
     counts = rows.mapInArrow(count, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    kept = counts.filter("term = '' or n1 >= 4 and n1 > n0").orderBy(F.desc("n1"), "term").limit(200_000).collect()
+    kept = counts.filter("term = '' or n1 >= 3 and n1 > n0").orderBy(F.desc("n1"), "term").limit(200_000).collect()
     sizes = next(((r["n0"], r["n1"]) for r in kept if not r["term"]), (0, 0))
     lexicon = Lexicon({}, [fold(x) for x in exceptions])
     if not all(sizes):
@@ -135,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     entries: dict[str, float] = {}
     for r in sorted((r for r in kept if r["term"]), key=lambda r: (len(r["term"].rstrip("*")), not r["term"].endswith("*"), r["term"])):
         term, weight = r["term"], math.log((r["n1"] + 0.5) / (sizes[1] + 1)) - math.log((r["n0"] + 0.5) / (sizes[0] + 1))
-        if weight >= math.log(12) and not any(f"{term[:n]}*" in entries for n in PREFIXES if n < len(term.rstrip("*")) or not term.endswith("*")):
+        if weight >= math.log(12) and surprise(r["n1"], r["n0"], sizes[1] / sum(sizes)) >= SURPRISE and not any(f"{term[:n]}*" in entries for n in PREFIXES if n < len(term.rstrip("*")) or not term.endswith("*")):
             entries[term] = weight
     lexicon.entries = entries
 
@@ -163,6 +165,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     return lexicon
 
 
+def surprise(n1: int, n0: int, share: float) -> float:
+    """Minus the logarithm of a bound (Chernoff's) on the chance that n1 of n1 + n0 documents are toxic where share of all are."""
+    n = n1 + n0
+    q = n1 / n
+    if q <= share:
+        return 0.0
+    return n * (q * math.log(q / share) + ((1 - q) * math.log((1 - q) / (1 - share)) if q < 1 else 0))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> tuple[float, float, float]:
     """Weights of a logistic regression by Newton's method, with a small ridge on all but the bias."""
     x = np.column_stack([np.ones(len(x)), x])
