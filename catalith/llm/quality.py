@@ -147,7 +147,8 @@ def train(texts: list[bytes], y: np.ndarray, *, epochs: int = 24, rate: float =
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", keep: Column | None = None, sample: int = SAMPLE) -> Network:
     """A network from labelled rows (those that keep holds for): at most half of sample of each label, by a hash of their
-    ids, whole texts, as long as they come to at most SAMPLE_BYTES together."""
+    ids, whole texts, as long as they come to at most SAMPLE_BYTES together. Training weighs both labels alike; the output is
+    then moved by the share of the labels among all labelled rows."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = (known.filter(keep) if keep is not None else known).groupBy(key).agg(F.max(label).cast("int").alias("_y"))
     chosen = known.filter("_y = 0").orderBy(F.xxhash64(key), key).limit(sample // 2).union(known.filter("_y = 1").orderBy(F.xxhash64(key), key).limit(sample // 2))
@@ -156,7 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     total = np.cumsum([n for _, n in sizes]) if sizes else np.zeros(0)
     within = [h for (h, _), s in zip(sizes, total, strict=True) if s <= SAMPLE_BYTES]
     got = sorted(rows.filter(F.xxhash64(key) <= (within[-1] if within else 0)).select(F.xxhash64(key).alias("_h"), "_bytes", "_y").collect())
-    return train([bytes(r["_bytes"]) for r in got], np.array([r["_y"] for r in got], np.float32))
+    net = train([bytes(r["_bytes"]) for r in got], np.array([r["_y"] for r in got], np.float32))
+    n = known.agg(F.count_if(F.col("_y") == 1).alias("one"), F.count_if(F.col("_y") == 0).alias("none")).first()
+    net.base += float(np.log((n["one"] + 1) / (n["none"] + 1)))
+    return net
 
 
 def score(docs: DataFrame, net: Network, *, text: str = "text", out: str = "score") -> DataFrame:
