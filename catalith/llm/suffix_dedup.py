@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalith.llm.common import Rolling, mix, runs, signed, text_buffer, unique_ids
 
@@ -178,14 +179,14 @@ def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each repeated anchor, the bytes of the strings that have it: n strings from lo on, the first off bytes before the
     anchor. Of contexts that are equal within the task's run only the earliest goes on; the others' strings are known to
-    repeat and go on as ranges (off -1)."""
+    repeat and go on as ranges (off -1), spread over all tasks."""
     for batch in batches:
-        batch = batch.filter(batch.column(4).is_valid())
+        batch = batch.filter(batch.column(5).is_valid())
         if not batch.num_rows:
             continue
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         data, at = text_buffer(batch.column(1))
-        marks = batch.column(4)
+        marks = batch.column(5)
         flat = marks.flatten()
         to = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(marks).to_numpy(zero_copy_only=False))])
         marked, hot = flat.field("p").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("hot").to_numpy(zero_copy_only=False)
@@ -222,7 +223,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(part[spot].tobytes())])
             yield _rows(signed(h[one]), ids[i:j][doc[one]], lo[one] - base[doc[one]], p[one] - lo[one], hi[one] - lo[one] + 1, text)
             if len(more):
-                yield _rows(signed(h[more]), ids[i:j][doc[more]], lo[more] - base[doc[more]], np.full(len(more), -1), hi[more] - lo[more] + 1, pa.array([b""] * len(more), pa.binary()))
+                spread = mix(ids[i:j][doc[more]].view(np.uint64) ^ lo[more].astype(np.uint64))
+                yield _rows(signed(spread), ids[i:j][doc[more]], lo[more] - base[doc[more]], np.full(len(more), -1), hi[more] - lo[more] + 1, pa.array([b""] * len(more), pa.binary()))
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +323,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, copy, keys, spans = batch.column(0), batch.column(2).to_pylist(), batch.column(3), batch.column(4)
+        ids, copy, keys, carried, spans = batch.column(0), batch.column(2).to_pylist(), batch.column(3), batch.column(4), batch.column(5)
         data, at = text_buffer(batch.column(1))
         flat = spans.flatten()
         to = np.concatenate([[0], np.cumsum(np.nan_to_num(pa.compute.list_value_length(spans).to_numpy(zero_copy_only=False)).astype(np.int64))])
@@ -346,11 +348,12 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n_removed.append(int(gone.sum()))
                 n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
         sizes = at[1:] - at[:-1]
-        yield pa.RecordBatch.from_pydict({"_rid": ids, "_key": keys, "n_bytes": sizes, "n_removed": np.array(n_removed, np.int64), "n_spans": np.array(n_spans, np.int64), "kept": pa.array(kept, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"_rid": ids, "_key": keys, "n_bytes": sizes, "n_removed": np.array(n_removed, np.int64), "n_spans": np.array(n_spans, np.int64), "kept": pa.array(kept, pa.binary()), "_carried": carried})
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: _rid (its unique key in the order of key and text), _key (its key, an integer), n_bytes, n_removed, n_spans, kept (binary).
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row a document: _rid (its unique key in the order of key and text), _key (its key, an integer), n_bytes, n_removed,
+    n_spans, kept (binary), _carried (a struct of the columns carry; they move with the text).
 
     Each byte of a text's UTF-8 form goes that a string of 100 bytes covers which also starts earlier: in a document with
     a smaller key, or earlier in the same one. Strings are judged on the input; matches never cross documents.
@@ -363,11 +366,12 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
 
     Null and empty texts and those under 100 bytes stay as they are. Documents that share a key follow by their text.
     """
-    rows = unique_ids(docs.select(key, text), key, text).select(F.col("_rid").cast("long"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_bytes"), F.col(key).cast("long").alias("_key"))
+    given = F.struct(F.lit(0).alias("_none"), *[F.col(c) for c in carry]).alias("_carried")
+    rows = unique_ids(docs.select(*dict.fromkeys((key, text, *carry))), key, text).select(F.col("_rid").cast("long"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_bytes"), F.col(key).cast("long").alias("_key"), given)
     hashed = rows.select("_rid", F.when(F.length("_bytes") >= LENGTH, F.sha2("_bytes", 256)).alias("_h")).filter("_h is not null")
     first = hashed.groupBy("_h").agg(F.min("_rid").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select("_h", "_first")
     copies = hashed.join(first, "_h").filter("_rid > _first").select("_rid", F.lit(True).alias("_copy"))
-    dealt = rows.repartition("_rid").join(copies.hint("shuffle_hash"), "_rid", "left").select("_rid", "_bytes", F.coalesce("_copy", F.lit(False)).alias("_copy"), "_key")
+    dealt = rows.repartition("_rid").join(copies.hint("shuffle_hash"), "_rid", "left").select("_rid", "_bytes", F.coalesce("_copy", F.lit(False)).alias("_copy"), "_key", "_carried")
 
     found = dealt.mapInArrow(_find_anchors, "h long, d long, p int").repartition("h").sortWithinPartitions("h")
     marks = found.mapInArrow(_again, "d long, p int, hot boolean").groupBy("d").agg(F.collect_list(F.struct("p", "hot")).alias("_marks")).withColumnRenamed("d", "_rid")
@@ -375,18 +379,21 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     contexts = dealt.join(marks.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_marks").mapInArrow(_contexts, SCHEMA)
     spans = contexts.repartition("h").sortWithinPartitions("h", "d", "lo").mapInArrow(_repeats, "d long, a int, z int")
     spans = spans.groupBy("d").agg(F.collect_list(F.struct("a", "z")).alias("_spans")).withColumnRenamed("d", "_rid")
-    return dealt.join(spans.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_spans").mapInArrow(_removed, "_rid long, _key long, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = T.StructType([*[T.StructField(c, T.LongType()) for c in ("_rid", "_key", "n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType()), dealt.schema["_carried"]])
+    return dealt.join(spans.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_spans").mapInArrow(_removed, out)
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with text less its repeats. Bytes of a character that is cut in two go too; all rows stay, and null texts stay
     null. Columns other than text stay as they are."""
-    rows = unique_ids(docs, key, text, "_rid")
-    kept = remove_repeats(rows.select("_rid", text), key="_rid", text=text).select("_rid", "n_removed", "kept")
+    others = tuple(c for c in docs.columns if c != text)
+    rows = docs.withColumn("_null", F.col(text).isNull())
+    kept = remove_repeats(rows, key=key, text=text, carry=(*others, "_null"))
 
     @F.pandas_udf("string")
     def decoded(values):
-        return values.map(lambda b: b.decode("utf-8", "ignore"))
+        return values.map(lambda b: b if b is None else b.decode("utf-8", "ignore"))
 
-    new = F.when(F.col("n_removed") > 0, decoded("kept")).otherwise(F.col(text))
-    return rows.join(kept, "_rid").withColumn(text, new).select(*docs.columns)
+    cut = F.when(F.col("n_removed") > 0, F.col("kept"))
+    new = F.when(~F.col("_carried._null"), F.coalesce(decoded(cut), F.col("kept").cast("string"))).alias(text)
+    return kept.select(*[new if c == text else F.col(f"_carried.`{c}`").alias(c) for c in docs.columns])
