@@ -31,6 +31,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+#: Rows of narrow ids that are broadcast, at most (16 MB of longs); more are joined by a shuffle.
+MOST_IDS = 1_000_000
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """ids written to the shared folder, and marked for a broadcast where they are at most MOST_IDS rows."""
+    ids = materialize(ids)
+    return F.broadcast(ids) if ids.count() <= MOST_IDS else ids
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column end to end, and its len + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

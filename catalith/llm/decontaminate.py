@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.llm.common import unique_ids
+from catalith.llm.common import few, unique_ids
 
 #: Token positions that a seed looks at (1); it ignores the others, where a word may be another.
 MASKS = ("1101100111", "1110011011")
@@ -82,4 +82,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id",
     """docs without those that overlap with a benchmark item; all columns stay as they are."""
     rows = unique_ids(docs, key, text, "_rid")
     found = overlaps(rows, benchmark, key="_rid", text=text, **names).select("_rid").distinct()
-    return rows.join(found, "_rid", "left_anti").select(*docs.columns)
+    return rows.join(few(found), "_rid", "left_anti").select(*docs.columns)

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalith.llm.common import BASE, Rolling, materialize, mix, runs, signed, text_buffer, unique_ids
+from catalith.llm.common import BASE, Rolling, few, materialize, mix, runs, signed, text_buffer, unique_ids
 from catalith.llm.components import components
 
 #: Words of a shingle, and the least similarity as a fraction: documents link from NUM / DEN on.
@@ -19,8 +19,11 @@ WORDS, NUM, DEN = 5, 3, 4
 SMALL = 24
 #: The most frequent shingles, put last in the order of columns; at most so many come to the driver. They change the work, never the result.
 FREQUENT, FREQUENT_FROM = 40_000, 24
-#: Ids that are broadcast to pick their texts, at most; more are joined. Sets in one part of a block that are compared with another part.
-MOST_IDS, PART = 1_000_000, 64
+#: Sets in one part of a block that are compared with another part.
+PART = 64
+#: Columns of over LONG sets first meet in turns: a set and its NEXT ones, until a turn links fewer than one in TIRED. They
+#: change the work, never the result.
+LONG, TURNS, NEXT, TIRED = 512, 3, 8, 50
 #: Rows of postings handled at once.
 BLOCK = 400_000
 
@@ -283,13 +286,28 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     edges = materialize(_check(close, rows, reps))
     label = _labels(reps, components(edges))
 
-    # Columns of many sets: what is in different components by now.
-    spread = wide.join(label.toDF("k", "c"), "k")
-    mixed = spread.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("h", "m")
-    left = materialize(spread.join(mixed, "h"))
+    # Very long columns: some pairs of different components, as long as these link.
+    for turn in range(TURNS):
+        hot = materialize(_mixed(wide, label).filter(F.col("m") > LONG))
+        size = hot.count()
+        if not size:
+            break
+        more = materialize(_check(_some(hot, turn), rows, reps))
+        edges = edges.union(more)
+        label = _labels(reps, components(edges))
+        if TIRED * more.count() < size:
+            break
+    # Then all pairs of different components in long columns.
+    left = materialize(_mixed(wide, label))
     if left.take(1):
-        on = F.expr(f"x.h = y.h and x.k < y.k and x.c <> y.c and {DEN} * least(x.n, y.n) >= {NUM} * greatest(x.n, y.n)")
-        met = left.alias("x").join(left.alias("y"), on).groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count("*").alias("s"), F.max(F.struct("x.m", "x.h")).alias("at"))
+        # A pair is made at its first shared column alone, and only if its shared columns and those that aren't in left suffice.
+        own = left.join(left.groupBy("k").agg(F.sort_array(F.collect_set("h")).alias("hs")), "k")
+        open_n = lambda x: f"{x}.n - ceil({NUM} * {x}.n / {DEN}.0) + 1 - size({x}.hs)"
+        shared = "array_intersect(x.hs, y.hs)"
+        size_rest = f"ceil({NUM} * greatest(x.n, y.n) / {DEN}.0) - 1"
+        on = f"x.h = y.h and x.k < y.k and x.c <> y.c and {DEN} * least(x.n, y.n) >= {NUM} * greatest(x.n, y.n)"
+        on += f" and element_at({shared}, 1) = x.h and size({shared}) + least({open_n('x')}, {open_n('y')}) + {size_rest} >= ceil({NUM} * (x.n + y.n) / {NUM + DEN}.0)"
+        met = own.alias("x").join(own.alias("y"), F.expr(on)).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.expr(f"size({shared})").alias("s"), F.struct("x.m", "x.h").alias("at"))
         met = met.join(pairs.select("a", "b", "c"), ["a", "b"], "left").filter(f"s + coalesce(c, 0) + {rest} >= {need}")
         more = materialize(_check(met.select("a", "b", "at.h", "at.m"), rows, reps))
         if more.take(1):
@@ -307,20 +325,34 @@ def _labels(reps: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(named.join(named.groupBy("_top").agg(F.min("_rep").alias("_c")), "_top").select("_k", "_c"))
 
 
+def _mixed(wide: DataFrame, label: DataFrame) -> DataFrame:
+    """(h, k, n, c, m): columns whose m sets are in several components."""
+    spread = wide.join(label.toDF("k", "c"), "k")
+    mixed = spread.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("h", "m")
+    return spread.join(mixed, "h")
+
+
+def _some(left: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b, h, m) of sets of a column in different components: of each set and the next NEXT ones in an order that
+    changes with each turn, within parts of the column."""
+    ranked = left.withColumn("_g", F.pmod(F.xxhash64("k", F.lit(turn)), F.greatest(F.lit(1), F.ceil(F.col("m") / (4 * PART))).cast("int")))
+    w = Window.partitionBy("h", "_g").orderBy(F.xxhash64("k", F.lit(turn + 100)), "k")
+    nexts = F.array(*[F.lead(F.struct("k", "n", "c"), d).over(w) for d in range(1, NEXT + 1)])
+    flat = ranked.withColumn("_to", nexts).select("h", "m", "k", "n", "c", F.explode(F.filter("_to", lambda y: (y["c"] != F.col("c")) & (DEN * F.least(y["n"], F.col("n")) >= NUM * F.greatest(y["n"], F.col("n"))))).alias("y"))
+    return flat.groupBy(F.least("k", "y.k").alias("a"), F.greatest("k", "y.k").alias("b")).agg(F.max(F.struct("m", "h")).alias("at")).select("a", "b", "at.h", "at.m")
+
+
 def _check(pairs: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b, h, m) that link, decided on the whole texts of one document each.
 
     h: a column that both have, m: about how many sets it has. Pairs of one column meet in one task, so a text moves once for
     all of its pairs there; a long column is dealt into blocks of two parts of about PART sets. The texts that take part are
-    picked by a broadcast of their ids up to MOST_IDS of them, else by a join.
+    picked by a broadcast of their ids while these are few, else by a join.
     """
     part = lambda c: F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.ceil(F.col("m") / PART)).cast("int"))
     pairs = materialize(pairs.withColumn("block", F.xxhash64("h", F.least(part("a"), part("b")), F.greatest(part("a"), part("b")))).select("block", "a", "b"))
     ends = pairs.select("block", F.explode(F.array("a", "b")).alias("_k")).distinct().join(reps, "_k").select("block", "_k", F.col("_rep").alias("_rid"))
-    ends = materialize(ends)
-    if ends.count() <= MOST_IDS:
-        ends = F.broadcast(ends)
-    texts = rows.select("_rid", "_text").join(ends, "_rid").select("block", F.col("_k").alias("a"), F.lit(None).cast("long").alias("b"), F.col("_text").alias("text"))
+    texts = rows.select("_rid", "_text").join(few(ends), "_rid").select("block", F.col("_k").alias("a"), F.lit(None).cast("long").alias("b"), F.col("_text").alias("text"))
     both = texts.unionByName(pairs.withColumn("text", F.lit(None).cast("string")))
     return both.repartition("block").sortWithinPartitions("block").mapInArrow(_verified, "a long, b long")
 
@@ -329,4 +361,4 @@ def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     """docs with one document of each component: the one with the smallest key. All columns stay as they are."""
     rows = unique_ids(docs, key, text, "_rid")
     kept = near_duplicates(rows.select("_rid", text), key="_rid", text=text).filter("first").select("_rid")
-    return rows.join(kept, "_rid", "left_semi").select(*docs.columns)
+    return rows.join(few(kept), "_rid", "left_semi").select(*docs.columns)

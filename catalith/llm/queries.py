@@ -79,4 +79,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_toxicity, op3_quality, op4_sharding, op5_url_rules, op6_ngram_join, op7_fingerprint, op8_html_extract, op9_suffix_dedup, op10_packing, pipeline)}
-ORACLES: dict[str, str] = {}
+_RULES = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
+#: The other operators have no twin in SQL (learned weights, tokenizers, iterations, hash permutations); their tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op5_url_rules": f"""WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+  r AS (SELECT * FROM (VALUES {_RULES}) t(verdict, h, pre)), m AS (SELECT page_id, arg_max(h || pre, (length(h), length(pre))) AS rule, arg_max(verdict, (length(h), length(pre))) AS verdict FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id)
+  SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)"""
+}

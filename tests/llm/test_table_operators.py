@@ -286,3 +286,19 @@ def test_pipeline_keeps_and_drops(spark, tmp_path):
     spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     out = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert out ^ (set(range(60, 200)) | {203, 204, 205}) == set()
+
+
+def test_url_query_is_its_sql(spark):
+    import os
+
+    duckdb = pytest.importorskip("duckdb")
+    from catalith.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no tables here")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{sf}/pages.parquet'")
+    columns = "page_id, host, path, rule, verdict"
+    got = sorted(map(tuple, queries.op5_url_rules(spark, sf).select(*columns.split(", ")).collect()))
+    assert got == sorted(con.sql(f"select {columns} from ({queries.ORACLES['op5_url_rules']})").fetchall())
