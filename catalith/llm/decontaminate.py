@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from catalith.llm.common import few, unique_ids
 
-#: Token positions that a seed looks at (1); it ignores the others, where a word may be another.
-MASKS = ("1101100111", "1110011011")
+#: Token positions that a seed looks at (1); it ignores the others, where a word may be another. Every segment that counts, of
+#: an item of any length from the longest mask on, shows one of the two all its ones; a test goes through all substitutions.
+MASKS = ("11101001", "1110101")
 #: Seeds of benchmark items up to which they are broadcast; more are joined by a shuffle.
 MOST_SEEDS = 500_000
 #: An overlap counts from so many equal tokens, or from this share of a shorter item.

@@ -159,3 +159,41 @@ def test_an_item_in_the_middle_of_nothing_alike_is_left_alone(spark, words):
     bench = spark.createDataFrame([(0, " ".join(words[:40]))], "item_id long, text string")
     docs = spark.createDataFrame([(0, " ".join(words[:8] + words[100:140])), (1, " ".join(words[40:90]))], DOCS)
     assert decontaminate.overlaps(docs, bench).count() == 0
+
+
+def unseen(least, masks, most=None):
+    """Equal (1) and other (0) tokens of a segment that counts with least equal ones, of at most most tokens, where no mask
+    lies upon equal ones alone; None if there is no such segment. All substitutions are gone through as states of the score,
+    its maximum, the equal tokens and the last tokens; what stands before a segment can only add seeds."""
+    shapes = [(int(m, 2), len(m)) for m in masks]
+    width = max(n for _, n in shapes)
+    seen, states = set(), [(0, 0, 0, 0, 0, "")]
+    while states:
+        score, best, equal, last, n, path = states.pop()
+        for x in (0, 1) if n != most else ():
+            s, e, bits, size = score + (1 if x else -2), min(least, equal + x), (last << 1 | x) & ((1 << width) - 1), n + 1
+            if s <= 0 or any(size >= k and bits & m == m for m, k in shapes):
+                continue
+            if s > best and e >= least:
+                return path + str(x)
+            state = (s, max(best, s), e, bits, size if most else min(size, width))
+            if state not in seen:
+                seen.add(state)
+                states.append((*state, path + str(x)))
+    return None
+
+
+def test_no_overlap_is_without_a_seed():
+    assert unseen(13, ("1101100111", "1110011011"))  # the search finds what is missed
+    span = max(map(len, decontaminate.MASKS))
+    for n in range(span, 16):
+        assert unseen(-(-4 * n // 5), decontaminate.MASKS, n) is None
+    assert unseen(13, decontaminate.MASKS) is None
+
+
+def test_decontamination_finds_regular_substitutions(spark, words):
+    items = [(0, words[:50]), (1, words[50:60]), (2, words[60:75]), (3, words[75:85])]
+    swaps = [(0, range(k, 50, 5)) for k in range(5)] + [(1, [0]), (1, [9]), (2, [4, 6]), (3, [3, 6]), (3, [0, 5]), (3, [2, 5])]
+    rows = [(d, " ".join(words[200:220] + ["swap" if p in at else w for p, w in enumerate(items[i][1])] + words[230:250])) for d, (i, at) in enumerate(swaps)]
+    docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, bench).collect()} == {(d, i) for d, (i, _) in enumerate(swaps[:-1])}
