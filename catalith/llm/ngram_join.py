@@ -145,13 +145,13 @@ def needed(na, nb):
 
 def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Products of columns, which come sorted by (column, size, name). Kind 0: (set, set, sizes, shared columns, the least of
-    these); kind 1: (column, set, size) of columns with over SMALL sets, which so far were multiplied with leaders only."""
-    names = ("kind", "a", "b", "na", "nb", "c", "h")
+    these, and how many of its sets were at hand); kind 1: (column, set, size) of columns with over SMALL sets, which so far were multiplied with leaders only."""
+    names = ("kind", "a", "b", "na", "nb", "c", "h", "m")
     leaders: dict[int, int] = {}  # of a column that is cut: band -> set
     column = None
 
-    def out(kind, a, b, na, nb, c, h):
-        return pa.RecordBatch.from_pydict(dict(zip(names, (np.full(len(a), kind, np.int32), a, b, na.astype(np.int32), nb.astype(np.int32), c.astype(np.int32), h), strict=True)))
+    def out(kind, a, b, na, nb, c, h, m):
+        return pa.RecordBatch.from_pydict(dict(zip(names, (np.full(len(a), kind, np.int32), a, b, na.astype(np.int32), nb.astype(np.int32), c.astype(np.int32), h, m.astype(np.int32)), strict=True)))
 
     def multiply(h, k, n, part: bool):
         nonlocal column, leaders
@@ -177,7 +177,7 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = x[DEN * n[x] >= NUM * n[y]], y[DEN * n[x] >= NUM * n[y]]
             left.append(x)
             right.append(y)
-        pairs = [(k[x], k[y], n[x], n[y], h[x]) for x, y in zip(left, right, strict=True)]
+        pairs = [(k[x], k[y], n[x], n[y], h[x], size[of[x]]) for x, y in zip(left, right, strict=True)]
         for run in np.flatnonzero(cut):
             a, b = edge[run], edge[run] + size[run]
             if column != h[a]:
@@ -188,16 +188,16 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 leaders.setdefault(int(band[f]), (int(k[a + f]), int(n[a + f])))
             lead = np.array([leaders[int(x)] for x in band[first]], np.int64)[np.cumsum(np.append(True, band[1:] != band[:-1])) - 1]
             other = lead[:, 0] != k[a:b]
-            pairs.append((lead[other, 0], k[a:b][other], lead[other, 1].astype(np.int32), n[a:b][other], h[a:b][other]))
-            yield out(1, h[a:b], k[a:b], n[a:b], n[a:b], np.zeros(b - a), h[a:b])
+            pairs.append((lead[other, 0], k[a:b][other], lead[other, 1].astype(np.int32), n[a:b][other], h[a:b][other], np.full(int(other.sum()), b - a)))
+            yield out(1, h[a:b], k[a:b], n[a:b], n[a:b], np.zeros(b - a), h[a:b], np.full(b - a, b - a))
         if pairs:
-            a, b, na, nb, g = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            a, b, na, nb, g, m = (np.concatenate(x) for x in zip(*pairs, strict=True))
             swap = a > b
             a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
             order = np.lexsort((g, b, a))
-            a, b, na, nb, g = a[order], b[order], na[order], nb[order], g[order]
+            a, b, na, nb, g, m = a[order], b[order], na[order], nb[order], g[order], m[order]
             new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
-            yield out(0, a[new], b[new], na[new], nb[new], np.diff(np.append(new, len(a))), g[new])
+            yield out(0, a[new], b[new], na[new], nb[new], np.diff(np.append(new, len(a))), g[new], m[new])
 
     held: list[tuple] = []
     rows = 0
@@ -275,14 +275,14 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     reps = sets.filter("n_shingles > 0").groupBy("_k").agg(F.min("_rid").alias("_rep"))
 
     postings = plain.mapInArrow(_postings(late), "h long, k long, n int").repartition("h").sortWithinPartitions("h", "n", "k")
-    made = materialize(postings.mapInArrow(_products, "kind int, a long, b long, na int, nb int, c int, h long"))
+    made = materialize(postings.mapInArrow(_products, "kind int, a long, b long, na int, nb int, c int, h long, m int"))
     wide = made.filter("kind = 1").select(F.col("a").alias("h"), F.col("b").alias("k"), F.col("na").alias("n"))
     open_ = wide.groupBy("k").agg(F.count("*").cast("int").alias("w"))
-    pairs = made.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"), F.min("h").alias("h"))
+    pairs = made.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"), F.min(F.struct("h", "m")).alias("at"))
 
     need, rest = f"ceil({NUM} * (na + nb) / {NUM + DEN}.0)", f"ceil({NUM} * greatest(na, nb) / {DEN}.0) - 1"
     counted = pairs.join(open_.toDF("a", "wa"), "a", "left").join(open_.toDF("b", "wb"), "b", "left")
-    close = counted.filter(f"c + least(coalesce(wa, 0), coalesce(wb, 0)) + {rest} >= {need}").select("a", "b", "h", F.lit(1).alias("m"))
+    close = counted.filter(f"c + least(coalesce(wa, 0), coalesce(wb, 0)) + {rest} >= {need}").select("a", "b", "at.h", "at.m")
     edges = materialize(_check(close, rows, reps))
     label = _labels(reps, components(edges))
 
@@ -350,7 +350,7 @@ def _check(pairs: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
     picked by a broadcast of their ids while these are few, else by a join.
     """
     part = lambda c: F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.ceil(F.col("m") / PART)).cast("int"))
-    pairs = materialize(pairs.withColumn("block", F.xxhash64("h", F.least(part("a"), part("b")), F.greatest(part("a"), part("b")))).select("block", "a", "b"))
+    pairs = materialize(pairs.withColumn("block", F.xxhash64("h", F.col("m").cast("long"), F.least(part("a"), part("b")), F.greatest(part("a"), part("b")))).select("block", "a", "b"))
     ends = pairs.select("block", F.explode(F.array("a", "b")).alias("_k")).distinct().join(reps, "_k").select("block", "_k", F.col("_rep").alias("_rid"))
     texts = rows.select("_rid", "_text").join(few(ends), "_rid").select("block", F.col("_k").alias("a"), F.lit(None).cast("long").alias("b"), F.col("_text").alias("text"))
     both = texts.unionByName(pairs.withColumn("text", F.lit(None).cast("string")))

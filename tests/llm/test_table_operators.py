@@ -148,6 +148,26 @@ def test_ngram_join_edges(spark):
     assert Counter((r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(twins).collect()) == {(7, 7): 3, (9, 7): 1}
 
 
+def test_blocks_of_near_copies_stay_small(spark, monkeypatch):
+    """Near copies share their least column with one leader: their texts must not all meet in one block."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(90)]
+    texts = [" ".join([*base[:at], f"other{i}", *base[at + 1 :]]) for i, at in enumerate(rng.integers(0, 90, 900))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], DOCS).repartition(3)
+    met, real = [], ngram_join.materialize
+
+    def kept(df):
+        df = real(df)
+        if df.columns == ["block", "a", "b"]:
+            met.append(df)
+        return df
+
+    monkeypatch.setattr(ngram_join, "materialize", kept)
+    assert {r["component_id"] for r in ngram_join.near_duplicates(docs).collect()} == {0}
+    sizes = [df.select("block", F.explode(F.array("a", "b")).alias("k")).distinct().groupBy("block").count().agg(F.max("count")).first()[0] or 0 for df in met]
+    assert sum(df.count() for df in met) >= 899 and max(sizes) <= 4 * ngram_join.PART
+
+
 def repeats(texts):
     seen, out = set(), {}
     for i, t in enumerate(texts):
