@@ -145,18 +145,31 @@ def train(texts: list[bytes], y: np.ndarray, *, epochs: int = 24, rate: float =
     return net
 
 
+def _fitting(texts: list[tuple], budget: int) -> list:
+    """Keys of texts (hash, key, bytes) that fit into budget, in that order; the shortest where none does."""
+    kept, used = [], 0
+    for _, key, n in texts:
+        if used + n <= budget:
+            kept.append(key)
+            used += n
+    return kept or [key for _, key, _ in sorted(texts, key=lambda x: x[2])[:1]]
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", keep: Column | None = None, sample: int = SAMPLE) -> Network:
     """A network from labelled rows (those that keep holds for): at most half of sample of each label, by a hash of their
-    ids, whole texts, as long as they come to at most SAMPLE_BYTES together. Training weighs both labels alike; the output is
+    ids, whole texts of at most SAMPLE_BYTES together. Each label has half of these bytes and what the other leaves of its half; a
+    text that doesn't fit is skipped, and a label of which none fits gives its shortest. Training weighs both labels alike; the output is
     then moved by the share of the labels among all labelled rows."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = (known.filter(keep) if keep is not None else known).groupBy(key).agg(F.max(label).cast("int").alias("_y"))
     chosen = known.filter("_y = 0").orderBy(F.xxhash64(key), key).limit(sample // 2).union(known.filter("_y = 1").orderBy(F.xxhash64(key), key).limit(sample // 2))
     rows = docs.select(key, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_bytes")).join(F.broadcast(chosen), key)
-    sizes = sorted((r["_h"], r["_n"]) for r in rows.select(F.xxhash64(key).alias("_h"), F.length("_bytes").alias("_n")).collect())
-    total = np.cumsum([n for _, n in sizes]) if sizes else np.zeros(0)
-    within = [h for (h, _), s in zip(sizes, total, strict=True) if s <= SAMPLE_BYTES]
-    got = sorted(rows.filter(F.xxhash64(key) <= (within[-1] if within else 0)).select(F.xxhash64(key).alias("_h"), "_bytes", "_y").collect())
+    sizes = rows.groupBy(key, "_y").agg(F.sum(F.length("_bytes").cast("long")).alias("_n"), F.xxhash64(key).alias("_h")).collect()
+    by = [sorted((r["_h"], r[key], r["_n"]) for r in sizes if r["_y"] == y) for y in (0, 1)]
+    need = [sum(n for *_, n in x) for x in by]
+    keys = [k for y in (0, 1) for k in _fitting(by[y], max(SAMPLE_BYTES // 2, SAMPLE_BYTES - need[1 - y]))]
+    taken = docs.sparkSession.createDataFrame([(k,) for k in keys], rows.select(key).schema)
+    got = sorted(rows.join(F.broadcast(taken), key).select(F.xxhash64(key).alias("_h"), "_bytes", "_y").collect())
     net = train([bytes(r["_bytes"]) for r in got], np.array([r["_y"] for r in got], np.float32))
     n = known.agg(F.count_if(F.col("_y") == 1).alias("one"), F.count_if(F.col("_y") == 0).alias("none")).first()
     net.base += float(np.log((n["one"] + 1) / (n["none"] + 1)))

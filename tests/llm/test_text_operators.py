@@ -69,6 +69,25 @@ def test_network_gradient_and_accuracy(spark, words):
     assert scored[300] == scored[301] and all(0 <= s <= 1 for s in scored.values())
 
 
+@pytest.mark.parametrize("order", ["first", "shares"])
+def test_both_labels_have_their_bytes(spark, order, monkeypatch):
+    """A text over the budget that comes first in the order, and a rare label among many longer texts."""
+    ids = [r["i"] for r in spark.range(140).select(F.col("id").alias("i")).orderBy(F.xxhash64("i")).collect()]
+    texts = {i: "text " * 60 for i in ids}
+    if order == "first":
+        texts[ids[0]] = "long " * 5000
+    docs = spark.createDataFrame(list(texts.items()), DOCS)
+    labels = spark.createDataFrame([(i, int(n < 120)) for n, i in enumerate(ids)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 20_000)
+    real = quality.train
+    monkeypatch.setattr(quality, "train", lambda t, y: seen.append((t, y)) or real(t[:4], y[:4], epochs=1))
+    quality.fit(docs, labels)
+    (used, y), = seen
+    assert sum(map(len, used)) <= 20_000 and max(map(len, used)) == 300
+    assert (y == 0).sum() == 20 and (y == 1).sum() == 14000 // 300
+
+
 def test_chunks_cover_the_whole_text():
     data = np.frombuffer(("a" * 5000 + "!!!!!!!!").encode(), np.uint8)
     net = quality.Network(np.zeros((quality.WIDTH, 64, quality.FILTERS), np.float32), np.zeros(quality.FILTERS, np.float32), np.ones(quality.FILTERS, np.float32), 0.0)
