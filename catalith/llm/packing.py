@@ -29,22 +29,24 @@ def encoder(path: str):
     stands = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
     with open(path, encoding="utf-8") as file:
         read = json.load(file)
-    special = {x["content"] for x in read["added_tokens"]}
+    special = {x["content"]: x["id"] for x in read["added_tokens"]}
     ranks = {bytes(stands[c] for c in token): i for token, i in read["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
 _encoders: dict[str, object] = {}
 
 
-def pieces(docs: DataFrame, path: str, size: int, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, path: str, size: int, *, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each document's ids and its end; documents longer than size are cut
-    from the end into pieces of size, so that only the first may be shorter. A null text counts as empty: its end alone."""
+    from the end into pieces of size, so that only the first may be shorter. A null text counts as empty: its end alone.
+    added: the added tokens of the vocabulary's file are single ids in texts, as for tokenizers by default; else plain text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:
             _encoders[path] = encoder(path)
-        encode = _encoders[path].encode_ordinary
+        own = _encoders[path]
+        encode = (lambda value: own.encode(value, allowed_special="all", disallowed_special=())) if added else own.encode_ordinary
         end = END.to_bytes(4, "little")
         for batch in batches:
             out: list[tuple] = []
@@ -109,14 +111,14 @@ def ranked_within(df: DataFrame, group: str, order: list[str], salts: int = 64)
     return rows.join(before, [group, "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_salt", "_before")
 
 
-def pack(docs: DataFrame, path: str, size: int = 1024, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = 1024, *, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """Pieces of all documents with the sequence and the offset that the plan gives them.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset. Null and empty texts are documents of one id;
     documents that share an id are packed each by itself; an empty table gives no rows. Only the histogram (at most size
     rows) comes to the driver; pieces find their places by their rank among those of the same length.
     """
-    cut = materialize(pieces(docs, path, size, key=key, text=text))
+    cut = materialize(pieces(docs, path, size, key=key, text=text, added=added))
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = plan(counts, size)
     places = places[np.lexsort((places[:, 1], places[:, 0]))]

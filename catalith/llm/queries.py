@@ -69,7 +69,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), added=True)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

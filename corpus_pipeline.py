@@ -39,7 +39,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens with their sequence and offset."""
-    return packing.pack(docs, queries.vocabulary())
+    return packing.pack(docs, queries.vocabulary(), added=True)
 
 
 STAGES = [

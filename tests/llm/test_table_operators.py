@@ -285,6 +285,20 @@ def test_packing(spark):
     assert packing.pack(docs.limit(0), path, 256).count() == 0
 
 
+def test_op10_packing_takes_added_tokens_as_the_tokenizer_does(spark, tmp_path):
+    pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    from catalith.llm import queries
+
+    own = tokenizers.Tokenizer.from_file(queries.vocabulary())
+    texts = ["<|endoftext|> as text", "a  <|endoftext|>\n\nb<|endoftext|><|endoftext|>", "<|endoftext|", "plain  text ", None]
+    spark.createDataFrame(list(enumerate(texts)), DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    expect = {i: np.array(own.encode(t or "", add_special_tokens=False).ids + [packing.END], "<u4") for i, t in enumerate(texts)}
+    assert 50256 in expect[0]
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in queries.op10_packing(spark, str(tmp_path)).collect()}
+    assert got == {i: (len(ids), zlib.crc32(ids.tobytes())) for i, ids in expect.items()}
+
+
 def test_pipeline_keeps_and_drops(spark, tmp_path):
     import corpus_pipeline
 
