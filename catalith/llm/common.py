@@ -10,23 +10,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text is worked on in runs of documents of about so many bytes; a longer document is a run by itself.
 RUN_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; an own one only where it is unset."""
+    """The folder that spark.checkpoint.dir names. Only where it is unset and all runs on one machine, an own one."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="catalith-"))
         at = spark.sparkContext.getCheckpointDir()
     return at
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """The same rows, read from a table written to the shared folder: lineage ends here, and lost executors cost a read."""
-    at = f"{shared_dir(df.sparkSession)}/catalith-{uuid.uuid4().hex}"
+    """The same rows, read from a table written to the shared folder: lineage ends here, and lost executors cost a read. An
+    application's tables lie in one folder, which can go when it has ended."""
+    at = f"{shared_dir(df.sparkSession)}/catalith-{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
@@ -148,9 +152,21 @@ def _starts(counts: DataFrame, level: int) -> DataFrame:
     return own.join(above, up).select(name, (F.col("_own") + F.col("_start")).alias("_start"))
 
 
+def ordinals(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """out: the row's number from 0 in any order of any columns. Ranges of rows are sorted by themselves and written; a range
+    starts where the counts of those before it end."""
+    dealt = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a range
+    starts = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", before.alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)).cast("long") - 1
+    return dealt.withColumn(out, within).join(starts, "_part").withColumn(out, F.col(out) + F.col("_start")).drop("_part", "_start")
+
+
 def unique_ids(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "_rid") -> DataFrame:
-    """out: a unique long in the order of key. It is key itself where that is unique and has no null; otherwise the rank
-    in the order (key, text), so rows that share an id stay apart and the smaller text counts as the earlier document."""
+    """out: a unique long in the order of key. It is key itself where that is an integer, unique and has no null; otherwise the
+    rank in the order (key, text), so rows that share an id stay apart and the smaller text counts as the earlier document."""
+    if not isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return ordinals(df, [F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first()], out)
     again = df.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1)).limit(1)
     if not again.take(1):
         return df.withColumn(out, F.col(key))

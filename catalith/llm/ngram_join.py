@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.llm.common import BASE, Rolling, few, materialize, mix, runs, signed, text_buffer, unique_ids
@@ -15,17 +16,16 @@ from catalith.llm.components import components
 
 #: Words of a shingle, and the least similarity as a fraction: documents link from NUM / DEN on.
 WORDS, NUM, DEN = 5, 3, 4
-#: Columns with more documents take part by pairs with one leader a size band first.
+#: Columns of at most so many sets give pairs; longer ones are multiplied in blocks of two parts.
 SMALL = 24
 #: The most frequent shingles, put last in the order of columns; at most so many come to the driver. They change the work, never the result.
 FREQUENT, FREQUENT_FROM = 40_000, 24
-#: Sets in one part of a block that are compared with another part.
-PART = 64
-#: Columns of over LONG sets first meet in turns: a set and its NEXT ones, until a turn links fewer than one in TIRED. They
-#: change the work, never the result.
-LONG, TURNS, NEXT, TIRED = 512, 3, 8, 50
+#: A part of a block: about so many sets, or so many entries of the matrix; and so many columns are multiplied at once.
+PART, CAP, COLS = 1024, 400_000, 2048
+#: Turns in which long columns' sets meet in parts, before all that are still in different components meet. They change the work, never the result.
+TURNS = 2
 #: Rows of postings handled at once.
-BLOCK = 400_000
+BLOCK = 60_000
 
 
 def shingles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,13 +110,15 @@ def prefix(n):
 
 
 def _postings(frequent: np.ndarray):
-    """(column, set name, set size) of the first columns of each set in the order (frequent, hash), once a task."""
+    """(column, set name, set size, frequent) of the first columns of each set in the order (frequent, hash), about once a task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for ids, data, at in _text_runs(batches):
             d, x = shingles(data, at)
             n, name = _class(d, x, len(ids))
+            if len(seen) > BLOCK:  # equal sets are united again where columns meet
+                seen.clear()
             fresh = np.zeros(len(ids), bool)
             for i, key in enumerate(name.tolist()):
                 if n[i] and key not in seen:
@@ -132,8 +134,8 @@ def _postings(frequent: np.ndarray):
             own = np.bincount(d, minlength=len(ids))
             place = np.arange(len(d)) - (np.cumsum(own) - own)[d]
             first = place < prefix(n)[d]
-            d, x = d[first], x[first]
-            yield pa.RecordBatch.from_pydict({"h": signed(x), "k": signed(name)[d], "n": n[d].astype(np.int32)})
+            d, x, late = d[first], x[first], late[order][first]
+            yield pa.RecordBatch.from_pydict({"h": signed(x), "k": signed(name)[d], "n": n[d].astype(np.int32), "late": late})
 
     return work
 
@@ -144,111 +146,156 @@ def needed(na, nb):
 
 
 def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Products of columns, which come sorted by (column, size, name). Kind 0: (set, set, sizes, shared columns, the least of
-    these, and how many of its sets were at hand); kind 1: (column, set, size) of columns with over SMALL sets, which so far were multiplied with leaders only."""
-    names = ("kind", "a", "b", "na", "nb", "c", "h", "m")
-    leaders: dict[int, int] = {}  # of a column that is cut: band -> set
-    column = None
+    """Products of columns, which come sorted by (frequent, column, size, name). Kind 0: (set, set, sizes, shared columns, the least of
+    these); kind 1: (column, set, size) of frequent columns and of those with over SMALL sets, which aren't multiplied here."""
+    names = ("kind", "a", "b", "na", "nb", "c", "h")
+    column = None  # the one that was cut last
 
-    def out(kind, a, b, na, nb, c, h, m):
-        return pa.RecordBatch.from_pydict(dict(zip(names, (np.full(len(a), kind, np.int32), a, b, na.astype(np.int32), nb.astype(np.int32), c.astype(np.int32), h, m.astype(np.int32)), strict=True)))
+    def out(kind, a, b, na, nb, c, h):
+        return pa.RecordBatch.from_pydict(dict(zip(names, (np.full(len(a), kind, np.int32), a, b, na.astype(np.int32), nb.astype(np.int32), c.astype(np.int32), h), strict=True)))
 
-    def multiply(h, k, n, part: bool):
-        nonlocal column, leaders
+    def multiply(h, k, n, late, part: bool):
+        nonlocal column
         again = np.zeros(len(h), bool)
         again[1:] = (h[1:] == h[:-1]) & (k[1:] == k[:-1])
-        h, k, n = h[~again], k[~again], n[~again]
+        h, k, n, late = h[~again], k[~again], n[~again], late[~again]
         edge = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
         size = np.diff(np.append(edge, len(h)))
-        cut = size > SMALL
-        if part and len(cut):
-            cut[:] = True
+        cut = (size > SMALL) | late[edge] | part
         if column is not None and len(h) and h[0] == column:
             cut[0] = True
+        if len(cut) and cut[-1]:
+            column = h[-1]
         of = np.repeat(np.arange(len(edge)), size)
-        left, right = [], []
-        few = np.flatnonzero(~cut[of]) if len(of) else np.zeros(0, np.int64)
+        wide = cut[of] if len(of) else np.zeros(0, bool)
+        if wide.any():
+            yield out(1, h[wide], k[wide], n[wide], n[wide], np.zeros(int(wide.sum())), h[wide])
+        few = np.flatnonzero(~wide)
+        pairs = []
         for step in range(1, SMALL):
             x = few[few + step < len(h)]
             x = x[of[x] == of[x + step]]
             if not len(x):
                 break
-            y = x + step
-            x, y = x[DEN * n[x] >= NUM * n[y]], y[DEN * n[x] >= NUM * n[y]]
-            left.append(x)
-            right.append(y)
-        pairs = [(k[x], k[y], n[x], n[y], h[x], size[of[x]]) for x, y in zip(left, right, strict=True)]
-        for run in np.flatnonzero(cut):
-            a, b = edge[run], edge[run] + size[run]
-            if column != h[a]:
-                column, leaders = h[a], {}
-            band = np.floor(np.log(n[a:b]) / np.log(DEN / NUM)).astype(int)
-            first = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
-            for f in first:
-                leaders.setdefault(int(band[f]), (int(k[a + f]), int(n[a + f])))
-            lead = np.array([leaders[int(x)] for x in band[first]], np.int64)[np.cumsum(np.append(True, band[1:] != band[:-1])) - 1]
-            other = lead[:, 0] != k[a:b]
-            pairs.append((lead[other, 0], k[a:b][other], lead[other, 1].astype(np.int32), n[a:b][other], h[a:b][other], np.full(int(other.sum()), b - a)))
-            yield out(1, h[a:b], k[a:b], n[a:b], n[a:b], np.zeros(b - a), h[a:b], np.full(b - a, b - a))
+            x = x[DEN * n[x].astype(np.int64) >= NUM * n[x + step].astype(np.int64)]
+            pairs.append((k[x], k[x + step], n[x], n[x + step], h[x]))
         if pairs:
-            a, b, na, nb, g, m = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            a, b, na, nb, g = (np.concatenate(x) for x in zip(*pairs, strict=True))
             swap = a > b
             a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
             order = np.lexsort((g, b, a))
-            a, b, na, nb, g, m = a[order], b[order], na[order], nb[order], g[order], m[order]
+            a, b, na, nb, g = a[order], b[order], na[order], nb[order], g[order]
             new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
-            yield out(0, a[new], b[new], na[new], nb[new], np.diff(np.append(new, len(a))), g[new], m[new])
+            yield out(0, a[new], b[new], na[new], nb[new], np.diff(np.append(new, len(a))), g[new])
 
     held: list[tuple] = []
     rows = 0
     for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)))
+        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(4)))
         rows += batch.num_rows
         if rows >= BLOCK:
-            h, k, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            last = int(np.searchsorted(h, h[-1]))
+            h, k, n, late = (np.concatenate(x) for x in zip(*held, strict=True))
+            last = int(np.flatnonzero(h != h[-1])[-1]) + 1 if (h != h[-1]).any() else 0
             part = last == 0
             last = last or len(h)
-            yield from multiply(h[:last], k[:last], n[:last], part)
-            held, rows = [(h[last:], k[last:], n[last:])], len(h) - last
+            yield from multiply(h[:last], k[:last], n[:last], late[:last], part)
+            held, rows = [(h[last:], k[last:], n[last:], late[last:])], len(h) - last
     if rows:
         yield from multiply(*(np.concatenate(x) for x in zip(*held, strict=True)), False)
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, a, b, text), sorted by block: a text of set a where b is null, else a pair of sets whose texts are in the
-    block. Gives the pairs whose whole sets link."""
+def product(x: np.ndarray, of: np.ndarray, n: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of sets that link: one of the left and one of the right, or any two where none is right.
+
+    x, of: the entries of the incidence matrix, a column's hash and its set; n: sizes of the sets. Columns that only one
+    set has add nothing. The others are multiplied in slices of COLS; overlaps add up over the slices, and sets go as
+    soon as none of their pairs can reach the overlap that its sizes need with what is left of both.
+    """
+    rows, cols = (np.flatnonzero(~right), np.flatnonzero(right)) if right.any() else (np.arange(len(n)), np.arange(len(n)))
+    order = np.argsort(x, kind="stable")
+    x, of = x[order], of[order]
+    new = np.append(True, x[1:] != x[:-1]) if len(x) else np.zeros(0, bool)
+    column = np.cumsum(new) - 1
+    held = np.bincount(column)[column] > 1
+    of, column = of[held], (np.cumsum(new[held]) - 1)
+    rest = np.bincount(of, minlength=len(n))
+    need = needed(n[rows][:, None], n[cols][None, :])
+    fits = DEN * np.minimum(n[rows][:, None], n[cols][None, :]) >= NUM * np.maximum(n[rows][:, None], n[cols][None, :])
+    shared = np.zeros((len(rows), len(cols)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLS):
+        i, j = np.searchsorted(column, [first, first + COLS])
+        width = min(COLS, int(column[-1]) + 1 - first)
+        place = np.full(len(n), -1)
+        left, down = np.zeros((len(rows), width), np.float32), np.zeros((len(cols), width), np.float32)
+        for matrix, sets in ((left, rows), (down, cols)):
+            place[:] = -1
+            place[sets] = np.arange(len(sets))
+            here = place[of[i:j]] >= 0
+            matrix[place[of[i:j][here]], column[i:j][here] - first] = 1
+        shared += left @ down.T
+        rest -= np.bincount(of[i:j], minlength=len(n))
+        can = fits & (shared + np.minimum(rest[rows][:, None], rest[cols][None, :]) >= need)
+        up, down_ = can.any(1), can.any(0)
+        rows, cols, shared, need, fits = rows[up], cols[down_], shared[up][:, down_], need[up][:, down_], fits[up][:, down_]
+        if not len(rows):
+            break
+    a, b = np.nonzero(fits & (shared >= need))
+    a, b = rows[a], cols[b]
+    return (a, b) if right.any() else (a[a < b], b[a < b])
+
+
+def spanned(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of n nodes the least one that the edges (a, b) connect it with."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, c, right, text), sorted by block: whole texts of sets with their components. Gives edges (a, b) that connect
+    the components that links of a block connect: one for each component less than there are, never one for each link."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
-        is_text = pa.compute.is_null(rows["b"])
-        texts, pairs = rows.filter(is_text), rows.filter(pa.compute.invert(is_text))
-        data, at = text_buffer(texts["text"])
-        sets = []
-        for i, j in runs(at):
-            d, x = shingles(data[at[i] : at[j]], at[i : j + 1])
-            sets += np.split(x, np.cumsum(np.bincount(d, minlength=j - i))[:-1])
-        place = {key: i for i, key in enumerate(zip(texts["block"].to_pylist(), texts["a"].to_pylist(), strict=True))}
-        a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
-        ok = np.zeros(len(a), bool)
-        for i, (block, u, v) in enumerate(zip(pairs["block"].to_pylist(), a.tolist(), b.tolist(), strict=True)):
-            x, y = sets[place[block, u]], sets[place[block, v]]
-            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            ok[i] = DEN * shared >= NUM * (len(x) + len(y) - shared)
-        return pa.RecordBatch.from_pydict({"a": a[ok], "b": b[ok]})
+        block, c, right = (rows[x].to_numpy() for x in ("block", "c", "right"))
+        data, at = text_buffer(rows["text"])
+        found = [shingles(data[at[i] : at[j]], at[i : j + 1]) for i, j in runs(at)]
+        firsts = np.cumsum([0, *[j - i for i, j in runs(at)]])
+        of = np.concatenate([d + f for (d, _), f in zip(found, firsts, strict=False)] or [np.zeros(0, np.int64)])
+        x = np.concatenate([v for _, v in found] or [np.zeros(0, np.uint64)])
+        n = np.bincount(of, minlength=len(c))
+        edge = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        entry = np.concatenate([[0], np.cumsum(n)])
+        ends = []
+        for i, j in zip(edge, np.append(edge[1:], len(c)), strict=True):
+            i_, j_ = entry[i], entry[j]
+            a, b = product(x[i_:j_], of[i_:j_] - i, n[i:j], right[i:j])
+            names, own = np.unique(c[i:j], return_inverse=True)
+            top = spanned(own[a], own[b], len(names))
+            moved = np.flatnonzero(top != np.arange(len(names)))
+            ends.append((names[top[moved]], names[moved]))
+        a, b = (np.concatenate([e[k] for e in ends]) for k in range(2))
+        return pa.RecordBatch.from_pydict({"a": a, "b": b})
 
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
-        if size > 16 << 20:
+        if size > 4 << 20:
             rows = pa.Table.from_batches(held).combine_chunks()
             block = rows["block"].to_numpy()
             cut = int(np.searchsorted(block, block[-1]))
             if cut:
                 yield work(rows[:cut])
                 held = rows[cut:].to_batches()
-                size = sum(x.nbytes for x in held)
+            size = sum(x.nbytes for x in held) if cut else 0  # an unfinished block waits for as much again
     if held:
         yield work(pa.Table.from_batches(held))
 
@@ -258,13 +305,16 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     (whether it stands for its component: the smallest key, and the smallest text of those that share it).
 
     Documents with equal sets are one row of the matrix. Its columns are ordered, frequent ones last; of each set only its
-    first columns can hold the first one that it shares with a set that links with it, and only those are multiplied, block by
-    block of columns. Overlaps of pairs are summed over all blocks; a pair goes on if sum and what the sizes leave open reach
-    the least overlap that its sizes need. Whole sets decide. A column of many sets is multiplied with one leader a size band first; then its sets that are in
-    different components by then are multiplied with each other, so no link between components is lost and groups of copies
-    stay linear.
-
-    Null, empty and blank texts have no set, link with nothing and are their own component. 64-bit hashes stand for shingles.
+    first columns can hold the first one that it shares with a set that links with it. Their product gives blocks of rows
+    that can link: sets of a short column whose shared columns, and what sizes leave open, reach the least overlap that the
+    sizes need. Sets of long columns are dealt into blocks of two parts of bounded size (see _blocks). In a block the rows of
+    the whole matrix are multiplied, overlaps add up over all columns, and pairs below the bounds go. A block gives out only which
+    components its links connect; components are contracted after each turn, so copies stay linear in number, and pairs
+    of components that stay apart meet exactly.
+
+    Null, empty and blank texts have no set, link with nothing and are their own component. Repeated rows are equal sets.
+    Keys may be of any type that has an order; a null key is the smallest. Extra columns are ignored, an empty table gives
+    no rows. 64-bit hashes stand for shingles.
     """
     rows = unique_ids(docs.select(key, text), key, text).select(F.col("_rid").cast("long"), F.col(text).cast("string").alias("_text"), F.col(key).alias("_key"))
     plain = rows.select("_rid", "_text")
@@ -272,93 +322,106 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     frequent = members.filter("kind = 1").groupBy("x").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "x").limit(FREQUENT).collect()
     late = np.sort(np.array([r["x"] for r in frequent], np.int64).view(np.uint64))
     sets = members.filter("kind = 0").select(F.col("x").alias("_rid"), F.col("n").alias("n_shingles"), F.col("y").alias("_k"))
-    reps = sets.filter("n_shingles > 0").groupBy("_k").agg(F.min("_rid").alias("_rep"))
+    reps = materialize(sets.filter("n_shingles > 0").groupBy("_k").agg(F.min("_rid").alias("_rep")))
 
-    postings = plain.mapInArrow(_postings(late), "h long, k long, n int").repartition("h").sortWithinPartitions("h", "n", "k")
-    made = materialize(postings.mapInArrow(_products, "kind int, a long, b long, na int, nb int, c int, h long, m int"))
-    wide = made.filter("kind = 1").select(F.col("a").alias("h"), F.col("b").alias("k"), F.col("na").alias("n"))
+    # A frequent column's sets are spread over all tasks; only others have to come together.
+    postings = plain.mapInArrow(_postings(late), "h long, k long, n int, late boolean").repartition(F.when(F.col("late"), F.xxhash64("h", "k")).otherwise(F.col("h")))
+    made = materialize(postings.sortWithinPartitions("late", "h", "n", "k").mapInArrow(_products, "kind int, a long, b long, na int, nb int, c int, h long"))
+    wide = materialize(made.filter("kind = 1").select(F.col("a").alias("h"), F.col("b").alias("k"), F.col("na").alias("n")).distinct())
     open_ = wide.groupBy("k").agg(F.count("*").cast("int").alias("w"))
-    pairs = made.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"), F.min(F.struct("h", "m")).alias("at"))
+    pairs = made.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"), F.min("h").alias("h"))
 
     need, rest = f"ceil({NUM} * (na + nb) / {NUM + DEN}.0)", f"ceil({NUM} * greatest(na, nb) / {DEN}.0) - 1"
     counted = pairs.join(open_.toDF("a", "wa"), "a", "left").join(open_.toDF("b", "wb"), "b", "left")
-    close = counted.filter(f"c + least(coalesce(wa, 0), coalesce(wb, 0)) + {rest} >= {need}").select("a", "b", "at.h", "at.m")
-    edges = materialize(_check(close, rows, reps))
-    label = _labels(reps, components(edges))
-
-    # Very long columns: some pairs of different components, as long as these link.
-    for turn in range(TURNS):
-        hot = materialize(_mixed(wide, label).filter(F.col("m") > LONG))
-        size = hot.count()
-        if not size:
+    close = counted.filter(f"c + least(coalesce(wa, 0), coalesce(wb, 0)) + {rest} >= {need}")
+    short = close.select(F.col("h").alias("block"), F.explode(F.array("a", "b")).alias("k")).distinct()
+    label = _contracted(reps.select(F.col("_k").alias("k"), F.col("_k").alias("c")), _links(short.select("block", "k", F.col("k").alias("c"), F.lit(False).alias("right")), rows, reps))
+    for turn in range(TURNS + 1):
+        mixed = _mixed(wide, label)
+        if not mixed.take(1):
             break
-        more = materialize(_check(_some(hot, turn), rows, reps))
-        edges = edges.union(more)
-        label = _labels(reps, components(edges))
-        if TIRED * more.count() < size:
-            break
-    # Then all pairs of different components in long columns.
-    left = materialize(_mixed(wide, label))
-    if left.take(1):
-        # A pair is made at its first shared column alone, and only if its shared columns and those that aren't in left suffice.
-        own = left.join(left.groupBy("k").agg(F.sort_array(F.collect_set("h")).alias("hs")), "k")
-        open_n = lambda x: f"{x}.n - ceil({NUM} * {x}.n / {DEN}.0) + 1 - size({x}.hs)"
-        shared = "array_intersect(x.hs, y.hs)"
-        size_rest = f"ceil({NUM} * greatest(x.n, y.n) / {DEN}.0) - 1"
-        on = f"x.h = y.h and x.k < y.k and x.c <> y.c and {DEN} * least(x.n, y.n) >= {NUM} * greatest(x.n, y.n)"
-        on += f" and element_at({shared}, 1) = x.h and size({shared}) + least({open_n('x')}, {open_n('y')}) + {size_rest} >= ceil({NUM} * (x.n + y.n) / {NUM + DEN}.0)"
-        met = own.alias("x").join(own.alias("y"), F.expr(on)).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.expr(f"size({shared})").alias("s"), F.struct("x.m", "x.h").alias("at"))
-        met = met.join(pairs.select("a", "b", "c"), ["a", "b"], "left").filter(f"s + coalesce(c, 0) + {rest} >= {need}")
-        more = materialize(_check(met.select("a", "b", "at.h", "at.m"), rows, reps))
-        if more.take(1):
-            label = _labels(reps, components(edges.union(more)))
+        blocks = _parts(mixed, turn) if turn < TURNS else _blocks(mixed)
+        label = _contracted(label, _links(blocks, rows, reps))
 
+    firsts = reps.join(label, F.col("_k") == F.col("k")).groupBy("c").agg(F.min("_rep").alias("_c"))
+    top = label.join(firsts, "c").select(F.col("k").alias("_k"), "_c")
     keys = rows.select("_rid", "_key")
-    joined = sets.join(label.toDF("_k", "_c"), "_k", "left").withColumn("_c", F.when(F.col("n_shingles") > 0, F.col("_c")).otherwise(F.col("_rid"))).drop("_k")
+    joined = sets.join(top, "_k", "left").withColumn("_c", F.when(F.col("n_shingles") > 0, F.col("_c")).otherwise(F.col("_rid"))).drop("_k")
     joined = joined.join(keys, "_rid").join(keys.toDF("_c", "component_id"), "_c")
     return joined.select(F.col("_key").alias(key), "n_shingles", "component_id", (F.col("_rid") == F.col("_c")).alias("first"))
 
 
-def _labels(reps: DataFrame, found: DataFrame) -> DataFrame:
-    """(set name, smallest document of its component); found: components of set names' edges."""
-    named = reps.join(found.toDF("_k", "_top"), "_k", "left").withColumn("_top", F.coalesce("_top", "_k"))
-    return materialize(named.join(named.groupBy("_top").agg(F.min("_rep").alias("_c")), "_top").select("_k", "_c"))
+def _contracted(label: DataFrame, edges: DataFrame) -> DataFrame:
+    """label (k, c) after edges (a, b) between components have united these."""
+    found = components(edges)
+    return materialize(label.join(found.toDF("c", "_top"), "c", "left").select("k", F.coalesce("_top", "c").alias("c")))
 
 
 def _mixed(wide: DataFrame, label: DataFrame) -> DataFrame:
     """(h, k, n, c, m): columns whose m sets are in several components."""
-    spread = wide.join(label.toDF("k", "c"), "k")
+    spread = wide.join(label, "k")
     mixed = spread.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("h", "m")
-    return spread.join(mixed, "h")
+    return materialize(spread.join(few(mixed), "h").select("h", "k", "n", "c", "m"))
+
+
+def _band(turn: int) -> Column:
+    """Sets that link are in the same band of sizes or in neighbouring ones."""
+    return F.floor(F.ln("n") / F.lit(math.log(DEN / NUM)) + F.lit(turn / 2)).alias("band")
+
+
+def _dealt(sets: DataFrame, by: list[str], turn: int) -> DataFrame:
+    """sets with part: each group of them is dealt into parts of about PART sets, or of CAP entries where sets are long."""
+    sizes = sets.groupBy(*by).agg(F.greatest(F.ceil(F.sum("n") / CAP), F.ceil(F.count("*") / PART)).cast("int").alias("parts"))
+    return sets.join(few(sizes), by).withColumn("part", F.pmod(F.xxhash64("k", F.lit(turn)), F.col("parts")).cast("int"))
 
 
-def _some(left: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b, h, m) of sets of a column in different components: of each set and the next NEXT ones in an order that
-    changes with each turn, within parts of the column."""
-    ranked = left.withColumn("_g", F.pmod(F.xxhash64("k", F.lit(turn)), F.greatest(F.lit(1), F.ceil(F.col("m") / (4 * PART))).cast("int")))
-    w = Window.partitionBy("h", "_g").orderBy(F.xxhash64("k", F.lit(turn + 100)), "k")
-    nexts = F.array(*[F.lead(F.struct("k", "n", "c"), d).over(w) for d in range(1, NEXT + 1)])
-    flat = ranked.withColumn("_to", nexts).select("h", "m", "k", "n", "c", F.explode(F.filter("_to", lambda y: (y["c"] != F.col("c")) & (DEN * F.least(y["n"], F.col("n")) >= NUM * F.greatest(y["n"], F.col("n"))))).alias("y"))
-    return flat.groupBy(F.least("k", "y.k").alias("a"), F.greatest("k", "y.k").alias("b")).agg(F.max(F.struct("m", "h")).alias("at")).select("a", "b", "at.h", "at.m")
+def _parts(mixed: DataFrame, turn: int) -> DataFrame:
+    """A turn: each set meets the others of a part of one of its columns, another part and column each turn."""
+    home = F.max_by("h", F.struct("m", "h")) if turn == 0 else F.min_by("h", F.xxhash64("h", F.lit(turn)))
+    sets = mixed.groupBy("k").agg(home.alias("g"), F.max("n").alias("n"), F.max("c").alias("c"))
+    dealt = materialize(_dealt(sets.select("g", "k", "n", "c", _band(turn)), ["g", "band"], turn).select(F.xxhash64("g", "band", "part").alias("block"), "k", "c", F.lit(False).alias("right")))
+    several = dealt.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("block")
+    return dealt.join(several, "block", "left_semi")
 
 
-def _check(pairs: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b, h, m) that link, decided on the whole texts of one document each.
+def _blocks(mixed: DataFrame) -> DataFrame:
+    """All pairs of sets of different components that share a long column, each in a block of two parts.
 
-    h: a column that both have, m: about how many sets it has. Pairs of one column meet in one task, so a text moves once for
-    all of its pairs there; a long column is dealt into blocks of two parts of about PART sets. The texts that take part are
-    picked by a broadcast of their ids while these are few, else by a join.
+    A set's home is its longest column; a home's sets are grouped by size band, and large components are groups by
+    themselves. Groups meet where their homes share a column and their sizes can link, unless both are the same component. So two sets
+    meet once, whatever the number of columns that they share.
     """
-    part = lambda c: F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.ceil(F.col("m") / PART)).cast("int"))
-    pairs = materialize(pairs.withColumn("block", F.xxhash64("h", F.col("m").cast("long"), F.least(part("a"), part("b")), F.greatest(part("a"), part("b")))).select("block", "a", "b"))
-    ends = pairs.select("block", F.explode(F.array("a", "b")).alias("_k")).distinct().join(reps, "_k").select("block", "_k", F.col("_rep").alias("_rid"))
-    texts = rows.select("_rid", "_text").join(few(ends), "_rid").select("block", F.col("_k").alias("a"), F.lit(None).cast("long").alias("b"), F.col("_text").alias("text"))
-    both = texts.unionByName(pairs.withColumn("text", F.lit(None).cast("string")))
-    return both.repartition("block").sortWithinPartitions("block").mapInArrow(_verified, "a long, b long")
+    sets = materialize(mixed.groupBy("k").agg(F.max_by("h", F.struct("m", "h")).alias("g"), F.max("n").alias("n"), F.max("c").alias("c")).select("g", "k", "n", "c", _band(0)))
+    large = sets.groupBy("g", "band", "c").agg(F.count("*").alias("m"), F.sum("n").alias("s")).filter((F.col("m") >= PART // 8) | (F.col("s") >= CAP // 8)).select("g", "band", "c", F.col("c").alias("z"))
+    own = sets.join(few(large), ["g", "band", "c"], "left").withColumn("z", F.coalesce("z", F.lit(0).cast("long")))
+    group = ["g", "band", "z"]
+    dealt = materialize(_dealt(own, group, 0).select(*group, "parts", "part", "k", "c"))
+    groups = materialize(dealt.select(*group, "parts").distinct())
+    homes = mixed.select("h", "k").join(sets.select("k", "g"), "k").select("h", "g").distinct()
+    near = homes.join(homes.toDF("h", "g2"), "h").filter("g <= g2").select("g", "g2").distinct()
+    other = groups.toDF("g2", "band2", "z2", "parts2")
+    met = near.join(groups, "g").join(other, "g2").filter("abs(band - band2) <= 1 and not (z = z2 and z <> 0) and (g < g2 or band < band2 or band = band2 and z <= z2)")
+    same = (F.col("g") == F.col("g2")) & (F.col("band") == F.col("band2")) & (F.col("z") == F.col("z2"))
+    met = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("part2", F.explode(F.sequence(F.when(same, F.col("part")).otherwise(0), F.col("parts2") - 1)))
+    met = materialize(met.select(*group, "part", "g2", "band2", "z2", "part2", F.xxhash64(*group, "part", "g2", "band2", "z2", "part2").alias("block")))
+    itself = same & (F.col("part") == F.col("part2"))
+    left = met.select("block", *group, "part", F.lit(False).alias("right"))
+    right = met.filter(~itself).select("block", F.col("g2").alias("g"), F.col("band2").alias("band"), F.col("z2").alias("z"), F.col("part2").alias("part"), F.lit(True).alias("right"))
+    return left.union(right).join(dealt, [*group, "part"]).select("block", "k", "c", "right")
+
+
+def _links(blocks: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """Edges (a, b) between components: the products of blocks (block, k, c, right) of whole sets. The texts that take part, one
+    document's for each set, are picked by a broadcast of their ids while these are few, else by a join."""
+    ends = blocks.join(reps, F.col("k") == F.col("_k")).select("block", "c", "right", F.col("_rep").alias("_rid"))
+    texts = rows.select("_rid", "_text").join(few(ends), "_rid").select("block", "c", "right", F.col("_text").alias("text"))
+    return materialize(texts.repartition("block").sortWithinPartitions("block").mapInArrow(_linked, "a long, b long"))
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one document of each component: the one with the smallest key. All columns stay as they are."""
-    rows = unique_ids(docs, key, text, "_rid")
-    kept = near_duplicates(rows.select("_rid", text), key="_rid", text=text).filter("first").select("_rid")
-    return rows.join(few(kept), "_rid", "left_semi").select(*docs.columns)
+    """docs with one document of each component: the one with the smallest key (of rows that share it, the smallest text; of
+    rows alike in both, one). All columns stay as they are, whatever their names; null and blank texts all stay."""
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_of"), F.col(text).alias("_text"))
+    rows = unique_ids(inner, "_of", "_text", "_rid")
+    kept = near_duplicates(rows.select("_rid", "_text"), key="_rid", text="_text").filter("first").select("_rid")
+    return rows.join(few(kept), "_rid", "left_semi").select("_row.*")
