@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.llm.common import BASE, Rolling, few, materialize, mix, runs, signed, text_buffer, unique_ids
@@ -283,21 +283,8 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = (np.concatenate([e[k] for e in ends]) for k in range(2))
         return pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size > 4 << 20:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            block = rows["block"].to_numpy()
-            cut = int(np.searchsorted(block, block[-1]))
-            if cut:
-                yield work(rows[:cut])
-                held = rows[cut:].to_batches()
-            size = sum(x.nbytes for x in held) if cut else 0  # an unfinished block waits for as much again
-    if held:
-        yield work(pa.Table.from_batches(held))
+    for rows in _whole_blocks(batches, lambda b: b.nbytes, 4 << 20):
+        yield work(rows)
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -358,56 +345,111 @@ def _contracted(label: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _mixed(wide: DataFrame, label: DataFrame) -> DataFrame:
-    """(h, k, n, c, m): columns whose m sets are in several components."""
+    """(h, k, n, c, m, r): columns whose m sets are in several components. r: so many of the set's columns of this kind come
+    from this one on, in the order (m, h); a pair that meets here first shares no more than the lesser of its two r."""
     spread = wide.join(label, "k")
     mixed = spread.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi").select("h", "m")
-    return materialize(spread.join(few(mixed), "h").select("h", "k", "n", "c", "m"))
+    r = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("m"), F.desc("h")))
+    return materialize(spread.join(few(mixed), "h").select("h", "k", "n", "c", "m").withColumn("r", r))
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, right, k, n, c, r, g), sorted by block. Gives (k, n, c, g, to): sets that can link with one of group to.
+
+    Sets of different components share no short column any more, or were found not to link there. So their overlap is at
+    most the lesser r and what lies beyond the first columns of the larger set.
+    """
+    names = ("right", "k", "n", "c", "r", "g")
+
+    def judge(right, k, n, c, r, g):
+        x, y = (np.flatnonzero(~right), np.flatnonzero(right)) if right.any() else (np.arange(len(k)),) * 2
+        large, small = np.maximum(n[x][:, None], n[y][None, :]), np.minimum(n[x][:, None], n[y][None, :])
+        can = (DEN * small >= NUM * large) & (c[x][:, None] != c[y][None, :])
+        can &= np.minimum(r[x][:, None], r[y][None, :]) + -(-NUM * large // DEN) - 1 >= needed(small, large)
+        for one, two, seen in ((x, y, can), *([(y, x, can.T)] if right.any() else [])):
+            order = np.argsort(g[two], kind="stable")
+            if len(order):
+                first = np.flatnonzero(np.append(True, g[two][order][1:] != g[two][order][:-1]))
+                i, j = np.nonzero(np.logical_or.reduceat(seen[:, order], first, axis=1))
+                yield one[i], g[two][order][first][j]
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        columns = {x: rows[x].to_numpy() for x in names} | {"n": rows["n"].to_numpy().astype(np.int64)}
+        block = rows["block"].to_numpy()
+        edge = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        found = [(i + one, to) for i, j in zip(edge, np.append(edge[1:], len(block)), strict=True) for one, to in judge(*(columns[x][i:j] for x in names))]
+        at, to = (np.concatenate([f[q] for f in found]) for q in range(2)) if found else (np.zeros(0, np.int64),) * 2
+        return pa.RecordBatch.from_pydict({**{x: columns[x][at] for x in ("k", "n", "c", "g")}, "to": to.astype(np.int64)})
+
+    for rows in _whole_blocks(batches, lambda b: b.num_rows, BLOCK):
+        yield work(rows)
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch], weight, limit: int) -> Iterator[pa.Table]:
+    """Batches sorted by block in tables of about limit in weight that end where a block ends."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += weight(batch)
+        if size > limit:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            block = rows["block"].to_numpy()
+            cut = int(np.searchsorted(block, block[-1]))
+            if cut:
+                yield rows[:cut]
+                held = rows[cut:].to_batches()
+            size = sum(weight(x) for x in held) if cut else 0  # an unfinished block waits for as much again
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _paired(sets: DataFrame, by: Column, parts: str, others: str, right: Column | None) -> DataFrame:
+    """sets with block and right: each set's part of its group (of parts) meets all parts of the other group (of others); a
+    group meets itself where right is null, each two parts once."""
+    part = F.pmod(F.xxhash64("k"), F.col(parts)).cast("int")
+    rows = sets.withColumn("_i", part).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col(others) - 1)))
+    right = F.coalesce(right, F.col("_j") < F.col("_i")) if right is not None else F.col("_j") < F.col("_i")
+    return rows.withColumn("right", right).withColumn("block", F.xxhash64(by, F.when(F.col("right"), F.col("_j")).otherwise(F.col("_i")), F.when(F.col("right"), F.col("_i")).otherwise(F.col("_j"))))
 
 
-def _band(turn: int) -> Column:
-    """Sets that link are in the same band of sizes or in neighbouring ones."""
-    return F.floor(F.ln("n") / F.lit(math.log(DEN / NUM)) + F.lit(turn / 2)).alias("band")
+def _visits(met: DataFrame) -> DataFrame:
+    columns = ("block", "right", "k", "n", "c", "r", "g")
+    return met.select(*columns).repartition("block").sortWithinPartitions("block").mapInArrow(_open, "k long, n long, c long, g long, to long").distinct()
 
 
-def _dealt(sets: DataFrame, by: list[str], turn: int) -> DataFrame:
-    """sets with part: each group of them is dealt into parts of about PART sets, or of CAP entries where sets are long."""
-    sizes = sets.groupBy(*by).agg(F.greatest(F.ceil(F.sum("n") / CAP), F.ceil(F.count("*") / PART)).cast("int").alias("parts"))
-    return sets.join(few(sizes), by).withColumn("part", F.pmod(F.xxhash64("k", F.lit(turn)), F.col("parts")).cast("int"))
+def _pieces(n: Column, entries: Column | None = None) -> Column:
+    return (F.ceil(n / PART) if entries is None else F.greatest(F.ceil(n / PART), F.ceil(entries / CAP))).cast("int")
 
 
 def _parts(mixed: DataFrame, turn: int) -> DataFrame:
-    """A turn: each set meets the others of a part of one of its columns, another part and column each turn."""
-    home = F.max_by("h", F.struct("m", "h")) if turn == 0 else F.min_by("h", F.xxhash64("h", F.lit(turn)))
-    sets = mixed.groupBy("k").agg(home.alias("g"), F.max("n").alias("n"), F.max("c").alias("c"))
-    dealt = materialize(_dealt(sets.select("g", "k", "n", "c", _band(turn)), ["g", "band"], turn).select(F.xxhash64("g", "band", "part").alias("block"), "k", "c", F.lit(False).alias("right")))
-    several = dealt.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("block")
-    return dealt.join(several, "block", "left_semi")
+    """A turn: sets that can link within a part of a column meet the others of a part of one such column, another part and column each turn."""
+    dealt = mixed.withColumn("g", F.col("h")).withColumn("_part", F.pmod(F.xxhash64("k", F.lit(turn)), _pieces(F.col("m"))))
+    visits = _visits(dealt.withColumn("block", F.xxhash64("h", "_part")).withColumn("right", F.lit(False)))
+    sets = materialize(visits.groupBy("k").agg(F.min_by("to", F.xxhash64("to", F.lit(turn))).alias("g"), F.max("n").alias("n"), F.max("c").alias("c")))
+    sizes = sets.groupBy("g").agg(_pieces(F.count("*"), F.sum("n")).alias("parts"))
+    part = F.pmod(F.xxhash64("k", F.lit(turn + TURNS)), F.col("parts"))
+    blocks = materialize(sets.join(few(sizes), "g").select(F.xxhash64("g", part).alias("block"), "k", "c", F.lit(False).alias("right")))
+    several = blocks.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("block")
+    return blocks.join(several, "block", "left_semi")
 
 
 def _blocks(mixed: DataFrame) -> DataFrame:
-    """All pairs of sets of different components that share a long column, each in a block of two parts.
+    """All pairs of sets of different components that share a long column and can link, each in one block of two parts.
 
     A set's home is its longest column; a home's sets are grouped by size band, and large components are groups by
-    themselves. Groups meet where their homes share a column and their sizes can link, unless both are the same component. So two sets
-    meet once, whatever the number of columns that they share.
+    themselves. Columns give which sets can link with which groups; then two groups meet with these sets alone, so two
+    sets meet once, whatever the number of columns that they share.
     """
-    sets = materialize(mixed.groupBy("k").agg(F.max_by("h", F.struct("m", "h")).alias("g"), F.max("n").alias("n"), F.max("c").alias("c")).select("g", "k", "n", "c", _band(0)))
-    large = sets.groupBy("g", "band", "c").agg(F.count("*").alias("m"), F.sum("n").alias("s")).filter((F.col("m") >= PART // 8) | (F.col("s") >= CAP // 8)).select("g", "band", "c", F.col("c").alias("z"))
-    own = sets.join(few(large), ["g", "band", "c"], "left").withColumn("z", F.coalesce("z", F.lit(0).cast("long")))
-    group = ["g", "band", "z"]
-    dealt = materialize(_dealt(own, group, 0).select(*group, "parts", "part", "k", "c"))
-    groups = materialize(dealt.select(*group, "parts").distinct())
-    homes = mixed.select("h", "k").join(sets.select("k", "g"), "k").select("h", "g").distinct()
-    near = homes.join(homes.toDF("h", "g2"), "h").filter("g <= g2").select("g", "g2").distinct()
-    other = groups.toDF("g2", "band2", "z2", "parts2")
-    met = near.join(groups, "g").join(other, "g2").filter("abs(band - band2) <= 1 and not (z = z2 and z <> 0) and (g < g2 or band < band2 or band = band2 and z <= z2)")
-    same = (F.col("g") == F.col("g2")) & (F.col("band") == F.col("band2")) & (F.col("z") == F.col("z2"))
-    met = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("part2", F.explode(F.sequence(F.when(same, F.col("part")).otherwise(0), F.col("parts2") - 1)))
-    met = materialize(met.select(*group, "part", "g2", "band2", "z2", "part2", F.xxhash64(*group, "part", "g2", "band2", "z2", "part2").alias("block")))
-    itself = same & (F.col("part") == F.col("part2"))
-    left = met.select("block", *group, "part", F.lit(False).alias("right"))
-    right = met.filter(~itself).select("block", F.col("g2").alias("g"), F.col("band2").alias("band"), F.col("z2").alias("z"), F.col("part2").alias("part"), F.lit(True).alias("right"))
-    return left.union(right).join(dealt, [*group, "part"]).select("block", "k", "c", "right")
+    sets = materialize(mixed.groupBy("k").agg(F.max_by("h", F.struct("m", "h")).alias("home"), F.max("n").alias("n"), F.max("c").alias("c")).withColumn("band", F.floor(F.ln("n") / math.log(DEN / NUM))))
+    large = sets.groupBy("home", "band", "c").agg(F.count("*").alias("m")).filter(F.col("m") >= PART // 8).select("home", "band", "c", F.col("c").alias("z"))
+    groups = sets.join(few(large), ["home", "band", "c"], "left").select("k", F.xxhash64("home", "band", F.coalesce("z", F.lit(0).cast("long"))).alias("g"))
+    met = _paired(mixed.join(materialize(groups), "k").withColumn("_n", _pieces(F.col("m"))), F.col("h"), "_n", "_n", None)
+    visits = materialize(_visits(met))
+    sizes = visits.groupBy("g", "to").agg(_pieces(F.count("*"), F.sum("n")).alias("parts"))
+    both = sizes.join(sizes.toDF("to", "g", "others"), ["g", "to"])
+    right = F.when(F.col("g") != F.col("to"), F.col("g") > F.col("to"))
+    return _paired(visits.join(few(both), ["g", "to"]), F.struct(F.least("g", "to"), F.greatest("g", "to")), "parts", "others", right).select("block", "k", "c", "right")
 
 
 def _links(blocks: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
