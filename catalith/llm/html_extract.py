@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,72 +19,101 @@ NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HOLDERS = frozenset("address article aside body details dialog div dl fieldset figure footer form header li main menu nav ol section table ul".split())
-#: An element of one of these kinds, or with one of these words in its class, id or role, isn't part of an article.
+#: Elements that HTML itself sets apart from an article. A header is one too, unless an article or main element holds it.
 ASIDE = frozenset("nav footer aside form button dialog menu fieldset".split())
-ASIDE_WORDS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|form|header|login|masthead|menu|modal|nav\w*|newsletter|notice|popup|promo\w*|related|replies|respond|search\w*|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Where nothing was learned of a class, id or role: it names an aside if it is made of these words, or of these and of plain ones.
+ASIDE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer form header login masthead menu modal nav navbar navigation newsletter notice popup promo promoted related replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+PLAIN_WORDS = frozenset("area bar block bottom box button buttons container global group icons inline inner item left link links list main middle outer page panel posts primary right rail row secondary section side site slot small thread top unit wrap wrapper".split())
+#: Labelled pages from which weights are learned, about: a page takes part by its hash.
+SAMPLE = 20_000
+#: A class, id or role was learned to name asides if so many of its elements stood outside of articles, and at most this share inside.
+OFTEN, INSIDE = 20, 0.05
 
 
 @dataclass
 class Weights:
-    """word: score of a word by the kind of element that holds it; tag: cost of a tag by its kind. Kinds that no labelled
-    page has take a default that depends on whether they stand in an aside."""
+    """word: score of a word by the kind of element that holds it; tag: cost of a tag by its kind; asides: names (class, id or
+    role) of elements that stand outside of articles. Kinds that no labelled page has take a default that depends on whether
+    they stand in an aside. An aside within other content is passed over: nothing in it counts."""
 
     word: dict[str, float] = field(default_factory=dict)
     tag: dict[str, float] = field(default_factory=dict)
+    asides: frozenset[str] = frozenset()
 
     def of(self, what: str, kind: str, text: str) -> float:
+        if kind.endswith(".within"):
+            return 0.0
         away = kind.endswith(".aside")
         if what == "words":
             return len(text.split()) * self.word.get(kind, 0.01 if away else 1.0)
         return -self.tag.get(f"{what} {kind}", 20.0 if away else 0.5)
 
 
-def _kind(name: str, attributes: str) -> str:
-    """Of an element: its name, and after a dot the aside word of its class, id or role if it has one."""
-    named = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if "=" in attributes else ""
-    return f"{name}.aside" if name in ASIDE or name != "body" and ASIDE_WORDS.search(named) else name
+def away(kind: str) -> bool:
+    return kind.endswith((".aside", ".within"))
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """(what, kind, text): what is open, close or words; kind is that of the tag, or of the element that holds the words.
+def _names(attributes: str) -> tuple[str, ...]:
+    """The words of an element's class, id and role."""
+    return tuple(" ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower().split()) if "=" in attributes else ()
 
-    Comments and elements whose content isn't text on the page are left out. An element counts as held in an aside when
-    any element around it is one. End tags without a start are tokens that close nothing; a new paragraph or list item
-    ends an open one.
+
+@lru_cache(100_000)
+def _set_apart(name: str) -> bool:
+    parts = [x for x in re.split(r"[_-]+|\d+", name) if x]
+    return any(x in ASIDE_WORDS for x in parts) and all(x in ASIDE_WORDS or x in PLAIN_WORDS for x in parts)
+
+
+def _is_aside(element: str, names: tuple[str, ...], within: bool, asides: frozenset[str]) -> bool:
+    if element in ASIDE or element == "header" and not within:
+        return True
+    return element not in ("html", "body", "article", "main") and any(n in asides or _set_apart(n) for n in names)
+
+
+def tokens(page: str, asides: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, str, tuple[str, ...]]]:
+    """(what, kind, text, names): what is open, close or words; kind is that of the tag, or of the element that holds the
+    words: the element's name, then .aside if it is one or in one, or .within if that aside is held by more than the body.
+
+    Comments and elements whose content isn't text on the page are left out. End tags without a start are tokens that
+    close nothing; a new paragraph or list item ends an open one.
     """
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, str, tuple[str, ...]]] = []
     for m in TOKEN.finditer(page):
         name = (m[3] or "").lower()
         if name:
             if m[2]:
-                if any(n == name for n, _ in stack):
+                kind, names = name, ()
+                if any(n == name for n, _, _ in stack):
                     while stack[-1][0] != name:
                         stack.pop()
-                    kind = stack.pop()[1]
-                else:
-                    kind = name
-                yield "close", kind, name
+                    _, kind, names = stack.pop()
+                yield "close", kind, name, names
             else:
-                kind = _kind(name, m[4] or "")
-                if name in BLOCKS and stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "a") and any(n == "p" for n, _ in stack):
+                names = _names(m[4] or "")
+                if name in BLOCKS and stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "a") and any(n == "p" for n, _, _ in stack):
                     while stack and stack[-1][0] not in HOLDERS:
                         stack.pop()
                 if name == "li" and stack and stack[-1][0] == "li":
                     stack.pop()
-                if any(k.endswith(".aside") for _, k in stack[-1:]) and not kind.endswith(".aside"):
-                    kind += ".aside"
+                held = stack[-1][1] if stack else ""
+                if away(held):
+                    kind = f"{name}.{held.rpartition('.')[2]}"
+                elif _is_aside(name, names, any(n in ("article", "main") for n, _, _ in stack), asides):
+                    kind = f"{name}.{'within' if stack and stack[-1][0] not in ('html', 'body') else 'aside'}"
+                else:
+                    kind = name
                 if name not in EMPTY and not (m[4] or "").endswith("/"):
-                    stack.append((name, kind))
-                yield "open", kind, name
+                    stack.append((name, kind, names))
+                yield "open", kind, name, names
         elif m[0][0] != "<" or m[0] == "<":
-            holder = next((k for n, k in reversed(stack) if n in HOLDERS), "body")
-            yield "words", holder, m[0]
+            holder = next((k for n, k, _ in reversed(stack) if n in HOLDERS or away(k)), "body")
+            yield "words", holder, m[0], ()
 
 
-def region(page: list[tuple[str, str, str]], weights: Weights) -> tuple[int, int]:
+def region(page: list[tuple], weights: Weights) -> tuple[int, int]:
     """First and last + 1 token of the best contiguous run (Kadane's scan); of equal ones the first, (0, 0) if none is over 0."""
     best, found, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (what, kind, text) in enumerate(page):
+    for i, (what, kind, text, _) in enumerate(page):
         total += weights.of(what, kind, text)
         if total <= 0:
             total, start = 0.0, i + 1
@@ -94,12 +124,12 @@ def region(page: list[tuple[str, str, str]], weights: Weights) -> tuple[int, int
 
 def text_of(page: str, weights: Weights) -> str:
     """Blocks of the best region without what stands in asides, joined by a blank line."""
-    found = list(tokens(page))
+    found = list(tokens(page, weights.asides))
     start, end = region(found, weights)
     blocks, block = [], []
-    for what, kind, text in found[start:end]:
+    for what, kind, text, _ in found[start:end]:
         if what == "words":
-            if not kind.endswith(".aside"):
+            if not away(kind):
                 block.append(text)
         elif text in BLOCKS:
             blocks.append(block)
@@ -109,13 +139,15 @@ def text_of(page: str, weights: Weights) -> str:
     return "\n\n".join(x for x in (" ".join(html.unescape("".join(b)).split()) for b in [*blocks, block]) if x)
 
 
-def fit(pages: DataFrame, *, text: str = "html") -> Weights:
-    """Weights from labelled pages: those whose markup names the article (one article or main element, not in an aside).
+def fit(pages: DataFrame, *, text: str = "html", sample: int = SAMPLE) -> Weights:
+    """Weights from labelled pages: those whose markup names the article (one article or main element, not in an aside);
+    about sample pages, by a hash of the page.
 
-    Tasks count for each kind of element how many words it holds inside and outside of the named region, and for each
-    kind of tag how often it stands inside and outside; counts are united by a grouped sum and come to the driver as one
-    row a kind (the 500 most frequent). A word scores the share of its kind's words that are inside, 0.01 at least; a tag
-    costs 0.02, and 40 times the share of its kind that is outside. The region's own tags cost as if outside.
+    Tasks count for each kind of element how many words it holds inside and outside of the named region, for each kind of
+    tag how often it stands inside and outside, and the same for each class, id and role of elements that don't hold the
+    region; counts are united by a grouped sum. A word scores the share of its kind's words that are inside, 0.01 at least; a tag
+    costs 0.02, and 40 times the share of its kind that is outside. The region's own tags cost as if outside. A name of
+    which OFTEN elements or more stood outside, and few inside, is one of asides. Without labelled pages all weights are defaults.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,30 +155,40 @@ def fit(pages: DataFrame, *, text: str = "html") -> Weights:
         for batch in batches:
             for value in batch.column(0):
                 page = list(tokens(value.as_py() or ""))
-                marks = [i for i, (what, kind, _) in enumerate(page) if what != "words" and kind in ("article", "main")]
+                marks = [i for i, (what, kind, _, _) in enumerate(page) if what != "words" and kind in ("article", "main")]
                 if len(marks) < 2 or page[marks[0]][0] != "open":
                     continue
-                for i, (what, kind, words) in enumerate(page):
+                for i, (what, kind, words, names) in enumerate(page):
                     into = inside if marks[0] < i < marks[-1] else outside
                     into[("words " if what == "words" else f"{what} ") + kind] += len(words.split()) if what == "words" else 1
-        kinds = [k for k in inside.keys() | outside.keys() if len(k) < 60]
+                    if what == ("close" if i < marks[0] else "open"):
+                        into.update(f"name {x}" for x in names if i not in (marks[0], marks[-1]))
+        kinds = list(inside.keys() | outside.keys())
         yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "n1": pa.array([inside[k] for k in kinds], pa.int64()), "n0": pa.array([outside[k] for k in kinds], pa.int64())})
 
-    counts = pages.select(F.col(text).cast("string")).mapInArrow(count, "kind string, n1 long, n0 long").groupBy("kind").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    weights = Weights()
-    for r in counts.orderBy(F.desc(F.col("n1") + F.col("n0")), "kind").limit(500).collect():
+    n = pages.count()
+    own = pages.select(F.col(text).cast("string").alias("_html"))
+    if n > sample:
+        own = own.filter(F.pmod(F.xxhash64("_html"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n)))
+    counts = own.mapInArrow(count, "kind string, n1 long, n0 long").groupBy("kind").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    weights, asides = Weights(), set()
+    for r in counts.collect():
         what, _, kind = r["kind"].partition(" ")
         share = (r["n1"] + 0.01) / (r["n1"] + r["n0"] + 0.02)
         if what == "words":
             weights.word[kind] = max(0.01, share)
-        else:
+        elif what != "name":
             weights.tag[r["kind"]] = 0.02 + 40 * (1 - share)
+        elif r["n0"] >= OFTEN and share <= INSIDE:
+            asides.add(kind)
+    weights.asides = frozenset(asides)
     return weights
 
 
 def extract(pages: DataFrame, weights: Weights, *, text: str = "html", out: str = "text") -> DataFrame:
     """pages with the main text of each whole page: character references decoded, blanks inside a block one space, blocks
-    in page order joined by a blank line. Null and empty pages, and pages without words, give an empty text."""
+    in page order joined by a blank line. Null and empty pages, and pages without words, give an empty text; equal pages equal
+    ones. Other columns stay, but for one named like out, which is replaced; an empty table gives no rows."""
 
     @F.pandas_udf("string")
     def extracted(values):
