@@ -171,3 +171,9 @@ def unique_ids(df: DataFrame, key: str = "doc_id", text: str = "text", out: str
     if not again.take(1):
         return df.withColumn(out, F.col(key))
     return global_rank(df, key, [F.col(text).asc_nulls_first()], out)
+
+
+def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(_row, _of, _text, _rid): each row whole as a struct, so that no name of its columns can clash, with its unique id."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return unique_ids(docs.select(whole.alias("_row"), F.col(key).alias("_of"), F.col(text).alias("_text")), "_of", "_text", "_rid")

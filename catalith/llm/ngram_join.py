@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalith.llm.common import BASE, Rolling, few, materialize, mix, runs, signed, text_buffer, unique_ids
+from catalith.llm.common import BASE, Rolling, few, materialize, mix, numbered, runs, signed, text_buffer, unique_ids
 from catalith.llm.components import components
 
 #: Words of a shingle, and the least similarity as a fraction: documents link from NUM / DEN on.
@@ -463,7 +463,6 @@ def _links(blocks: DataFrame, rows: DataFrame, reps: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each component: the one with the smallest key (of rows that share it, the smallest text; of
     rows alike in both, one). All columns stay as they are, whatever their names; null and blank texts all stay."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_of"), F.col(text).alias("_text"))
-    rows = unique_ids(inner, "_of", "_text", "_rid")
+    rows = numbered(docs, key, text)
     kept = near_duplicates(rows.select("_rid", "_text"), key="_rid", text="_text").filter("first").select("_rid")
     return rows.join(few(kept), "_rid", "left_semi").select("_row.*")

@@ -18,6 +18,8 @@ LENGTH, GRAM = 100, 24
 SPAN = LENGTH - GRAM + 1
 #: Anchors with more occurrences are dealt by the text around them, in blocks of neighbouring strings.
 HOT, STEP = 1000, 26
+#: An anchor that one run of texts has so many times is very frequent as well, wherever else it stands.
+HEAVY = 32
 #: Bytes to which multikey quicksort goes; what still ties goes to blind tries.
 SHALLOW = 16
 #: Strings sorted at once.
@@ -134,46 +136,56 @@ def _rows(h, d, lo, off, n, text) -> pa.RecordBatch:
 
 
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, d, p, told) of all anchors. Those that a run has HEAVY times are known to repeat: their places are told already and
+    needn't come together, and one row a run (d -1) says so where the others of this hash meet."""
     for batch in batches:
         batch = batch.filter(pa.compute.invert(batch.column(2)))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         data, at = text_buffer(batch.column(1))
         for i, j in runs(at):
             doc, h, p, _, _ = anchors(data[at[i] : at[j]], at[i : j + 1])
-            yield pa.RecordBatch.from_pydict({"h": signed(h), "d": ids[i:j].astype(np.int64)[doc], "p": (p - (at[i:j] - at[i])[doc]).astype(np.int32)})
+            values, of, count = np.unique(h, return_inverse=True, return_counts=True)
+            heavy = values[count >= HEAVY]
+            none = np.full(len(heavy), -1)
+            d = np.append(ids[i:j].astype(np.int64)[doc], none)
+            told = np.append(count[of] >= HEAVY, np.zeros(len(heavy), bool))
+            yield pa.RecordBatch.from_pydict({"h": signed(np.append(h, heavy)), "d": d, "p": np.append(p - (at[i:j] - at[i])[doc], none).astype(np.int32), "told": told})
 
 
 def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of anchors sorted by their hash, (d, p, hot) of those that occur again; hot: over HOT times. At most HOT occurrences of
-    one anchor wait for that to be known."""
+    """Of anchors sorted by (told, hash), (d, p, hot) of those that occur again; hot: over HOT times, or HEAVY times in one run
+    of texts. At most HOT occurrences of one anchor wait for that to be known."""
     held: list[tuple] = []
     rows, hottest = 0, None
 
-    def told(h, d, p, whole: bool):
+    def judge(h, d, p, whole: bool):
         """Tells of all runs but, unless whole, the last one; returns what waits."""
         nonlocal hottest
         edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         size = np.diff(np.append(edge, len(h)))
-        hot = size > HOT
+        hot = (size > HOT) | np.logical_or.reduceat(d < 0, edge)
         if h[0] == hottest:
             hot[0] = True
         stay = 0 if whole or hot[-1] else size[-1]
         n = np.repeat(size, size)
         hot_row = np.repeat(hot, size)
-        keep = (n > 1) | hot_row
+        keep = ((n > 1) | hot_row) & (d >= 0)
         keep[len(h) - stay :] = False
         hottest = h[-1] if hot[-1] else None
         return pa.RecordBatch.from_pydict({"d": d[keep], "p": p[keep], "hot": hot_row[keep]}), (h[len(h) - stay :], d[len(h) - stay :], p[len(h) - stay :])
 
     for batch in batches:
-        held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)))
-        rows += batch.num_rows
+        h, d, p, told = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+        if told.any():
+            yield pa.RecordBatch.from_pydict({"d": d[told], "p": p[told], "hot": np.ones(int(told.sum()), bool)})
+        held.append((h[~told], d[~told], p[~told]))
+        rows += len(held[-1][0])
         if rows >= 4 * BLOCK:
-            out, wait = told(*(np.concatenate(x) for x in zip(*held, strict=True)), False)
+            out, wait = judge(*(np.concatenate(x) for x in zip(*held, strict=True)), False)
             yield out
             held, rows = [wait], len(wait[0])
     if rows:
-        yield told(*(np.concatenate(x) for x in zip(*held, strict=True)), True)[0]
+        yield judge(*(np.concatenate(x) for x in zip(*held, strict=True)), True)[0]
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +385,9 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     copies = hashed.join(first, "_h").filter("_rid > _first").select("_rid", F.lit(True).alias("_copy"))
     dealt = rows.repartition("_rid").join(copies.hint("shuffle_hash"), "_rid", "left").select("_rid", "_bytes", F.coalesce("_copy", F.lit(False)).alias("_copy"), "_key", "_carried")
 
-    found = dealt.mapInArrow(_find_anchors, "h long, d long, p int").repartition("h").sortWithinPartitions("h")
+    # Sorted, so that runs of texts are the same when a task is made again.
+    found = dealt.sortWithinPartitions("_rid").mapInArrow(_find_anchors, "h long, d long, p int, told boolean")
+    found = found.repartition(F.when(F.col("told"), F.xxhash64("h", "d")).otherwise(F.col("h"))).sortWithinPartitions("told", "h")
     marks = found.mapInArrow(_again, "d long, p int, hot boolean").groupBy("d").agg(F.collect_list(F.struct("p", "hot")).alias("_marks")).withColumnRenamed("d", "_rid")
     # The same columns of dealt each time, so that its shuffle is made once.
     contexts = dealt.join(marks.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_marks").mapInArrow(_contexts, SCHEMA)
@@ -385,10 +399,9 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with text less its repeats. Bytes of a character that is cut in two go too; all rows stay, and null texts stay
-    null. Columns other than text stay as they are."""
-    others = tuple(c for c in docs.columns if c != text)
-    rows = docs.withColumn("_null", F.col(text).isNull())
-    kept = remove_repeats(rows, key=key, text=text, carry=(*others, "_null"))
+    null. Columns other than text stay as they are, whatever their names; an empty table gives no rows."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    kept = remove_repeats(docs.select(F.col(key).alias("_of"), F.col(text).alias("_text"), F.col(text).isNull().alias("_null"), F.struct(F.lit(0).alias("_none"), *others).alias("_row")), key="_of", text="_text", carry=("_null", "_row"))
 
     @F.pandas_udf("string")
     def decoded(values):
@@ -396,4 +409,4 @@ def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
 
     cut = F.when(F.col("n_removed") > 0, F.col("kept"))
     new = F.when(~F.col("_carried._null"), F.coalesce(decoded(cut), F.col("kept").cast("string"))).alias(text)
-    return kept.select(*[new if c == text else F.col(f"_carried.`{c}`").alias(c) for c in docs.columns])
+    return kept.select(*[new if c == text else F.col(f"_carried._row.`{c}`").alias(c) for c in docs.columns])
