@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalith.llm.common import global_rank, unique_ids
+from catalith.llm.common import few, global_rank, materialize, unique_ids
 
 #: A paragraph ends at a sentence's or a line's end, or after so many characters.
 PIECE = 64
 #: Neighbouring rows that find their next document in one task: ids alike but for so many low bits.
-BLOCK_BITS = 6
+BLOCK_BITS = 8
+#: Ids are ranked first where they span more than so many times their number.
+SPARSE = 16
 
 
 def paragraphs(text: Column) -> Column:
@@ -55,17 +57,26 @@ def edits(a: Column, b: Column) -> Column:
 def with_next(docs: DataFrame, *, key: str = "doc_id", text: str = "text", out: str = "next_text") -> DataFrame:
     """(key, text, out): with each document the text of the next one in the order of key; the last one's next is the first.
 
-    Texts are shuffled once, in blocks of neighbouring ids; the first text of each block also goes to the block before,
-    which is found by the blocks' ranks. Null keys come first; documents that share a key follow by their text.
+    Texts are shuffled once, in blocks of neighbouring ids; the first text of each block also goes to the block before. Which
+    texts these are is found from ids alone. Ids that lie far apart are ranked before. Null keys come first; documents that
+    share a key follow by their text. An empty table gives no rows.
     """
-    rows = unique_ids(docs.select(key, text), key, text).select(F.col(key), F.coalesce(text, F.lit("")).alias(text), "_rid", F.shiftright("_rid", BLOCK_BITS).alias("_block"))
-    dealt = rows.repartition("_block")
-    blocks = global_rank(rows.select("_block").distinct(), "_block", [], "_at")
-    count = rows.select("_block").distinct().count()
-    follows = blocks.select("_block", F.pmod(F.col("_at") + 1, F.lit(max(count, 1))).alias("_at")).join(blocks.withColumnRenamed("_block", "_of"), "_at").select("_block", "_of")
-    firsts = dealt.groupBy("_block").agg(F.min_by(text, "_rid").alias("_first")).withColumnRenamed("_block", "_of").join(follows, "_of").select("_block", "_first")
+    rows = unique_ids(docs.select(key, text), key, text).select(F.col(key), F.coalesce(text, F.lit("")).alias(text), F.col("_rid").cast("long").alias("_rid"))
+    ids = rows.select("_rid")
+    span = ids.agg(F.count("*").alias("n"), (F.max("_rid") - F.min("_rid")).alias("wide")).first()
+    if span["n"] and not -1 < span["wide"] < SPARSE * span["n"]:
+        ranks = global_rank(ids, "_rid", [], "_dense")
+        rows = rows.join(ranks, "_rid").drop("_rid").withColumnRenamed("_dense", "_rid")
+        ids = ranks.select(F.col("_dense").alias("_rid"))
+    block = F.shiftright("_rid", BLOCK_BITS)
+    blocks = materialize(ids.groupBy(block.alias("_block")).agg(F.min("_rid").alias("_rid")))
+    count = blocks.count()
+    ranked = global_rank(blocks, "_block", [], "_at")
+    before = ranked.select(F.pmod(F.col("_at") + 1, F.lit(max(count, 1))).alias("_at"), "_block").join(ranked.select("_at", "_rid"), "_at").select("_block", "_rid")
+    firsts = rows.select("_rid", F.col(text).alias("_first")).join(few(before), "_rid").select("_block", "_first")
     after = F.lead(text).over(Window.partitionBy("_block").orderBy("_rid"))
-    return dealt.withColumn(out, after).join(firsts, "_block").select(key, text, F.coalesce(F.col(out), F.col("_first")).alias(out))
+    dealt = rows.withColumn("_block", block).withColumn(out, after)
+    return dealt.join(firsts, "_block").select(key, text, F.coalesce(F.col(out), F.col("_first")).alias(out))
 
 
 def compare_edited(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
