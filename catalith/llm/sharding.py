@@ -52,5 +52,6 @@ def shard(df: DataFrame, shards: int, *, key: str = "doc_id", ties: tuple[str, .
     def place(i: pd.Series) -> pd.Series:
         return pd.Series(permute(i.to_numpy(), n, seed))
 
-    ranked = global_rank(df, key, [F.col(c).asc_nulls_first() for c in ties]).withColumn("_place", place("_rank"))
-    return ranked.withColumns({"shard": (F.col("_place") % shards).cast("int"), "slot": F.expr(f"_place div {int(shards)}")}).drop("_rank", "_place")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    ranked = global_rank(rows.withColumn("_of", F.col(f"_row.`{key}`")), "_of", [F.col(f"_row.`{c}`").asc_nulls_first() for c in ties]).withColumn("_place", place("_rank"))
+    return ranked.select("_row.*", (F.col("_place") % shards).cast("int").alias("shard"), F.expr(f"_place div {int(shards)}").alias("slot"))

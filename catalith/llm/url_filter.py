@@ -119,8 +119,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], *, url: str = "ur
     verdicts = {f"{host}{path}": verdict for verdict, host, path in rules}
     lengths = sorted({len(path) for _, _, path in rules}, reverse=True)
     host, path = host_and_path(F.col(url))
-    rows = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
-    rows = rows.withColumn("_keys", keys_of("host", "path", lengths))
+    others = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"), host.alias("host"), path.alias("path")).withColumn("_keys", keys_of("host", "path", lengths))
     universe = rows.select("host", F.substring("path", 1, max(lengths, default=0)).alias("path")).distinct()
     universe = materialize(universe.select(F.explode(keys_of("host", "path", lengths)).alias("key")).distinct())
     named = spark.createDataFrame([(k,) for k in verdicts], "key string")
@@ -140,7 +140,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], *, url: str = "ur
             yield batch.remove_column(at).append_column("rule", pa.array(found, pa.string())).append_column("verdict", pa.array([verdicts.get(x, default) for x in found], pa.string()))
 
     schema = rows.drop("_keys").schema.add("rule", "string").add("verdict", "string")
-    return rows.mapInArrow(judged, schema)
+    return rows.mapInArrow(judged, schema).select("_row.*", "host", "path", "rule", "verdict")
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, *, page_id: str, url: str = "url", default: str = "allow") -> DataFrame:
