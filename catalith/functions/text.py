@@ -9,22 +9,24 @@ from pyspark.sql import functions as F
 
 #: Bytes and characters of a head, terms that a hit list shows, shares of letters that name a language.
 HEAD_BYTES, HEAD_CHARS, SHOWN, HANGUL_SHARE, LATIN_SHARE = 8192, 4000, 20, 0.3, 0.5
+#: Blanks before a document's first sign, and where a JSON document names its type.
+LEAD, RESOURCE = r"^[\ufeff\s]+", r'"resourceType"\s*:\s*"([A-Za-z]+)"'
 #: Resource types whose name marks a clinical JSON document.
 RESOURCES = ("Patient", "Encounter", "Observation", "ImagingStudy", "DiagnosticReport", "Condition", "Procedure", "MedicationRequest", "Bundle", "DocumentReference", "ServiceRequest", "Specimen")
 
 
-def term_found(low: Column, term: str) -> Column:
-    """Whether a lower-cased text has term: an ASCII term between characters that are no letters, digits or _, any other anywhere."""
-    if term.isascii():
-        return low.rlike(rf"(^|[^\p{{L}}\p{{N}}_]){re.escape(term.lower())}($|[^\p{{L}}\p{{N}}_])")
-    return low.contains(term.lower())
-
-
 def lexicon_hits(text: Column, lexicon: list[str]) -> Column:
-    """The distinct terms of lexicon that text has, longest first and then by name. Null text: none."""
-    terms = sorted({t.lower() for t in lexicon if t}, key=lambda t: (-len(t), t))
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.filter(F.array(*[F.when(term_found(low, t), F.lit(t)) for t in terms]), lambda t: t.isNotNull()) if terms else F.array().cast("array<string>")
+    """The distinct terms of lexicon that text has, by name. ASCII terms stand between characters that are no letters, digits
+    or _, in any case; one scan takes the longest at each place and goes on behind it, so a term within another's place is no
+    hit. Other terms count anywhere. Null text: none."""
+    given = F.coalesce(text, F.lit(""))
+    plain = sorted({t.lower() for t in lexicon if t and t.isascii()}, key=lambda t: (-len(t), t))
+    other = sorted({t for t in lexicon if t and not t.isascii()})
+    none = F.array().cast("array<string>")
+    scan = rf"(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(map(re.escape, plain))})(?![\p{{L}}\p{{N}}_])"
+    found = F.regexp_extract_all(F.lower(given), F.lit(scan), F.lit(0)) if plain else none
+    anywhere = F.filter(F.array(*[F.when(given.contains(t), F.lit(t)) for t in other]), lambda t: t.isNotNull()) if other else none
+    return F.array_sort(F.array_distinct(F.concat(found, anywhere)))
 
 
 def hit_count(hits: Column) -> Column:
@@ -48,15 +50,15 @@ def head_of(text: Column, chars: int = HEAD_CHARS) -> Column:
 def signature(content: Column) -> Column:
     """dicom, hl7v2 or fhir by the bytes at the beginning; null if none fits. content: binary."""
     head = F.substring(content, 1, HEAD_BYTES)
-    decoded = F.regexp_replace(F.decode(head, "UTF-8"), r"^[﻿\s]+", "")
-    kind = F.regexp_extract(decoded, r'"resourceType"\s*:\s*"([A-Za-z]+)"', 1)
+    decoded = F.regexp_replace(F.decode(head, "UTF-8"), LEAD, "")
+    kind = F.regexp_extract(decoded, RESOURCE, 1)
     return F.when((F.length(head) >= 132) & (F.substring(head, 129, 4) == F.lit(b"DICM")), "dicom").when(decoded.startswith("MSH|"), "hl7v2").when(kind.isin(*RESOURCES), "fhir")
 
 
 def signature_of_text(text: Column) -> Column:
     """The same for content that is text already."""
-    decoded = F.regexp_replace(F.substring(text, 1, HEAD_BYTES), r"^[﻿\s]+", "")
-    kind = F.regexp_extract(decoded, r'"resourceType"\s*:\s*"([A-Za-z]+)"', 1)
+    decoded = F.regexp_replace(F.substring(text, 1, HEAD_BYTES), LEAD, "")
+    kind = F.regexp_extract(decoded, RESOURCE, 1)
     return F.when(F.substring(text, 129, 4) == "DICM", "dicom").when(decoded.startswith("MSH|"), "hl7v2").when(kind.isin(*RESOURCES), "fhir")
 
 
@@ -68,9 +70,10 @@ def latin(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[A-Za-z]"))
 
 
-def language(hangul_n: Column, latin_n: Column, letters: Column) -> Column:
-    """ko from 30 % Hangul, else en from 50 % Latin letters, else unknown; unknown without letters."""
-    return F.when(letters <= 0, "unknown").when(hangul_n >= HANGUL_SHARE * letters, "ko").when(latin_n >= LATIN_SHARE * letters, "en").otherwise("unknown")
+def language(hangul_n: Column, latin_n: Column) -> Column:
+    """Of Hangul and Latin letters together: ko from 30 % Hangul, else en from 50 % Latin, else unknown; unknown without any."""
+    both = hangul_n + latin_n
+    return F.when(both <= 0, "unknown").when(hangul_n >= HANGUL_SHARE * both, "ko").when(latin_n >= LATIN_SHARE * both, "en").otherwise("unknown")
 
 
 def sentences(text: Column) -> Column:

@@ -14,22 +14,27 @@ from catalith.operators.state import replace_partition
 SIGNED, LED, UNNAMED, JUDGED, GENERAL, REVIEW = 1.0, 0.9, 0.7, 0.6, "general", "review"
 
 
-def cascade(rows: DataFrame, lexicons: dict[str, list[str]], *, text: str = "text", signatures: Callable[[Column], Column] = signature_of_text, signed: dict[str, str] | None = None, verdicts: DataFrame | None = None, key: str = "asset_id") -> DataFrame:
-    """rows with label, confidence, stage, signature and the hit counts of each lexicon (stage2_scores).
+def cascade(rows: DataFrame, lexicons: dict[str, list[str]], *, text: str = "text", rules: dict[str, list[Callable[[Column], Column]]] | None = None, verdicts: DataFrame | None = None, key: str = "asset_id", policy: str | None = None) -> DataFrame:
+    """rows with label, confidence, stage, signature, policy_version, the signature found for each label (stage1_scores) and the
+    hit counts of each lexicon (stage2_scores).
 
-    Stage 1: a signature that belongs to one label decides. Stage 2: the lexicon with the most distinct hits wins from two
+    Stage 1: of each label's rules, which name a signature or nothing, the first that names one counts; it decides if no other
+    label has one too. Stage 2: the lexicon with the most distinct hits wins from two
     hits on when it leads the next one by one at least (ties in the order given); no hit at all is general. Stage 3: a
     verdict (key, label) from outside in the label set, else review. Only columns are added; what stages 1 and 2 leave open
     is all that a verdict needs to be made for.
     """
     names = list(lexicons)
-    signed = signed or {"dicom": "medical", "hl7v2": "medical", "fhir": "medical"}
-    counts = rows.withColumn("signature", signatures(F.col(text)))
+    rules = rules or {"medical": [signature_of_text]}
+    found = F.create_map(*[x for label, own in rules.items() for x in (F.lit(label), F.coalesce(*[rule(F.col(text)) for rule in own]))])
+    counts = rows.withColumn("stage1_scores", F.map_filter(found, lambda _, v: v.isNotNull()))
+    alone = F.size("stage1_scores") == 1
+    counts = counts.withColumns({"signature": F.when(alone, F.get(F.map_values("stage1_scores"), 0)), "policy_version": F.lit(policy).cast("string")})
     for name in names:
         counts = counts.withColumn(f"_n_{name}", F.size(lexicon_hits(F.col(text), lexicons[name])))
     order = F.array_sort(F.array(*[F.struct((-F.col(f"_n_{n}")).alias("n"), F.lit(i).alias("i"), F.lit(n).alias("name")) for i, n in enumerate(names)]))
     top, second = F.element_at(order, 1), (F.element_at(order, 2)["n"] if len(names) > 1 else F.lit(0))
-    own = F.try_element_at(F.create_map(*[F.lit(x) for kv in signed.items() for x in kv]), F.col("signature"))
+    own = F.when(alone, F.get(F.map_keys("stage1_scores"), 0))
     stage2 = F.when(top["n"] == 0, F.struct(F.lit(GENERAL).alias("label"), F.lit(UNNAMED).alias("confidence"))).when((top["n"] <= -2) & (second - top["n"] >= 1), F.struct(top["name"].alias("label"), F.lit(LED).alias("confidence")))
     out = counts.withColumns({"_one": own, "_two": stage2, "stage2_scores": F.create_map(*[x for n in names for x in (F.lit(n), F.col(f"_n_{n}"))])})
     if verdicts is not None:

@@ -8,14 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: States at whose end an asset's content is kept.
+SETTLED = ("registered", "deferred")
+
 
 def with_leader(assets: DataFrame, *, order: tuple[str, ...] = ("created_at", "asset_id")) -> DataFrame:
-    """assets with leader (the earliest asset with the same hash) and copy (whether another one leads). Failed assets lead
+    """assets with leader (of the assets with the same hash the earliest that is registered or deferred, else the earliest that
+    is in flight) and copy (whether another one leads). What is registered, deferred or failed is at its end and never a copy; failed assets lead
     nothing, so the next copy takes their place; a null hash has no copies. One grouped minimum and a join: a hot hash is
     united before it is shuffled."""
-    lead = assets.filter(F.col("file_hash").isNotNull() & (F.col("status") != "failed")).groupBy("file_hash").agg(F.min(F.struct(*order)).alias("_lead"))
+    flies = ~F.col("status").isin(*SETTLED)
+    lead = assets.filter(F.col("file_hash").isNotNull() & (F.col("status") != "failed")).groupBy("file_hash").agg(F.min(F.struct(flies.alias("_flies"), *order)).alias("_lead"))
     out = assets.join(lead.select("file_hash", F.col(f"_lead.{order[-1]}").alias("leader")), "file_hash", "left")
-    return out.withColumn("copy", F.col("leader").isNotNull() & (F.col("leader") != F.col(order[-1])) & (F.col("status") != "failed"))
+    return out.withColumn("copy", F.col("leader").isNotNull() & (F.col("leader") != F.col(order[-1])) & ~F.col("status").isin(*SETTLED, "failed"))
 
 
 def defer_copies(assets: DataFrame) -> DataFrame:
@@ -72,9 +77,16 @@ def suppress_sequence(frames: DataFrame, *, group: str, order: str, bits: str, v
     return frames.groupBy(group).applyInPandas(walk, T.StructType([*frames.schema.fields, T.StructField("kept", T.BooleanType()), T.StructField("reason", T.StringType())]))
 
 
+def fingerprint_classes(rows: DataFrame, *, key: str, bits: str) -> DataFrame:
+    """(key, representative): rows with equal fingerprints are a class, which the smallest key stands for."""
+    return rows.select(key, bits).join(rows.groupBy(bits).agg(F.min(key).alias("representative")), bits).select(key, "representative")
+
+
 def close_pairs(rows: DataFrame, *, key: str, bits: str, most: int) -> DataFrame:
-    """(a, b, distance) of fingerprints of 64 bits at most `most` bits apart: such pairs agree in one of most + 1 bands of
-    bits at least, so they are found by an equi-join on bands; a pair counts at its first common band."""
+    """(a, b, distance) of classes of equal fingerprints of 64 bits (see fingerprint_classes) at most `most` bits apart: such
+    pairs agree in one of most + 1 bands of bits at least, so they are found by an equi-join on bands; a pair counts at its
+    first common band. Rows with equal fingerprints are one row before they meet."""
+    rows = rows.groupBy(bits).agg(F.min(key).alias(key))
     n = most + 1
     edges = [64 * i // n for i in range(n + 1)]
     bands = F.array(*[F.shiftrightunsigned(bits, a).bitwiseAND((1 << (b - a)) - 1 if b - a < 64 else -1) for a, b in zip(edges, edges[1:], strict=False)])

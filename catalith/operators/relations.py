@@ -23,19 +23,21 @@ def pair_scores(pairs: DataFrame, embeddings: DataFrame) -> DataFrame:
     return pairs.join(best, ["src", "dst"], "left").withColumn("score", finite(F.col("score")))
 
 
-def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, least: float = -1.0, within: str | None = None, blocks: int = 16, key: str = "id", vector: str = "embedding") -> DataFrame:
+def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, least: float = -1.0, within: str | None = None, block_rows: int = 4096, key: str = "id", vector: str = "embedding") -> DataFrame:
     """(query, id, similarity[, within]) of the k nearest corpus rows of each query, exactly: similarity from least on, ties by
     the smaller id; vectors of length 0 take no part, nor does a row answer itself.
 
-    Queries and corpus are dealt into blocks; each two of them meet in one task as a product of two matrices that keeps k
-    rows a query, and the block winners are ranked again. Memory a task: two blocks; blocks grow in number with the data.
+    Queries and corpus are dealt into blocks of about block_rows, by their counts; each two of them meet in one task as a
+    product of two matrices that keeps k rows a query, and the block winners are ranked again. A task holds two blocks,
+    whatever the tables' sizes; with few queries, which are one block, the corpus moves once.
     within: a column whose values are ranked each by itself (pre-filtered, so a rare one isn't crowded out)."""
     group = within or "_all"
     side = lambda df, name: df.select(F.col(key).alias(name), (F.col(within).cast("string") if within else F.lit("")).alias(group), F.col(vector)).filter(norm(F.col(vector)) > 0)
-    q = side(queries, "query").drop(group).withColumn("_q", F.pmod(F.xxhash64("query"), F.lit(blocks)))
-    q = q.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    c = side(corpus, "id").withColumn("_c", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    c = c.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked, held = (max(1, -(-df.count() // block_rows)) for df in (queries, corpus))
+    q = side(queries, "query").drop(group).withColumn("_q", F.pmod(F.xxhash64("query"), F.lit(asked)))
+    q = q.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(held - 1))))
+    c = side(corpus, "id").withColumn("_c", F.pmod(F.xxhash64("id"), F.lit(held)))
+    c = c.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(asked - 1))))
 
     def unit(x: pd.Series) -> np.ndarray:
         m = np.stack([np.asarray(v, float) for v in x])
@@ -96,7 +98,7 @@ def block_candidates(sources: DataFrame, assets: DataFrame, block: str, limit: i
 
 def checked_edges(edges: DataFrame, allowed: DataFrame, kinds: DataFrame, uuid: bool = False) -> DataFrame:
     """edges (src, dst, kind_code, ...) with skipped: malformed, self, no_kind, unknown_kind, not_allowed, or null for good ones."""
-    rows = edges.join(allowed.select("src", "dst").distinct().withColumn("_ok", F.lit(True)), ["src", "dst"], "left").join(F.broadcast(kinds.select("kind_code").distinct().withColumn("_kind", F.lit(True))), "kind_code", "left")
+    rows = edges.join(allowed.select("src", "dst").distinct().withColumn("_ok", F.lit(True)), ["src", "dst"], "left").join(kinds.select("kind_code").distinct().withColumn("_kind", F.lit(True)), "kind_code", "left")
     bad = malformed(F.col("dst").cast("string")) if uuid else F.col("dst").isNull()
     no_kind = F.trim(F.coalesce("kind_code", F.lit(""))) == ""
     reason = F.when(bad, "malformed").when(F.col("src") == F.col("dst"), "self").when(no_kind, "no_kind").when(F.col("_kind").isNull(), "unknown_kind").when(F.col("_ok").isNull(), "not_allowed")
@@ -106,7 +108,7 @@ def checked_edges(edges: DataFrame, allowed: DataFrame, kinds: DataFrame, uuid:
 def decide_edges(edges: DataFrame, scores: DataFrame, kinds: DataFrame, *, least: float = 0.7, least_similarity: float = 0.0, floor: float | None = None, never_active: tuple[str, ...] = ()) -> DataFrame:
     """edges in canonical direction with confidence clamped and status active or proposed. floor: similarities under it aren't
     kept; never_active: kinds that always stay proposed."""
-    rows = edges.join(scores.select("src", "dst", "emb_score"), ["src", "dst"], "left").join(F.broadcast(kinds.select("kind_code", "is_symmetric")), "kind_code")
+    rows = edges.join(scores.select("src", "dst", "emb_score"), ["src", "dst"], "left").join(kinds.select("kind_code", "is_symmetric"), "kind_code")
     if floor is not None:
         rows = rows.filter(F.coalesce("emb_score", F.lit(0.0)) >= floor)
     a, b = canonical(F.col("src"), F.col("dst"), F.col("is_symmetric"))

@@ -40,8 +40,9 @@ def reprocess(assets: DataFrame, updates: DataFrame, removed: tuple[str, ...] =
 
 
 def reprocess_report(outcomes: DataFrame) -> DataFrame:
-    """One row an outcome: how many, and the sorted ids."""
-    return outcomes.groupBy("outcome").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("asset_id")).alias("asset_ids"))
+    """One row a target: its outcome, title_match and modality where outcomes has them, and how many share these (n)."""
+    by = [c for c in ("outcome", "title_match", "modality") if c in outcomes.columns]
+    return outcomes.select("asset_id", *by).join(outcomes.groupBy(*by).agg(F.count("*").alias("n")), by)
 
 
 def upper_median(rows: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
@@ -54,7 +55,7 @@ def upper_median(rows: DataFrame, value: str, group: list[str] | None = None) ->
     w = Window.partitionBy(*keys).orderBy(value) if keys else Window.orderBy(value)
     total = counts.groupBy(*keys).agg(F.sum("_c").alias("n"), F.min(value).alias("least"), F.max(value).alias("greatest"))
     run = counts.withColumn("_run", F.sum("_c").over(w))
-    joined = run.join(F.broadcast(total), keys) if keys else run.join(F.broadcast(total))
+    joined = run.join(total, keys) if keys else run.join(F.broadcast(total))  # one row
     return joined.filter(F.col("_run") > F.expr("n div 2")).groupBy(*keys, "n", "least", "greatest").agg(F.min(value).alias("median"))
 
 
@@ -88,7 +89,7 @@ def document_stats(rows: DataFrame, width: int, *, key: str = "asset_id", text:
 
     cut = rows.select(key, F.explode_outer(T.chunks(F.col(text), width)).alias("_c"))
     per = cut.groupBy(key).agg(F.coalesce(F.sum(F.length("_c")), F.lit(0)).alias("chars"), F.coalesce(F.sum(T.sentences(F.col("_c"))), F.lit(0)).alias("sentences"), F.coalesce(F.sum(T.tokens(F.col("_c"))), F.lit(0)).alias("tokens"), F.coalesce(F.sum(T.hangul(F.col("_c"))), F.lit(0)).alias("hangul"), F.coalesce(F.sum(T.latin(F.col("_c"))), F.lit(0)).alias("latin"), F.coalesce(F.sum(F.regexp_count("_c", F.lit(r"\p{L}"))), F.lit(0)).alias("letters"))
-    return per.withColumn("language", T.language(F.col("hangul"), F.col("latin"), F.col("letters")))
+    return per.withColumn("language", T.language(F.col("hangul"), F.col("latin")))
 
 
 def hashing_embedder(width: int = 64) -> Callable[[DataFrame, str], DataFrame]:

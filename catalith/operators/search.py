@@ -30,6 +30,25 @@ def bm25(queries: DataFrame, docs: DataFrame, k: int, *, query_text: str = "text
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("rank") <= k)
 
 
+def containing(docs: DataFrame, passages: DataFrame, *, words: int = 7) -> DataFrame:
+    """(query, id): documents (id, text) that hold a passage (query, text) whole. The words after a passage's first one, seven or as
+    many as it has before its last, are looked up among the documents' runs of as many words; what is found is compared whole. So a
+    document meets only passages that it shares such a run with. A passage of under three words is looked for nowhere."""
+    split = lambda c: F.array_remove(F.split(c, r"\s+"), "")
+    own = passages.select("query", F.col("text").alias("_passage"), split(F.col("text")).alias("_w")).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2)).filter("_n > 0")
+    probes = own.select("query", "_passage", "_n", F.xxhash64("_n", F.slice("_w", F.lit(2), F.col("_n"))).alias("_h"))
+    lengths = sorted(r[0] for r in probes.select("_n").distinct().collect())  # words values at most
+    rows = docs.select("id", "text", split(F.col("text")).alias("_w"))
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.xxhash64(F.lit(n), F.slice("_w", i, n)))
+
+    made = F.flatten(F.array(*[runs(n) for n in lengths])) if lengths else F.array().cast("array<long>")
+    hits = rows.select("id", F.explode(F.array_distinct(made)).alias("_h")).join(probes.select("query", "_h", "_passage"), "_h").select("id", "query", "_passage")
+    return hits.join(docs.select("id", "text"), "id").filter(F.col("text").contains(F.col("_passage"))).select("query", "id").distinct()
+
+
 def by_modality(queries: DataFrame, corpus: DataFrame, k: int, excluded: tuple[str, ...] = (), **options) -> DataFrame:
     """The k nearest inside each modality, without the excluded domains: both cuts are made before the ranking."""
     rows = corpus.filter(~F.col("domain_label").isin(*excluded)) if excluded else corpus

@@ -13,7 +13,7 @@ def closed_topic(texts: DataFrame, responses: DataFrame, registry: DataFrame, ca
     looked at, and the first one in the top-level names (parent null, not the catch-all) wins; else unassigned. An empty text
     has no attempt."""
     names = registry.filter(F.col("parent").isNull() & (F.col("name") != catch_all)).select(F.col("name").alias("topic")).distinct()
-    tried = responses.filter("attempt <= 2").join(F.broadcast(names), "topic", "left_semi").groupBy("asset_id").agg(F.min_by(F.struct("topic", "confidence"), "attempt").alias("t"))
+    tried = responses.filter("attempt <= 2").join(names, "topic", "left_semi").groupBy("asset_id").agg(F.min_by(F.struct("topic", "confidence"), "attempt").alias("t"))
     rows = texts.select("asset_id", (F.trim(F.coalesce("text", F.lit(""))) != "").alias("_some")).join(tried, "asset_id", "left")
     return rows.select("asset_id", F.when(F.col("_some"), F.coalesce("t.topic", F.lit(UNASSIGNED))).otherwise(UNASSIGNED).alias("topic"), F.when(F.col("_some"), F.col("t.confidence")).alias("confidence"))
 
@@ -21,7 +21,7 @@ def closed_topic(texts: DataFrame, responses: DataFrame, registry: DataFrame, ca
 def closed_subtopic(topics: DataFrame, responses: DataFrame, registry: DataFrame) -> DataFrame:
     """topics with subtopic: the first response (asset_id, attempt, subtopic) that is a child of the topic; null without one."""
     seeds = registry.filter(F.col("parent").isNotNull()).select(F.col("parent").alias("topic"), F.col("name").alias("subtopic")).distinct()
-    said = topics.select("asset_id", "topic").join(responses, "asset_id").join(F.broadcast(seeds), ["topic", "subtopic"], "left_semi")
+    said = topics.select("asset_id", "topic").join(responses, "asset_id").join(seeds, ["topic", "subtopic"], "left_semi")
     return topics.join(said.groupBy("asset_id").agg(F.min_by("subtopic", "attempt").alias("subtopic")), "asset_id", "left")
 
 
@@ -31,9 +31,9 @@ def canonical_topics(rows: DataFrame, aliases: DataFrame, *, modalities: tuple[s
     if not on:
         return rows
     top = aliases.filter(F.col("parent").isNull()).select(F.col("raw").alias("topic"), F.col("canonical").alias("_top"))
-    out = rows.join(F.broadcast(top), "topic", "left").withColumn("topic", F.coalesce("_top", "topic")).drop("_top")
+    out = rows.join(top, "topic", "left").withColumn("topic", F.coalesce("_top", "topic")).drop("_top")
     sub = aliases.filter(F.col("parent").isNotNull()).select(F.col("parent").alias("topic"), F.col("raw").alias("subtopic"), F.col("canonical").alias("_sub"))
-    out = out.join(F.broadcast(sub), ["topic", "subtopic"], "left").withColumn("subtopic", F.coalesce("_sub", "subtopic")).drop("_sub")
+    out = out.join(sub, ["topic", "subtopic"], "left").withColumn("subtopic", F.coalesce("_sub", "subtopic")).drop("_sub")
     return out.withColumn("subtopic", F.when(F.lower("subtopic").isin(*modalities) | (F.col("subtopic") == F.col("topic")), F.lit(None)).otherwise(F.col("subtopic")))
 
 

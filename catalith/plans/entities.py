@@ -37,9 +37,9 @@ def visible_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.bundles(membership(spark, sf_dir), 25)
 
 
-@query(f"WITH {EDGE}, {ENTITY}, shown AS (SELECT DISTINCT entity_type, entity_uid FROM edge WHERE status = 'active' AND asset_id % 16 = 0) SELECT entity_type, entity_uid, CASE WHEN source = 'manual' THEN 'manual' ELSE 'automatic' END AS origin FROM entity e WHERE NOT EXISTS (SELECT 1 FROM shown s WHERE s.entity_type = e.entity_type AND s.entity_uid = e.entity_uid)")
+@query(f"WITH {EDGE}, {ENTITY}, shown AS (SELECT DISTINCT entity_type, entity_uid FROM edge WHERE status = 'active') SELECT entity_type, entity_uid, CASE WHEN source = 'manual' THEN 'manual' ELSE 'automatic' END AS origin FROM entity e WHERE NOT EXISTS (SELECT 1 FROM shown s WHERE s.entity_type = e.entity_type AND s.entity_uid = e.entity_uid)")
 def orphan_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.orphans(_entities(spark, sf_dir), membership(spark, sf_dir).filter("asset_id % 16 = 0")).select("entity_type", "entity_uid", "origin")
+    return entities.orphans(_entities(spark, sf_dir), membership(spark, sf_dir)).select("entity_type", "entity_uid", "origin")
 
 
 @query("SELECT url, page_id FROM pages WHERE page_id % 3 <> 0")
@@ -69,12 +69,12 @@ def resolved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.resolve_names(entities.apply_rules(own, excluded, ["1$"], official), alias).select("asset_id", "entity_type", "name", "keyword")
 
 
-WORDS = "words AS (SELECT DISTINCT p_type AS entity_type, split_part(p_name, ' ', 1) AS to_name FROM part WHERE p_partkey % 7 = 0)"
+WORDS = "words AS (SELECT DISTINCT p_type AS entity_type, split_part(p_name, ' ', 1) AS to_name FROM part)"
 
 
 @query(f"WITH {JUDGED}, {WORDS} SELECT DISTINCT asset_id, j.entity_type, name AS from_name, to_name FROM judged j JOIN words w ON j.entity_type = w.entity_type AND (' ' || lower(name) || ' ') LIKE ('% ' || lower(to_name) || ' %') AND lower(name) <> lower(to_name)")
 def contained_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").filter("p_partkey % 7 = 0").select(F.col("p_type").alias("entity_type"), F.substring_index("p_name", " ", 1).alias("name")).distinct()
+    p = table(spark, sf_dir, "part").select(F.col("p_type").alias("entity_type"), F.substring_index("p_name", " ", 1).alias("name")).distinct()
     return entities.contained(_judged(spark, sf_dir), p)
 
 
@@ -171,9 +171,9 @@ def describe_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.describe_targets(b, stored)
 
 
-@query(f"WITH {EDGE}, e AS (SELECT DISTINCT asset_id, entity_type, entity_uid FROM edge WHERE asset_id % 2 = 0) SELECT asset_id, count(*) AS n FROM (SELECT * FROM e WHERE asset_id % 4 <> 0 UNION ALL SELECT DISTINCT asset_id, 'one', CAST(1 AS BIGINT) FROM e WHERE asset_id % 4 = 0) GROUP BY asset_id")
+@query(f"WITH {EDGE}, e AS (SELECT DISTINCT asset_id, entity_type, entity_uid FROM edge) SELECT asset_id, count(*) AS n FROM (SELECT * FROM e WHERE asset_id % 4 <> 0 UNION ALL SELECT DISTINCT asset_id, 'one', CAST(1 AS BIGINT) FROM e WHERE asset_id % 4 = 0) GROUP BY asset_id")
 def edge_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = membership(spark, sf_dir).filter("asset_id % 2 = 0").select("asset_id", "entity_type", "entity_uid").distinct()
+    e = membership(spark, sf_dir).select("asset_id", "entity_type", "entity_uid").distinct()
     new = e.filter("asset_id % 4 = 0").select("asset_id", F.lit("one").alias("entity_type"), F.lit(1).cast("long").alias("entity_uid")).distinct()
     return state.replace_partition(e, new, ["asset_id"]).groupBy("asset_id").agg(F.count("*").alias("n"))
 

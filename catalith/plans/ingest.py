@@ -11,15 +11,20 @@ from catalith.plans.registry import ASSET, assets, query
 from catalith.session import table
 from catalith.sources import inputs
 
-#: Terms that occur in the given texts, for two labels.
-LEXICONS = {"en": ["the", "and", "of", "that"], "fr": ["le", "la", "des", "une"]}
+#: Terms that occur in the given texts, for two labels; some stand within others.
+LEXICONS = {
+    "en": ["the", "and", "of", "that", "of the", "and the", "in the", "to", "in", "is", "it", "was", "for", "with", "this", "be", "are", "on", "the of", "that the"],
+    "fr": ["le", "la", "des", "une", "de", "de la", "que", "qui", "dans", "pour", "les", "est", "sur", "pas", "avec", "la que", "le de", "et", "un", "du"],
+}
 
 
 def _n(terms: list[str]) -> str:
-    return " + ".join(f"CAST(regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_]){t}($|[^\\p{{L}}\\p{{N}}_])') AS INT)" for t in terms)
+    # Every character between words is doubled, so a hit that takes one leaves one for the next.
+    every = "|".join(t.replace(" ", "  ") for t in sorted(terms, key=lambda t: (-len(t), t)))
+    return f"CAST(len(list_distinct(regexp_extract_all(low, '(?:^|[^\\p{{L}}\\p{{N}}_])({every})(?:$|[^\\p{{L}}\\p{{N}}_])', 1))) AS INT)"
 
 
-COUNTED = f"{ASSET}, counted AS (SELECT *, {_n(LEXICONS['en'])} AS n_en, {_n(LEXICONS['fr'])} AS n_fr FROM (SELECT *, lower(text) AS low FROM asset))"
+COUNTED = f"{ASSET}, counted AS (SELECT *, {_n(LEXICONS['en'])} AS n_en, {_n(LEXICONS['fr'])} AS n_fr FROM (SELECT *, regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}_]', '\\0\\0', 'g') AS low FROM asset))"
 LABELLED = COUNTED + """, labelled AS (SELECT *, greatest(n_en, n_fr) AS top, least(n_en, n_fr) AS second FROM counted),
   decided AS (SELECT *, CASE WHEN top = 0 THEN 'general' WHEN top >= 2 AND top - second >= 1 THEN CASE WHEN n_en >= n_fr THEN 'en' ELSE 'fr' END ELSE 'review' END AS label,
   CASE WHEN top = 0 THEN 0.7 WHEN top >= 2 AND top - second >= 1 THEN 0.9 ELSE 0.0 END AS confidence, CASE WHEN top = 0 OR (top >= 2 AND top - second >= 1) THEN 2 ELSE 3 END AS stage FROM labelled)"""
@@ -95,11 +100,11 @@ def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.missing_keys(d.select(F.col("lang").alias("key")).distinct(), d.filter("n_chars < 300").select(F.col("source").alias("domain"), F.col("lang").alias("key")).distinct())
 
 
-LEADER = """l AS (SELECT *, first_value(asset_id) OVER (PARTITION BY file_hash ORDER BY CASE WHEN status <> 'failed' THEN 0 ELSE 1 END, created_at, asset_id) AS leader,
-  bool_or(status <> 'failed') OVER (PARTITION BY file_hash) AS alive FROM asset)"""
+LEADER = """l AS (SELECT a.*, coalesce((SELECT arg_min(b.asset_id, (b.created_at, b.asset_id)) FROM asset b WHERE b.file_hash = a.file_hash AND b.status IN ('registered', 'deferred')),
+  (SELECT arg_min(b.asset_id, (b.created_at, b.asset_id)) FROM asset b WHERE b.file_hash = a.file_hash AND b.status = 'received')) AS leader FROM asset a)"""
 
 
-@query(f"WITH {ASSET}, {LEADER} SELECT asset_id, CASE WHEN alive THEN leader END AS leader, alive AND leader <> asset_id AND status <> 'failed' AS copy FROM l")
+@query(f"WITH {ASSET}, {LEADER} SELECT asset_id, leader, leader IS NOT NULL AND leader <> asset_id AND status = 'received' AS copy FROM l")
 def dup_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.with_leader(assets(spark, sf_dir)).select("asset_id", "leader", "copy")
 
@@ -111,12 +116,13 @@ def dup_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.filter("status = 'received'").join(held, "file_hash", "left_anti").select("asset_id")
 
 
-@query(f"""WITH {LABELLED}, e AS (SELECT *, first_value(asset_id) OVER (PARTITION BY file_hash ORDER BY created_at, asset_id) AS leader FROM decided)
-  SELECT CASE WHEN leader <> asset_id THEN 'deferred' ELSE 'received' END AS status, CASE WHEN leader <> asset_id THEN 'copy' ELSE label END AS label, count(*) AS assets FROM e GROUP BY 1, 2""")
+@query(f"""WITH {LABELLED}, {LEADER}, e AS (SELECT d.status, label, leader IS NOT NULL AND leader <> d.asset_id AND d.status = 'received' AS copy FROM decided d JOIN l ON l.asset_id = d.asset_id)
+  SELECT CASE WHEN copy THEN 'deferred' ELSE status END AS status, CASE WHEN copy THEN 'copy' WHEN status = 'received' THEN label ELSE 'settled' END AS label, count(*) AS assets FROM e GROUP BY 1, 2""")
 def ingest_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = dedup.defer_copies(assets(spark, sf_dir).withColumn("status", F.lit("received")))
+    a = dedup.defer_copies(assets(spark, sf_dir))
     led = classify.cascade(a.filter("status = 'received'"), LEXICONS).select("status", "label")
-    return led.unionByName(a.filter("status = 'deferred'").select("status", F.lit("copy").alias("label"))).groupBy("status", "label").agg(F.count("*").alias("assets"))
+    done = a.filter("status <> 'received'").select("status", F.when(F.col("status_reason").isNotNull(), "copy").otherwise("settled").alias("label"))
+    return led.unionByName(done).groupBy("status", "label").agg(F.count("*").alias("assets"))
 
 
 @query(f"WITH {COUNTED} SELECT asset_id, n_en, n_fr FROM counted")
@@ -136,10 +142,10 @@ def doc_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.document_stats(assets(spark, sf_dir), 500).select("asset_id", "chars", "sentences", "tokens", "latin")
 
 
-@query("WITH c AS (SELECT doc_id, len(regexp_extract_all(text, '[가-힣]')) AS h, len(regexp_extract_all(text, '[A-Za-z]')) AS a, len(regexp_extract_all(text, '\\p{L}')) AS n FROM documents) SELECT doc_id AS asset_id, CASE WHEN n = 0 THEN 'unknown' WHEN h >= 0.3 * n THEN 'ko' WHEN a >= 0.5 * n THEN 'en' ELSE 'unknown' END AS language FROM c")
+@query("WITH c AS (SELECT doc_id, len(regexp_extract_all(text, '[가-힣]')) AS h, len(regexp_extract_all(text, '[A-Za-z]')) AS a FROM documents) SELECT doc_id AS asset_id, CASE WHEN h + a = 0 THEN 'unknown' WHEN h / (h + a) >= 0.3 THEN 'ko' WHEN a / (h + a) >= 0.5 THEN 'en' ELSE 'unknown' END AS language FROM c")
 def language_by_script(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return assets(spark, sf_dir).select("asset_id", text.language(text.hangul(t), text.latin(t), F.regexp_count(t, F.lit(r"\p{L}"))).alias("language"))
+    return assets(spark, sf_dir).select("asset_id", text.language(text.hangul(t), text.latin(t)).alias("language"))
 
 
 @query("""WITH t AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'MSH|' || text WHEN 1 THEN ' {"resourceType": "Patient"}' WHEN 2 THEN '{"resourceType": "Other"}' WHEN 3 THEN repeat('x', 128) || 'DICM' || text ELSE text END AS c FROM documents)
@@ -155,10 +161,22 @@ def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.chunk_rows(assets(spark, sf_dir), 1000)
 
 
-@query("SELECT doc_id AS asset_id, CASE WHEN length(trim(substring(text, 1, doc_id % 30))) >= 15 THEN lang END AS guarded FROM documents")
+@query("SELECT doc_id AS asset_id, CASE WHEN length(trim(text)) >= 15 THEN lang END AS guarded FROM documents")
 def content_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.substring(F.col("text"), F.lit(1), (F.col("asset_id") % 30).cast("int"))
-    return assets(spark, sf_dir).select("asset_id", text.guarded(head, F.col("lang")).alias("guarded"))
+    return assets(spark, sf_dir).select("asset_id", text.guarded(F.col("text"), F.col("lang")).alias("guarded"))
+
+
+TWO_DOMAINS = """t AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '{"resourceType": "Patient"} ' || text WHEN 1 THEN '{' || text ELSE 'MSH|' || text END AS c FROM documents)"""
+
+
+@query(f"WITH {TWO_DOMAINS} SELECT doc_id AS asset_id, CASE doc_id % 3 WHEN 0 THEN 2 ELSE 1 END AS n_signed, CASE doc_id % 3 WHEN 1 THEN 'data' WHEN 2 THEN 'medical' END AS signed, CASE doc_id % 3 WHEN 1 THEN 'json' WHEN 2 THEN 'hl7v2' END AS signature, CASE doc_id % 3 WHEN 0 THEN FALSE ELSE TRUE END AS first_stage, 'p7' AS policy_version FROM t")
+def signature_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signatures of two labels in one document decide nothing; the next stage does."""
+    m, t = F.col("asset_id") % 3, F.col("text")
+    given = assets(spark, sf_dir).select("asset_id", F.when(m == 0, F.concat(F.lit('{"resourceType": "Patient"} '), t)).when(m == 1, F.concat(F.lit("{"), t)).otherwise(F.concat(F.lit("MSH|"), t)).alias("text"))
+    rules = {"medical": [text.signature_of_text], "data": [lambda c: F.when(c.startswith("{"), "json")]}
+    out = classify.cascade(given, LEXICONS, rules=rules, policy="p7")
+    return out.select("asset_id", F.size("stage1_scores").alias("n_signed"), F.when(F.col("stage") == 1, F.col("label")).alias("signed"), "signature", (F.col("stage") == 1).alias("first_stage"), "policy_version")
 
 
 CLASSIFIED = f"{LABELLED}, target AS (SELECT asset_id, 'old' AS final_label, CAST(0.1 AS DOUBLE) AS confidence, 1 AS decided_stage, 'v0' AS policy_version FROM asset WHERE asset_id % 2 = 0), delta AS (SELECT asset_id, label AS final_label, CAST(confidence AS DOUBLE) AS confidence, stage AS decided_stage FROM decided WHERE asset_id % 3 = 0)"
@@ -184,14 +202,14 @@ def merge_ext_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 JUDGE = {"axis_en": {"article": ["the"], "join": ["and", "of"]}, "axis_fr": {"article": ["le", "la"]}}
 
 
-@query(f"WITH {COUNTED}, m AS (SELECT asset_id, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])the($|[^\\p{{L}}\\p{{N}}_])') AS t, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(and|of)($|[^\\p{{L}}\\p{{N}}_])') AS j, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(le|la)($|[^\\p{{L}}\\p{{N}}_])') AS f FROM counted) SELECT asset_id, array_to_string(list_filter([CASE WHEN t THEN 'axis_en/article' END, CASE WHEN j THEN 'axis_en/join' END, CASE WHEN f THEN 'axis_fr/article' END], lambda x: x IS NOT NULL), ',') AS facets FROM m")
+@query(f"WITH {COUNTED}, m AS (SELECT asset_id, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])the($|[^\\p{{L}}\\p{{N}}_])') AS t, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(and|of)($|[^\\p{{L}}\\p{{N}}_])') AS j, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(le|la)($|[^\\p{{L}}\\p{{N}}_])') AS f FROM (SELECT asset_id, lower(text) AS low FROM asset)) SELECT asset_id, array_to_string(list_filter([CASE WHEN t THEN 'axis_en/article' END, CASE WHEN j THEN 'axis_en/join' END, CASE WHEN f THEN 'axis_fr/article' END], lambda x: x IS NOT NULL), ',') AS facets FROM m")
 def facet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = assets(spark, sf_dir)
     out = state.facet_keys(a, classify.lexicon_judge(JUDGE)(a, "text"))
     return out.select("asset_id", F.array_join("facets", ",").alias("facets"))
 
 
-@query(f"""WITH {COUNTED}, m AS (SELECT asset_id, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])the($|[^\\p{{L}}\\p{{N}}_])') AS t, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(and|of)($|[^\\p{{L}}\\p{{N}}_])') AS j, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(le|la)($|[^\\p{{L}}\\p{{N}}_])') AS f FROM counted),
+@query(f"""WITH {COUNTED}, m AS (SELECT asset_id, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])the($|[^\\p{{L}}\\p{{N}}_])') AS t, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(and|of)($|[^\\p{{L}}\\p{{N}}_])') AS j, regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])(le|la)($|[^\\p{{L}}\\p{{N}}_])') AS f FROM (SELECT asset_id, lower(text) AS low FROM asset)),
   p AS (SELECT asset_id, 'axis_en' AS skill_code, CAST(t AS INT) + CAST(j AS INT) AS n FROM m WHERE asset_id % 5 <> 0 UNION ALL SELECT asset_id, 'axis_fr', CAST(f AS INT) FROM m), d AS (SELECT *, asset_id % 7 <> 0 AS done, asset_id % 2 = 0 AND skill_code = 'axis_fr' AS had FROM p)
   SELECT skill_code, count(*) AS targets, count(*) FILTER (done) AS judged, count(*) FILTER (NOT done) AS failed, count(*) FILTER (done AND NOT had) AS created, count(*) FILTER (done AND had) AS updated, CAST(coalesce(sum(n) FILTER (done), 0) AS BIGINT) AS labels,
   round(count(*) FILTER (done AND n = 0) / count(*) FILTER (done), 4) AS unassigned_ratio FROM d GROUP BY skill_code""")

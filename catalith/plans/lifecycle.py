@@ -107,11 +107,11 @@ def reprocess_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("asset_id", F.try_element_at("ext_meta", F.lit("summary")).alias("summary"), F.try_element_at("ext_meta", F.lit("title_only")).alias("title_only"))
 
 
-@query("WITH u AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'failed' WHEN doc_id % 9 = 1 THEN 'skipped' ELSE 'ok' END AS outcome FROM documents WHERE doc_id % 2 = 0) SELECT outcome, count(*) AS n, array_to_string(list_sort(list(doc_id)), ',') AS asset_ids FROM u GROUP BY outcome")
+@query("WITH u AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'failed' WHEN doc_id % 9 = 1 THEN 'skipped' ELSE 'ok' END AS outcome FROM documents) SELECT doc_id AS asset_id, outcome, count(*) OVER (PARTITION BY outcome) AS n FROM u")
 def reprocess_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("doc_id") % 9
-    d = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("asset_id"), F.when(m == 0, "failed").when(m == 1, "skipped").otherwise("ok").alias("outcome"))
-    return reports.reprocess_report(d).select("outcome", "n", F.array_join(F.col("asset_ids").cast("array<string>"), ",").alias("asset_ids"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("asset_id"), F.when(m == 0, "failed").when(m == 1, "skipped").otherwise("ok").alias("outcome"))
+    return reports.reprocess_report(d)
 
 
 @query("SELECT doc_id AS asset_id FROM documents WHERE doc_id % 4 IN (0, 2) AND doc_id % 10 = 0 AND source <> 'src3' AND doc_id % 3 <> 0")
@@ -129,11 +129,16 @@ def material_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 BITS = "xor(CAST(CAST('0x' || substring(md5(lang || (doc_id % 50)), 1, 8) AS UBIGINT) AS BIGINT), CAST(doc_id % 4 AS BIGINT))"
 
 
-@query(f"WITH f AS (SELECT doc_id, {BITS} AS bits FROM documents) SELECT a.doc_id AS a, b.doc_id AS b, CAST(bit_count(xor(a.bits, b.bits)) AS INT) AS distance FROM f a JOIN f b ON a.doc_id < b.doc_id AND bit_count(xor(a.bits, b.bits)) <= 2")
+@query(f"WITH f AS (SELECT doc_id, {BITS} AS bits FROM documents), r AS (SELECT bits, min(doc_id) AS doc_id FROM f GROUP BY bits) SELECT a.doc_id AS a, b.doc_id AS b, CAST(bit_count(xor(a.bits, b.bits)) AS INT) AS distance FROM r a JOIN r b ON a.doc_id < b.doc_id AND bit_count(xor(a.bits, b.bits)) <= 2")
 def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.close_pairs(_frames(spark, sf_dir), key="doc_id", bits="bits", most=2)
 
 
+@query(f"WITH f AS (SELECT doc_id, {BITS} AS bits FROM documents) SELECT doc_id, min(doc_id) OVER (PARTITION BY bits) AS representative FROM f")
+def hamming_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.fingerprint_classes(_frames(spark, sf_dir), key="doc_id", bits="bits")
+
+
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.conv(F.substring(F.md5(F.concat("lang", (F.col("doc_id") % 50).cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
     return table(spark, sf_dir, "documents").select("doc_id", "source", h.bitwiseXOR((F.col("doc_id") % 4).cast("long")).alias("bits"))

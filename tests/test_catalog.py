@@ -45,6 +45,7 @@ def test_lexicon_boundaries(spark):
     hits = lambda t, *terms: one(spark, text.lexicon_hits(F.lit(t).cast("string"), list(terms)))
     assert hits("Éle le LE x", "le", "ele") == ["le"]
     assert hits("심장이식", "심장") == ["심장"]
+    assert hits("High blood pressure; blood!", "blood pressure", "blood", "pressure") == ["blood", "blood pressure"] and hits("high blood pressure", "blood pressure", "blood") == ["blood pressure"]
     assert hits("heart_rate", "heart") == [] and hits(None, "a") == [] and hits("x", "") == []
     terms = [f"t{i:02}" for i in range(30)]
     assert one(spark, F.size(text.shown_hits(text.lexicon_hits(F.lit(" ".join(terms)), terms)))) == 20
@@ -56,8 +57,8 @@ def test_signature(spark, content, expect):
 
 
 def test_languages_and_counts(spark):
-    lang = lambda h, l, n: one(spark, text.language(F.lit(h), F.lit(l), F.lit(n)))  # noqa: E731, E741
-    assert [lang(3, 7, 10), lang(2, 5, 10), lang(2, 4, 10), lang(0, 0, 0)] == ["ko", "en", "unknown", "unknown"]
+    lang = lambda t: one(spark, text.language(text.hangul(F.lit(t)), text.latin(F.lit(t))))
+    assert [lang("가나다abcdefg"), lang("가나abcdefgh"), lang("только слова ab"), lang("только")] == ["ko", "en", "en", "unknown"]
     assert one(spark, text.sentences(F.lit("A. B!? \n\n C"))) == 3
     assert one(spark, text.chunks(F.lit("abcdefg"), 3)) == ["abc", "def", "g"] and one(spark, text.chunks(F.lit("abcde"), 3, 1)) == ["abc", "cde", "e"]
     assert one(spark, text.chunks(F.lit(None).cast("string"), 3)) == []
@@ -173,11 +174,11 @@ def test_edges(spark):
 def test_nearest(spark):
     rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.0], "a"), (3, [0.0, 0.0], "b"), (4, [0.0, 1.0], "b"), (5, [1.0, 1.0], "b")]
     df = spark.createDataFrame(rows, "id int, embedding array<float>, modality string")
-    got = [(r["id"], r["rank"]) for r in relations.nearest(df.filter("id = 1"), df, 2, blocks=3).orderBy("rank").collect()]
+    got = [(r["id"], r["rank"]) for r in relations.nearest(df.filter("id = 1"), df, 2, block_rows=2).orderBy("rank").collect()]
     assert got == [(2, 1), (5, 2)]
-    each = {(r["modality"], r["id"]) for r in search.by_modality(df.filter("id = 1").withColumn("domain_label", F.lit("g")), df.withColumn("domain_label", F.lit("g")), 1, excluded=("x",), blocks=2).collect()}
+    each = {(r["modality"], r["id"]) for r in search.by_modality(df.filter("id = 1").withColumn("domain_label", F.lit("g")), df.withColumn("domain_label", F.lit("g")), 1, excluded=("x",), block_rows=2).collect()}
     assert each == {("a", 2), ("b", 5)}
-    assert relations.nearest(df, df.limit(0), 2, blocks=2).count() == 0
+    assert relations.nearest(df, df.limit(0), 2, block_rows=2).count() == 0
 
 
 def test_pair_scores(spark):
@@ -272,3 +273,16 @@ def test_micro_batches_keep_dead_letters(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/in")
     lifecycle.micro_batches(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"), lambda d: (d.filter("x is not null"), d.filter("x is null")), f"{tmp_path}/o", f"{tmp_path}/c")
     assert spark.read.parquet(f"{tmp_path}/o/good").count() == 2 and spark.read.parquet(f"{tmp_path}/o/dead").count() == 1
+
+
+def test_settled_assets_lead_and_stay(spark):
+    rows = [(1, "h", "received", 1), (2, "h", "registered", 2), (3, "h", "deferred", 3), (4, "h", "failed", 0), (5, "g", "received", 5), (6, "g", "routing", 4), (7, None, "received", 7), (8, None, "received", 8)]
+    assets = spark.createDataFrame(rows, "asset_id int, file_hash string, status string, created_at int")
+    got = {r["asset_id"]: (r["status"], r["status_reason"]) for r in dedup.defer_copies(assets).collect()}
+    assert got == {1: ("deferred", "duplicate_content:2"), 2: ("registered", None), 3: ("deferred", None), 4: ("failed", None), 5: ("deferred", "duplicate_content:6"), 6: ("routing", None), 7: ("received", None), 8: ("received", None)}
+
+
+def test_passages_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, "x Aone two  three four five six seven eight nine tenB"), (2, "one two three four five six seven eight nine ten"), (3, "a b c"), (4, None), (5, "two three four five six seven eight nine")], "id int, text string")
+    asked = spark.createDataFrame([("p", "one two three four five six seven eight nine ten"), ("q", "a b c"), ("r", "b c"), ("s", None)], "query string, text string")
+    assert sorted(map(tuple, search.containing(docs, asked).collect())) == [("p", 2), ("q", 3)]
