@@ -24,6 +24,8 @@ ASIDE = frozenset("nav footer aside form button dialog menu fieldset".split())
 #: Where nothing was learned of a class, id or role: it names an aside if it is made of these words, or of these and of plain ones.
 ASIDE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer form header login masthead menu modal nav navbar navigation newsletter notice popup promo promoted related replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 PLAIN_WORDS = frozenset("area bar block bottom box button buttons container global group icons inline inner item left link links list main middle outer page panel posts primary right rail row secondary section side site slot small thread top unit wrap wrapper".split())
+#: Fixed values of HTML: elements that hold a whole article or page.
+FRAMES = frozenset("html body article main".split())
 #: Labelled pages from which weights are learned, about: a page takes part by its hash.
 SAMPLE = 20_000
 #: A class, id or role was learned to name asides if so many of its elements stood outside of articles, and at most this share inside.
@@ -113,7 +115,7 @@ def tokens(page: str, asides: frozenset[str] = frozenset()) -> Iterator[tuple[st
 def region(page: list[tuple], weights: Weights) -> tuple[int, int]:
     """First and last + 1 token of the best contiguous run (Kadane's scan); of equal ones the first, (0, 0) if none is over 0."""
     best, found, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (what, kind, text, _) in enumerate(page):
+    for i, (what, kind, text, *_) in enumerate(page):
         total += weights.of(what, kind, text)
         if total <= 0:
             total, start = 0.0, i + 1
@@ -143,45 +145,51 @@ def fit(pages: DataFrame, *, text: str = "html", sample: int = SAMPLE) -> Weight
     """Weights from labelled pages: those whose markup names the article (one article or main element, not in an aside);
     about sample pages, by a hash of the page.
 
-    Tasks count for each kind of element how many words it holds inside and outside of the named region, for each kind of
-    tag how often it stands inside and outside, and the same for each class, id and role of elements that don't hold the
-    region; counts are united by a grouped sum. A word scores the share of its kind's words that are inside, 0.01 at least; a tag
-    costs 0.02, and 40 times the share of its kind that is outside. The region's own tags cost as if outside. A name of
-    which OFTEN elements or more stood outside, and few inside, is one of asides. Without labelled pages all weights are defaults.
+    Tasks count for each class, id and role of elements that don't hold the named region how often it stands inside and
+    outside of it; a name of which OFTEN elements or more stood outside, and few inside, is one of asides. With these known, they
+    count for each kind of element how many words it holds inside and outside, and for each kind of tag how often it stands
+    there; counts are united by a grouped sum. A word scores the share of its kind's words that are inside, 0.01 at least. A
+    tag costs 0.02 and 4 times the share of its kind that is outside, 40 times for those that frame articles and for asides; the
+    region's own tags cost as if outside. Without labelled pages all weights are defaults.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside, outside = Counter(), Counter()
-        for batch in batches:
-            for value in batch.column(0):
-                page = list(tokens(value.as_py() or ""))
-                marks = [i for i, (what, kind, _, _) in enumerate(page) if what != "words" and kind in ("article", "main")]
-                if len(marks) < 2 or page[marks[0]][0] != "open":
-                    continue
-                for i, (what, kind, words, names) in enumerate(page):
-                    into = inside if marks[0] < i < marks[-1] else outside
-                    into[("words " if what == "words" else f"{what} ") + kind] += len(words.split()) if what == "words" else 1
-                    if what == ("close" if i < marks[0] else "open"):
-                        into.update(f"name {x}" for x in names if i not in (marks[0], marks[-1]))
-        kinds = list(inside.keys() | outside.keys())
-        yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "n1": pa.array([inside[k] for k in kinds], pa.int64()), "n0": pa.array([outside[k] for k in kinds], pa.int64())})
+    def counter(asides: frozenset[str] | None):
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            inside, outside = Counter(), Counter()
+            for batch in batches:
+                for value in batch.column(0):
+                    page = list(tokens(value.as_py() or "", asides or frozenset()))
+                    marks = [i for i, (what, kind, _, _) in enumerate(page) if what != "words" and kind in ("article", "main")]
+                    if len(marks) < 2 or page[marks[0]][0] != "open":
+                        continue
+                    for i, (what, kind, words, names) in enumerate(page):
+                        into = inside if marks[0] < i < marks[-1] else outside
+                        if asides is not None:
+                            into[("words " if what == "words" else f"{what} ") + kind] += len(words.split()) if what == "words" else 1
+                        elif what == ("close" if i < marks[0] else "open") and i not in (marks[0], marks[-1]):
+                            into.update(names)
+            kinds = list(inside.keys() | outside.keys())
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "n1": pa.array([inside[k] for k in kinds], pa.int64()), "n0": pa.array([outside[k] for k in kinds], pa.int64())})
+
+        return count
 
     n = pages.count()
     own = pages.select(F.col(text).cast("string").alias("_html"))
     if n > sample:
         own = own.filter(F.pmod(F.xxhash64("_html"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n)))
-    counts = own.mapInArrow(count, "kind string, n1 long, n0 long").groupBy("kind").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    weights, asides = Weights(), set()
-    for r in counts.collect():
+
+    def counts(asides: frozenset[str] | None) -> DataFrame:
+        every = own.mapInArrow(counter(asides), "kind string, n1 long, n0 long").groupBy("kind").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+        return every.withColumn("share", (F.col("n1") + 0.01) / (F.col("n1") + F.col("n0") + 0.02))
+
+    asides = frozenset(r["kind"] for r in counts(None).filter((F.col("n0") >= OFTEN) & (F.col("share") <= INSIDE)).select("kind").collect())
+    weights = Weights(asides=asides)
+    for r in counts(asides).collect():
         what, _, kind = r["kind"].partition(" ")
-        share = (r["n1"] + 0.01) / (r["n1"] + r["n0"] + 0.02)
         if what == "words":
-            weights.word[kind] = max(0.01, share)
-        elif what != "name":
-            weights.tag[r["kind"]] = 0.02 + 40 * (1 - share)
-        elif r["n0"] >= OFTEN and share <= INSIDE:
-            asides.add(kind)
-    weights.asides = frozenset(asides)
+            weights.word[kind] = max(0.01, r["share"])
+        else:
+            weights.tag[r["kind"]] = 0.02 + (40 if kind in FRAMES or away(kind) else 4) * (1 - r["share"])
     return weights
 
 

@@ -148,24 +148,56 @@ def test_ngram_join_edges(spark):
     assert Counter((r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(twins).collect()) == {(7, 7): 3, (9, 7): 1}
 
 
+def test_product_is_set_intersection():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        base = rng.integers(0, 1 << 60, 60).astype(np.uint64)
+        sets = [np.unique(np.where(rng.random(60) < rng.choice([0.0, 0.05, 0.2]), rng.integers(0, 1 << 60, 60).astype(np.uint64), base))[: rng.integers(1, 61)] for _ in range(rng.integers(2, 12))]
+        n = np.array([len(x) for x in sets])
+        right = rng.random(len(sets)) < rng.choice([0.0, 0.5])
+        got = {tuple(sorted(p)) for p in zip(*map(np.ndarray.tolist, ngram_join.product(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), n, right)), strict=True)}
+        want = {(i, j) for j in range(len(sets)) for i in range(j) if (right[i] != right[j] or not right.any()) and 4 * len(np.intersect1d(sets[i], sets[j])) >= 3 * len(np.union1d(sets[i], sets[j]))}
+        assert got == want
+
+
 def test_blocks_of_near_copies_stay_small(spark, monkeypatch):
-    """Near copies share their least column with one leader: their texts must not all meet in one block."""
+    """A large group of copies whose similarities lie around the bound: blocks stay within two parts, and no link is lost."""
     rng = np.random.default_rng(11)
-    base = [f"w{i}" for i in range(90)]
-    texts = [" ".join([*base[:at], f"other{i}", *base[at + 1 :]]) for i, at in enumerate(rng.integers(0, 90, 900))]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], DOCS).repartition(3)
-    met, real = [], ngram_join.materialize
+    base, other = [f"w{i}" for i in range(60)], [f"o{i}" for i in range(60)]
+    texts = []
+    for i in range(260):
+        t = list(base if i % 3 else other)
+        for at in rng.integers(0, 60, rng.integers(1, 4)):
+            t[at] = f"x{rng.integers(0, 40)}"
+        texts.append(" ".join(t))
+    sizes, real = [], ngram_join._links
+
+    def links(blocks, *rest):
+        sizes.append(blocks.groupBy("block").count().agg(F.max("count")).first()[0] or 0)
+        return real(blocks, *rest)
+
+    monkeypatch.setattr(ngram_join, "_links", links)
+    monkeypatch.setattr(ngram_join, "PART", 32)
+    monkeypatch.setattr(ngram_join, "TURNS", 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == linked(texts) and len({c for _, c in got.values()}) > 2
+    assert len(sizes) == 3 and max(sizes) <= 4 * 32
 
-    def kept(df):
-        df = real(df)
-        if df.columns == ["block", "a", "b"]:
-            met.append(df)
-        return df
 
-    monkeypatch.setattr(ngram_join, "materialize", kept)
-    assert {r["component_id"] for r in ngram_join.near_duplicates(docs).collect()} == {0}
-    sizes = [df.select("block", F.explode(F.array("a", "b")).alias("k")).distinct().groupBy("block").count().agg(F.max("count")).first()[0] or 0 for df in met]
-    assert sum(df.count() for df in met) >= 899 and max(sizes) <= 4 * ngram_join.PART
+def test_any_keys_and_names(spark):
+    docs = spark.createDataFrame([("b", "a b c d e f", 77, 1), ("a", "A b c d e f", 78, 2), (None, "x y z", 79, 3), ("c", None, 80, 4), ("a", "p q", 81, 5)], "doc_id string, text string, _rid int, _row int")
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == {("b", 2): "a", ("a", 2): "a", (None, 1): None, ("c", 0): "c", ("a", 1): "a"}
+    kept = ngram_join.deduplicate(docs)
+    assert kept.columns == docs.columns and sorted(r["_rid"] for r in kept.collect()) == [78, 79, 80, 81]
+    named = spark.createDataFrame([(i, i + 100, i + 200, i + 300) for i in range(50)], "doc_id long, _rank long, _place long, _b0 long")
+    assert all(r["_rank"] - 100 == r["_place"] - 200 == r["_b0"] - 300 == r["doc_id"] for r in sharding.shard(named, 8).collect())
+    pages = spark.createDataFrame([(1, "http://x.com/", "k")], "page_id int, url string, _keys string")
+    assert url_filter.judge(pages, [("block", "com", "/")]).first().asDict() == {"page_id": 1, "url": "http://x.com/", "_keys": "k", "host": "x.com", "path": "/", "rule": "com/", "verdict": "block"}
+    long = "".join(chr(97 + i % 26) + str(i) for i in range(200))
+    cut = suffix_dedup.deduplicate(spark.createDataFrame([(1, long, "n", 5), (2, long, "m", 6)], "doc_id long, text string, _null string, _rid int"))
+    assert sorted(map(tuple, cut.collect())) == [(1, long, "n", 5), (2, "", "m", 6)]
 
 
 def repeats(texts):
@@ -264,10 +296,9 @@ def test_packing(spark):
     tokenizers = pytest.importorskip("tokenizers")
     path = public.path("byte_bpe_50k.json")
     own = tokenizers.Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     texts = [None, "", "Hello world", "l'été  naïve 中文 ​ x1234\n\n\tq", "<|endoftext|> as text", "word " * 3000, "a" * 5000, *[f"text {i} " * (i % 40) for i in range(200)], "dup", "dup"]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(0, "again", 1)], DOCS + ", length int")
-    rows = packing.pack(docs, path, 256).collect()
+    rows = packing.pack(docs, path, 256, added=True).collect()
     by, room = defaultdict(list), defaultdict(list)
     for r in rows:
         by[r["doc_id"]].append(r)

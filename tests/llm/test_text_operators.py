@@ -215,4 +215,107 @@ def test_decontamination_finds_regular_substitutions(spark, words):
     swaps = [(0, range(k, 50, 5)) for k in range(5)] + [(1, [0]), (1, [9]), (2, [4, 6]), (3, [3, 6]), (3, [0, 5]), (3, [2, 5])]
     rows = [(d, " ".join(words[200:220] + ["swap" if p in at else w for p, w in enumerate(items[i][1])] + words[230:250])) for d, (i, at) in enumerate(swaps)]
     docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
-    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, bench).collect()} == {(d, i) for d, (i, _) in enumerate(swaps[:-1])}
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, bench).collect()} == {(d, i) for d, (i, _) in enumerate(swaps)}
+
+
+@pytest.mark.parametrize("n", range(1, 17))
+def test_every_substitution_leaves_a_seed(n):
+    """Items of up to 16 tokens: whichever tokens are others, as long as enough are equal, a mask shows only equal ones."""
+    from itertools import combinations
+
+    equal = min(decontaminate.LEAST, -(-n * 8 // 10))
+    masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.masks_for(n)]
+    for gone in combinations(range(n), n - equal):
+        assert any(all(p + i < n and p + i not in gone for i in ones) for ones in masks for p in range(n - max(ones)))
+
+
+def test_decontamination_is_brute_force(spark, words, monkeypatch):
+    rng = np.random.default_rng(8)
+    items = [(i, " ".join(rng.choice(words, n))) for i, n in enumerate([1, 3, 5, 7, 9, 10, 11, 12, 14, 15, 16])] + [(None, " ".join(rng.choice(words, 12))), (4, " ".join(rng.choice(words, 13)))]
+    docs = []
+    for i in range(300):
+        t = [str(x) for x in rng.choice(words, 30)]
+        own = items[rng.integers(0, len(items))][1].split()
+        for at in rng.integers(0, len(own), rng.integers(0, 4)):
+            own[at] = "other"
+        at = rng.integers(0, 20)
+        docs.append((i if i % 50 else None, " ".join(t[:at] + own + t[at:]) if i % 4 else " ".join(t), i))
+    docs += [(500, None, 500), (501, "", 501)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, _rid int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def best(text, item):
+        a, b = (text or "").split(), item.split()
+        return max((sum(0 <= s + j < len(a) and a[s + j] == w for j, w in enumerate(b)) for s in range(-len(b), len(a))), default=0)
+
+    need = lambda b: min(13, -(-len(b.split()) * 8 // 10))
+    want = sorted((str(d), str(i), best(t, b)) for d, t, _ in docs for i, b in items if best(t, b) >= need(b))
+    for most in (decontaminate.MOST_SEEDS, 0):
+        monkeypatch.setattr(decontaminate, "MOST_SEEDS", most)
+        assert sorted((str(r["doc_id"]), str(r["item_id"]), r["n_equal"]) for r in decontaminate.overlaps(frame, bench).collect()) == want
+    hit = {k for d, t, k in docs if any(best(t, b) >= need(b) for _, b in items)}
+    kept = decontaminate.decontaminate(frame, bench)
+    assert kept.columns == frame.columns and {r["_rid"] for r in kept.collect()} == {k for _, _, k in docs} - hit
+    assert decontaminate.overlaps(frame.limit(0), bench).count() == decontaminate.overlaps(frame, bench.limit(0)).count() == 0
+
+
+def test_extraction_loses_nothing_of_an_article(spark):
+    rng = np.random.default_rng(12)
+    say = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(2, 8))) for _ in range(n))
+    asides = ['<div class="ad">{}</div>', '<aside>{}</aside>', '<div class="cookie-notice"><p>{}</p></div>', '<form><label>{}</label></form>', '<script>var x="{}";</script>', '<!-- {} -->', '<section id="comments"><p>{}</p></section>']
+    held = ['<div class="share-prices"><p>{}</p></div>', '<blockquote class="notice-of-meeting">{}</blockquote>', "<p>{}</p>", "<ul><li>{}</li></ul>", "<h2>{} &amp; more</h2>"]
+    pages, expect = [], []
+    for i in range(120):
+        body, blocks = "", []
+        for _ in range(rng.integers(2, 7)):
+            if rng.random() < 0.3:
+                body += asides[rng.integers(0, len(asides))].format(say(rng.integers(1, 9)))
+            text = say(rng.integers(3, 70))
+            kind = held[rng.integers(0, len(held))]
+            body += kind.format(text)
+            blocks.append(text + (" & more" if "&amp;" in kind else ""))
+        top = f"<header><a>{say(3)}</a></header><nav><ul><li><a>{say(1)}</a></li></ul></nav>" + (f'<div class="box7">{say(8)}</div>' if i % 2 else "")
+        pages.append((i, f"<html><head><title>{say(3)}</title></head><body>{top}<article>{body}</article><div class=\"box7\">{say(5)}</div><footer>{say(6)}</footer></body></html>"))
+        expect.append("\n\n".join(blocks))
+    pages += [(200, None), (201, ""), (202, "<p>"), (203, pages[0][1])]
+    frame = spark.createDataFrame(pages, "page_id long, html string").repartition(3)
+    weights = html_extract.fit(frame)
+    assert "box7" in weights.asides
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(frame, weights).collect()}
+    assert got == {**dict(enumerate(expect)), 200: "", 201: "", 202: "", 203: expect[0]}
+    assert html_extract.extract(frame.limit(0), html_extract.fit(frame.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("step", [1, 3, 100_003])
+def test_next_texts(spark, step):
+    texts = [f"t{i}" if i % 7 else None for i in range(700)]
+    docs = spark.createDataFrame([(step * i - 50, t) for i, t in enumerate(texts)], DOCS).repartition(3)
+    got = {r["doc_id"]: r["next_text"] for r in fingerprint.with_next(docs).collect()}
+    assert got == {step * i - 50: texts[(i + 1) % 700] or "" for i in range(700)}
+
+
+def test_near_values_are_brute_force(spark):
+    rng = np.random.default_rng(6)
+    lines = ["".join(rng.choice(list("abcdef "), 30)) + "." for _ in range(40)]
+    texts = ["".join(rng.choice(lines, rng.integers(0, 12))) for _ in range(60)] + ["", "x", "x"]
+    rows = {r["doc_id"]: r for r in fingerprint.compare_edited(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+
+    def leaves(t):
+        import re
+
+        return re.findall(r"[^.!?\n]{1,64}[.!?\n]*|[.!?\n]+", t)
+
+    def like(a, b):
+        if leaves(a) == leaves(b):
+            return 1.0
+        x, y = set(leaves(a)), set(leaves(b))
+        weigh = lambda s: sum(min(len(v), 255) for v in s)
+        return 2 * weigh(x & y) / (weigh(x) + weigh(y))
+
+    for i, t in enumerate(texts):
+        after = texts[(i + 1) % len(texts)]
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        r = rows[i]
+        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["near_next"] == pytest.approx(like(t, after)) and r["near_edited"] == pytest.approx(like(t, edited))
+    assert rows[61]["fingerprint"] == rows[62]["fingerprint"] != rows[60]["fingerprint"]
