@@ -76,6 +76,11 @@ def contained(judged: DataFrame, registered: DataFrame, words: int = 4) -> DataF
     return hit.select("asset_id", "entity_type", "from_name", "to_name").distinct()
 
 
+def contained_report(links: DataFrame) -> DataFrame:
+    """One row a type and pair of names: how many assets it links, and the first of them as a sample."""
+    return links.groupBy("entity_type", "from_name", "to_name").agg(F.countDistinct("asset_id").alias("assets"), F.min("asset_id").alias("sample"))
+
+
 def split_registered(judged: DataFrame, registered: DataFrame) -> DataFrame:
     """judged with registered: whether (type, uid) is known; the others are withheld as candidates."""
     return judged.join(registered.select(*KEY).distinct().withColumn("_k", F.lit(True)), KEY, "left").withColumn("registered", F.col("_k").isNotNull()).drop("_k")

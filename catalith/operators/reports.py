@@ -59,11 +59,13 @@ def upper_median(rows: DataFrame, value: str, group: list[str] | None = None) ->
     return joined.filter(F.col("_run") > F.expr("n div 2")).groupBy(*keys, "n", "least", "greatest").agg(F.min(value).alias("median"))
 
 
-def describe_targets(bundles: DataFrame, stored: DataFrame) -> DataFrame:
-    """(type, uid, members, reason): entities without a description (missing), or with one made for another number of members."""
+def describe_targets(bundles: DataFrame, stored: DataFrame, most: int | None = None) -> DataFrame:
+    """(type, uid, members, reason): entities without a description (missing), or with one made for another number of members.
+    most: the largest ones only, ties by type and uid."""
     rows = bundles.join(stored.select("entity_type", "entity_uid", "description", "member_count"), ["entity_type", "entity_uid"], "left")
     reason = F.when(F.trim(F.coalesce("description", F.lit(""))) == "", "missing").when(F.col("member_count") != F.col("members"), "members_changed")
-    return rows.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("entity_type", "entity_uid", "members", "reason")
+    due = rows.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("entity_type", "entity_uid", "members", "reason")
+    return due.orderBy(F.desc("members"), "entity_type", "entity_uid").limit(most) if most is not None else due
 
 
 def described(targets: DataFrame, summaries: DataFrame, template: Callable[[Column, Column], Column] | None = None) -> DataFrame:
@@ -75,7 +77,9 @@ def described(targets: DataFrame, summaries: DataFrame, template: Callable[[Colu
 
 
 def describe_report(targets: DataFrame, done: DataFrame) -> DataFrame:
-    return targets.groupBy("reason").agg(F.count("*").alias("targets")).join(F.broadcast(done.agg(F.count_if("over_length").alias("over_length"), F.count("*").alias("described"))))
+    """One row a reason: targets, how many of them are described, and how many descriptions are over the length."""
+    rows = targets.join(done.select("entity_type", "entity_uid", "over_length"), ["entity_type", "entity_uid"], "left")
+    return rows.groupBy("reason").agg(F.count("*").alias("targets"), F.count("over_length").alias("described"), F.count_if("over_length").alias("over_length"))
 
 
 def chunk_rows(rows: DataFrame, width: int, *, key: str = "asset_id", text: str = "text", channel: str = "st", overlap: int = 0) -> DataFrame:

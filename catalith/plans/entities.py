@@ -78,6 +78,11 @@ def contained_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.contained(_judged(spark, sf_dir), p)
 
 
+@query(f"WITH {JUDGED}, {WORDS}, c AS (SELECT DISTINCT asset_id, j.entity_type, name AS from_name, to_name FROM judged j JOIN words w ON j.entity_type = w.entity_type AND (' ' || lower(name) || ' ') LIKE ('% ' || lower(to_name) || ' %') AND lower(name) <> lower(to_name)) SELECT entity_type, from_name, to_name, count(*) AS assets, min(asset_id) AS sample FROM c GROUP BY ALL")
+def contained_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.contained_report(contained_links(spark, sf_dir))
+
+
 @query("SELECT p_type AS entity_type, p_partkey AS entity_uid, p_partkey % 3 = 0 AS registered FROM part")
 def split_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _entities(spark, sf_dir)
@@ -171,6 +176,28 @@ def describe_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.describe_targets(b, stored)
 
 
+def _due(spark: SparkSession, sf_dir: str, most: int | None = None) -> DataFrame:
+    b = entities.bundles(membership(spark, sf_dir))
+    m = F.col("entity_uid") % 3
+    stored = b.select("entity_type", "entity_uid", F.when(m == 0, " ").otherwise("d").alias("description"), F.when(m == 1, F.col("members") + 1).otherwise(F.col("members")).alias("member_count"))
+    return reports.describe_targets(b, stored, most)
+
+
+DUE = f"{FIRST3}, bundle AS (SELECT entity_type, entity_uid, count(DISTINCT asset_id) AS members FROM edge WHERE status = 'active' GROUP BY ALL), due AS (SELECT entity_type, entity_uid, members, CASE WHEN entity_uid % 3 = 0 THEN 'missing' ELSE 'members_changed' END AS reason FROM bundle WHERE entity_uid % 3 <= 1)"
+
+
+@query(f"WITH {DUE} SELECT * FROM due ORDER BY members DESC, entity_type, entity_uid LIMIT 100")
+def describe_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hundred largest entities whose description is due."""
+    return _due(spark, sf_dir, 100)
+
+
+@query(f"WITH {DUE}, d AS (SELECT entity_type, entity_uid, length(CAST(entity_uid AS VARCHAR) || ': ' || array_to_string(summaries, '; ')) AS n FROM due JOIN lines USING (entity_type, entity_uid)) SELECT reason, count(*) AS targets, count(n) AS described, count(*) FILTER (n > 60) AS over_length FROM due LEFT JOIN d USING (entity_type, entity_uid) GROUP BY reason")
+def describe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    due = _due(spark, sf_dir)
+    return reports.describe_report(due, reports.described(due, entities.member_summaries(membership(spark, sf_dir), summaries(spark, sf_dir))))
+
+
 @query(f"WITH {EDGE}, e AS (SELECT DISTINCT asset_id, entity_type, entity_uid FROM edge) SELECT asset_id, count(*) AS n FROM (SELECT * FROM e WHERE asset_id % 4 <> 0 UNION ALL SELECT DISTINCT asset_id, 'one', CAST(1 AS BIGINT) FROM e WHERE asset_id % 4 = 0) GROUP BY asset_id")
 def edge_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = membership(spark, sf_dir).select("asset_id", "entity_type", "entity_uid").distinct()

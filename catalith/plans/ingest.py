@@ -248,3 +248,11 @@ def material_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, labels = F.array("source", F.lit(" ")), F.array(F.lit("x"))
     own = meta.self_text(F.col("lang"), k, labels)
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("asset_id"), own.alias("self_text"), meta.with_title(own, F.col("source")).alias("titled"), meta.embedding_text(F.col("lang"), k, labels).alias("embedding_text"))
+
+
+@query(f"WITH {ASSET} SELECT asset_id, modality, CASE modality WHEN 'text' THEN CAST(len(regexp_extract_all(text, '[^\\s]+')) AS INT) WHEN 'image' THEN CAST(file_size AS INT) END AS facts, modality IN ('text', 'image') AS handled FROM asset")
+def dispatch_modalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each modality through its own handler; what none takes comes back as it was."""
+    handlers = {"text": lambda a: a.select("asset_id", "modality", text.tokens(F.col("text")).alias("facts")), "image": lambda a: a.select("asset_id", "modality", F.col("file_size").cast("int").alias("facts"))}
+    done, rest = classify.dispatch(assets(spark, sf_dir), handlers)
+    return done.withColumn("handled", F.lit(True)).unionByName(rest.select("asset_id", "modality", F.lit(None).cast("int").alias("facts"), F.lit(False).alias("handled")))
