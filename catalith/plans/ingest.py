@@ -256,3 +256,28 @@ def dispatch_modalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     handlers = {"text": lambda a: a.select("asset_id", "modality", text.tokens(F.col("text")).alias("facts")), "image": lambda a: a.select("asset_id", "modality", F.col("file_size").cast("int").alias("facts"))}
     done, rest = classify.dispatch(assets(spark, sf_dir), handlers)
     return done.withColumn("handled", F.lit(True)).unionByName(rest.select("asset_id", "modality", F.lit(None).cast("int").alias("facts"), F.lit(False).alias("handled")))
+
+
+@query("SELECT doc_id AS asset_id, CASE WHEN doc_id % 3 = 0 THEN nullif(trim(CASE WHEN doc_id % 2 = 0 THEN ' ' ELSE source END), '') END AS title, CASE WHEN doc_id % 3 <> 1 THEN lang END AS hint FROM documents")
+def title_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that were judged to fit, and file names where the judgement wasn't no."""
+    i = F.col("doc_id")
+    match, title = F.when(i % 3 == 0, "yes").when(i % 3 == 1, "no"), F.when(i % 2 == 0, " ").otherwise(F.col("source"))
+    return table(spark, sf_dir, "documents").select(i.alias("asset_id"), meta.confirmed_title(title, match).alias("title"), meta.name_hint(F.col("lang"), match).alias("hint"))
+
+
+@query("SELECT vec_id AS asset_id, array_to_string(list_transform(list_filter(list_transform(range(1, len(embedding) + 1), lambda i: {'i': i, 's': CAST(embedding[i] AS DOUBLE)}), lambda x: x.s >= CAST(0.1 AS DOUBLE))[1:3], lambda x: CAST(x.i AS VARCHAR)), ',') AS labels FROM embeddings")
+def label_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components stand for the scores of labels; the first three from 0.1 on stay."""
+    scored = F.transform("embedding", lambda x, i: F.struct((i + 1).alias("label"), x.cast("double").alias("score")))
+    best = meta.best_labels(scored, 0.1, 3)
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("asset_id"), F.array_join(F.transform(best, lambda x: x["label"].cast("string")), ",").alias("labels"))
+
+
+@query("SELECT doc_id AS asset_id, concat_ws(chr(10), lang, source, nullif(CASE WHEN doc_id % 2 = 0 THEN '' ELSE lang END, ''), source || ' x', CASE WHEN doc_id % 5 <> 0 THEN lang END) AS material FROM documents")
+def search_material(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An entity's text for search: blank parts are left out."""
+    i = F.col("doc_id")
+    described = F.when(i % 2 == 0, "  ").otherwise(F.concat(F.lit(" "), "lang"))
+    members = F.when(i % 5 == 0, F.array(F.lit(" "))).otherwise(F.array("lang", F.lit("")))
+    return table(spark, sf_dir, "documents").select(i.alias("asset_id"), meta.search_material(F.col("lang"), F.col("source"), described, F.array("source", F.lit(" x ")), members).alias("material"))
