@@ -1 +1 @@
-"""Operators of a training-data pipeline. Nothing else in the library imports this subpackage."""
+"""Operators that prepare training data. Nothing else in the library imports this subpackage."""

@@ -1,4 +1,4 @@
-"""Sharding, URL rules, joins, suffix dedup, packing, pipeline: exact round trips and brute force."""
+"""Sharding, URL rules, joins, suffix dedup, packing, the chain of stages: exact round trips and brute force."""
 
 from __future__ import annotations
 
