@@ -109,10 +109,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
     Tasks count in how many toxic and other documents each word and word beginning stands; counts are united by a grouped
     sum. An entry stands, smoothed, in 12 times as many toxic documents as its share, and chance would give its counts once
-    in a million terms at most; a longer term that a shorter entry already finds is left out. Neighbouring words with which an entry stands in other
-    documents only become exception phrases. Without both kinds of labels the lexicon is empty.
+    in a million terms at most; a longer term that a shorter entry already finds is left out. Neighbouring words with which an
+    entry stands in other documents only, in three at least, become exception phrases. All that pass these tests are taken, and
+    only they come to the driver: they grow with the sample, not with the corpus. Without both kinds of labels the lexicon is empty.
     """
-    known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.filter(train) if train is not None else known
     chosen = known.groupBy(key).agg(F.max(label).cast("int").alias("_y")).orderBy(F.xxhash64(key), key).limit(sample)
     rows = docs.select(key, F.coalesce(text, F.lit("")).alias("_text")).join(F.broadcast(chosen), key).select("_text", "_y")
@@ -122,23 +123,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
         for batch in batches:
             for value, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 seen[y].update(_terms(value.as_py()))
-                seen[y][""] += 1
         both = list(seen[0].keys() | seen[1].keys())
         for i in range(0, len(both), 50_000):
             part = both[i : i + 50_000]
             yield pa.RecordBatch.from_pydict({"term": pa.array(part, pa.string()), "n0": pa.array([seen[0][t] for t in part], pa.int64()), "n1": pa.array([seen[1][t] for t in part], pa.int64())})
 
     counts = rows.mapInArrow(count, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    kept = counts.filter("term = '' or n1 >= 3 and n1 > n0").orderBy(F.desc("n1"), "term").limit(200_000).collect()
-    sizes = next(((r["n0"], r["n1"]) for r in kept if not r["term"]), (0, 0))
+    found = rows.groupBy("_y").count().collect()  # two rows
+    sizes = tuple(sum(r["count"] for r in found if r["_y"] == y) for y in (0, 1))
     lexicon = Lexicon({}, [fold(x) for x in exceptions])
     if not all(sizes):
         return lexicon
+    weight, least = _weight(F.col("n1"), F.col("n0"), *sizes), surprise(F.col("n1"), F.col("n0"), sizes[1] / sum(sizes))
+    kept = counts.filter(F.col("n1") >= 3).select("term", weight.alias("weight")).filter((F.col("weight") >= math.log(12)) & (least >= SURPRISE)).collect()
     entries: dict[str, float] = {}
-    for r in sorted((r for r in kept if r["term"]), key=lambda r: (len(r["term"].rstrip("*")), not r["term"].endswith("*"), r["term"])):
-        term, weight = r["term"], math.log((r["n1"] + 0.5) / (sizes[1] + 1)) - math.log((r["n0"] + 0.5) / (sizes[0] + 1))
-        if weight >= math.log(12) and surprise(r["n1"], r["n0"], sizes[1] / sum(sizes)) >= SURPRISE and not any(f"{term[:n]}*" in entries for n in PREFIXES if n < len(term.rstrip("*")) or not term.endswith("*")):
-            entries[term] = weight
+    for r in sorted(kept, key=lambda r: (len(r["term"].rstrip("*")), not r["term"].endswith("*"), r["term"])):
+        term = r["term"]
+        if not any(f"{term[:n]}*" in entries for n in PREFIXES if n < len(term.rstrip("*")) or not term.endswith("*")):
+            entries[term] = r["weight"]
     lexicon.entries = entries
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,11 +151,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
                 named = [m[0] in entries or any(f"{m[0][:n]}*" in entries for n in PREFIXES) for m in words]
                 low = fold(value.as_py())
                 seen[y].update({low[a.start() : b.end()] for a, b, x, z in zip(words, words[1:], named, named[1:], strict=False) if x or z})
-        both = [t for t in seen[0].keys() | seen[1].keys() if len(t) < 80]
+        both = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_pydict({"term": pa.array(both, pa.string()), "n0": pa.array([seen[0][t] for t in both], pa.int64()), "n1": pa.array([seen[1][t] for t in both], pa.int64())})
 
     phrases = rows.mapInArrow(beside, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    lexicon.exceptions += sorted(r["term"] for r in phrases.filter("n0 >= 3 and n1 = 0").orderBy(F.desc("n0"), "term").limit(20_000).collect())
+    lexicon.exceptions += sorted(r["term"] for r in phrases.filter("n0 >= 3 and n1 = 0").collect())
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,13 +167,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     return lexicon
 
 
-def surprise(n1: int, n0: int, share: float) -> float:
+def _weight(n1: Column, n0: Column, none: int, toxic: int) -> Column:
+    """The logarithm of how much larger a term's share of the toxic documents is than that of the others, smoothed."""
+    return F.log((n1 + 0.5) / (toxic + 1)) - F.log((n0 + 0.5) / (none + 1))
+
+
+def surprise(n1: Column, n0: Column, share: float) -> Column:
     """Minus the logarithm of a bound (Chernoff's) on the chance that n1 of n1 + n0 documents are toxic where share of all are."""
     n = n1 + n0
     q = n1 / n
-    if q <= share:
-        return 0.0
-    return n * (q * math.log(q / share) + ((1 - q) * math.log((1 - q) / (1 - share)) if q < 1 else 0))
+    rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - share))).otherwise(0.0)
+    return F.when(q > share, n * (q * F.log(q / share) + rest)).otherwise(0.0)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> tuple[float, float, float]:
