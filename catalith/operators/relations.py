@@ -72,11 +72,23 @@ def stem(path) -> F.Column:
     return F.regexp_replace(F.regexp_replace(F.lower(base_name(path)), r"\.[^.]*$", ""), r"(?:[ _-]*(?:copy|\(\d+\)|\d+))+$", "")
 
 
-def path_candidates(assets: DataFrame) -> DataFrame:
-    """(src, dst, emb_score 0.0) of assets in one folder whose names have the same stem."""
-    keyed = assets.select("asset_id", F.regexp_extract("fs_path", r"^(.*)/", 1).alias("_dir"), stem(F.col("fs_path")).alias("_stem")).filter("_stem <> ''")
-    a, b = keyed.toDF("src", "_dir", "_stem"), keyed.toDF("dst", "_dir", "_stem")
-    return a.join(b, ["_dir", "_stem"]).filter("src <> dst").select("src", "dst", F.lit(0.0).alias("emb_score"))
+def path_classes(assets: DataFrame) -> DataFrame:
+    """(asset_id, class_id, links): each asset with the smallest id among those in its folder whose names have the same stem, and
+    how many others these are. Any two assets of a class are candidates (with the score 0.0); a class stays a column of its
+    members, as its pairs would grow with the square of a folder. An asset whose name has no stem is a class by itself."""
+    where = [F.regexp_extract("fs_path", r"^(.*)/", 1).alias("_dir"), stem(F.col("fs_path")).alias("_stem")]
+    keyed = assets.select("asset_id", *where)
+    of = keyed.filter("_stem <> ''").groupBy("_dir", "_stem").agg(F.min("asset_id").alias("_first"), (F.count("*") - 1).alias("_n"))
+    return keyed.join(of, ["_dir", "_stem"], "left").select("asset_id", F.coalesce("_first", "asset_id").alias("class_id"), F.coalesce("_n", F.lit(0)).alias("links"))
+
+
+def path_candidates(sources: DataFrame, assets: DataFrame) -> DataFrame:
+    """(src, dst, emb_score 0.0) of each source with its class's first asset, and with the first but one where it is that itself:
+    one row a source at most. checked_edges takes the classes to allow the others."""
+    classes = path_classes(assets)
+    second = classes.filter("asset_id <> class_id").groupBy("class_id").agg(F.min("asset_id").alias("_second"))
+    own = sources.select(F.col("asset_id").alias("src")).join(classes.filter("links > 0"), F.col("src") == F.col("asset_id")).join(second, "class_id")
+    return own.select("src", F.when(F.col("src") == F.col("class_id"), F.col("_second")).otherwise(F.col("class_id")).alias("dst"), F.lit(0.0).alias("emb_score"))
 
 
 def union_candidates(*candidates: DataFrame) -> DataFrame:
@@ -96,9 +108,14 @@ def block_candidates(sources: DataFrame, assets: DataFrame, block: str, limit: i
     return pairs.withColumn("_r", F.row_number().over(Window.partitionBy("src").orderBy("dst"))).filter(F.col("_r") <= limit).select("src", "dst")
 
 
-def checked_edges(edges: DataFrame, allowed: DataFrame, kinds: DataFrame, uuid: bool = False) -> DataFrame:
-    """edges (src, dst, kind_code, ...) with skipped: malformed, self, no_kind, unknown_kind, not_allowed, or null for good ones."""
+def checked_edges(edges: DataFrame, allowed: DataFrame, kinds: DataFrame, uuid: bool = False, classes: DataFrame | None = None) -> DataFrame:
+    """edges (src, dst, kind_code, ...) with skipped: malformed, self, no_kind, unknown_kind, not_allowed, or null for good ones.
+    classes: (asset_id, class_id); an edge within a class is allowed too."""
     rows = edges.join(allowed.select("src", "dst").distinct().withColumn("_ok", F.lit(True)), ["src", "dst"], "left").join(kinds.select("kind_code").distinct().withColumn("_kind", F.lit(True)), "kind_code", "left")
+    if classes is not None:
+        one = classes.groupBy("asset_id").agg(F.min("class_id").alias("_class"))
+        rows = rows.join(one.toDF("src", "_a"), "src", "left").join(one.toDF("dst", "_b"), "dst", "left")
+        rows = rows.withColumn("_ok", F.when(F.col("_a") == F.col("_b"), True).otherwise(F.col("_ok"))).drop("_a", "_b")
     bad = malformed(F.col("dst").cast("string")) if uuid else F.col("dst").isNull()
     no_kind = F.trim(F.coalesce("kind_code", F.lit(""))) == ""
     reason = F.when(bad, "malformed").when(F.col("src") == F.col("dst"), "self").when(no_kind, "no_kind").when(F.col("_kind").isNull(), "unknown_kind").when(F.col("_ok").isNull(), "not_allowed")

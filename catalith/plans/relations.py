@@ -47,13 +47,21 @@ PATHS = f"{ASSET}, named AS (SELECT asset_id, '/in/' || source AS dir, lang || (
 
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat("lang", F.expr("concat(chr(97 + cast(asset_id div 100 % 26 as int)), chr(97 + cast(asset_id div 2600 as int)))"))
+    name = F.concat("lang", F.translate(F.expr("cast(asset_id div 100 as string)"), "0123456789", "abcdefghij"))
     return assets(spark, sf_dir).select("asset_id", F.concat(F.lit("/in/"), "source", F.lit("/"), name, F.lit("_"), F.col("asset_id").cast("string"), F.lit(".txt")).alias("fs_path"))
 
 
-@query(f"WITH {PATHS} SELECT a.asset_id AS src, b.asset_id AS dst, CAST(0.0 AS DOUBLE) AS emb_score FROM named a JOIN named b ON a.dir = b.dir AND a.stem = b.stem AND a.asset_id <> b.asset_id")
+@query(f"WITH {PATHS} SELECT asset_id, min(asset_id) OVER (PARTITION BY dir, stem) AS class_id, count(*) OVER (PARTITION BY dir, stem) - 1 AS links FROM named")
 def path_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.path_candidates(_named(spark, sf_dir))
+    """Classes and their members; any two of a class are candidates."""
+    return relations.path_classes(_named(spark, sf_dir))
+
+
+@query(f"WITH {PATHS}, c AS (SELECT *, row_number() OVER (PARTITION BY dir, stem ORDER BY asset_id) AS r FROM named) SELECT a.asset_id AS src, b.asset_id AS dst, CAST(0.0 AS DOUBLE) AS emb_score FROM c a JOIN c b ON a.dir = b.dir AND a.stem = b.stem AND b.r = CASE a.r WHEN 1 THEN 2 ELSE 1 END")
+def path_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each asset's candidate by name: the first of its class, or the second for the first."""
+    a = _named(spark, sf_dir)
+    return relations.path_candidates(a, a)
 
 
 @query(f"WITH {PAIRS}, p AS (SELECT src, dst, score AS emb_score FROM scored UNION ALL SELECT src, src + 1, 0.0 FROM scored) SELECT src, dst, round(max(emb_score), 6) AS emb_score FROM p GROUP BY src, dst")

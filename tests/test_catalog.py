@@ -286,3 +286,29 @@ def test_passages_are_found_whole(spark):
     docs = spark.createDataFrame([(1, "x Aone two  three four five six seven eight nine tenB"), (2, "one two three four five six seven eight nine ten"), (3, "a b c"), (4, None), (5, "two three four five six seven eight nine")], "id int, text string")
     asked = spark.createDataFrame([("p", "one two three four five six seven eight nine ten"), ("q", "a b c"), ("r", "b c"), ("s", None)], "query string, text string")
     assert sorted(map(tuple, search.containing(docs, asked).collect())) == [("p", 2), ("q", 3)]
+
+
+def test_path_classes(spark):
+    paths = ["/d/a.txt", "/d/A copy.txt", "/d/a_2.md", "/e/a.txt", "/d/b.txt", "/d/12.txt", None, "/e/a (3).txt", "a.txt", "/d/b.txt"]
+    df = spark.createDataFrame(list(enumerate(paths, 1)), "asset_id int, fs_path string")
+    stems = dict(df.select("asset_id", relations.stem(F.col("fs_path"))).collect())
+    group = {i: (p.rpartition("/")[0], stems[i]) if p and stems[i] else i for i, p in enumerate(paths, 1)}
+    of = {i: sorted(j for j in group if group[j] == group[i]) for i in group}
+    classes = relations.path_classes(df)
+    assert {(r["asset_id"], r["class_id"], r["links"]) for r in classes.collect()} == {(i, of[i][0], len(of[i]) - 1) for i in of}
+    assert len(of[1]) == 3 and of[12 - 2] == [5, 10]
+    got = {(r["src"], r["dst"], r["emb_score"]) for r in relations.path_candidates(df, df).collect()}
+    assert got == {(i, of[i][of[i][0] == i], 0.0) for i in of if len(of[i]) > 1}
+    assert relations.path_classes(df.limit(0)).count() == relations.path_candidates(df.limit(0), df).count() == 0
+
+
+def test_edges_within_a_class_are_allowed(spark):
+    edges = spark.createDataFrame([(1, 2, "k"), (1, 3, "k"), (2, 3, "k"), (1, 1, "k"), (9, 8, "k")], "src int, dst int, kind_code string")
+    allowed = spark.createDataFrame([(1, 3)], "src int, dst int")
+    kinds = spark.createDataFrame([("k",)], "kind_code string")
+    classes = spark.createDataFrame([(1, 1), (2, 1), (2, 1), (3, 3)], "asset_id int, class_id int")
+    got = {(r["src"], r["dst"]): r["skipped"] for r in relations.checked_edges(edges, allowed, kinds, classes=classes).collect()}
+    assert got == {(1, 2): None, (1, 3): None, (2, 3): "not_allowed", (1, 1): "self", (9, 8): "not_allowed"}
+    assert relations.checked_edges(edges, allowed, kinds, classes=classes).count() == 5
+    without = {(r["src"], r["dst"]): r["skipped"] for r in relations.checked_edges(edges, allowed, kinds).collect()}
+    assert without[1, 2] == "not_allowed" and without[1, 3] is None
