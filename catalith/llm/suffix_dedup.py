@@ -289,9 +289,9 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             r = np.arange(len(of)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
             begin = start[of] + 2 + r
             if room != LENGTH:
-                windows = np.zeros((len(of), room), np.uint8)
-                windows[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(buffer, LENGTH)[begin]
-                strings, begin = np.append(windows.reshape(-1), np.zeros(16, np.uint8)), np.arange(len(of)) * room
+                strings = np.zeros(len(of) * room + 16, np.uint8)
+                strings[:-16].reshape(-1, room)[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(buffer, LENGTH)[begin]
+                begin = np.arange(len(of)) * room
             else:
                 strings = buffer
             order, same = deep_shallow(strings, begin, room)
@@ -307,7 +307,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i = 0
         while i < len(n):
             total = np.cumsum(n[i : i + BLOCK * 2])
-            j = i + max(1, int(np.searchsorted(total, 4 * BLOCK)))
+            j = i + max(1, int(np.searchsorted(total, 2 * BLOCK)))
             while j < len(n) and column[j] == column[j - 1]:
                 j += 1
             yield i, j
@@ -333,8 +333,10 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from judge(h, d, lo, off, n, text_buffer(text))
 
 
-def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _removed(characters: bool):
+    """What is left of each text; if characters, without the bytes of characters that are cut in two."""
+
+    def rest_of(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, copy, keys, carried, spans = batch.column(0), batch.column(2).to_pylist(), batch.column(3), batch.column(4), batch.column(5)
         data, at = text_buffer(batch.column(1))
         flat = spans.flatten()
@@ -356,19 +358,28 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(cover, a[to[i] : to[i + 1]], 1)
                 np.add.at(cover, z[to[i] : to[i + 1]], -1)
                 gone = np.cumsum(cover[:-1]) > 0
-                kept.append(whole[~gone].tobytes())
+                rest = whole[~gone].tobytes()
+                kept.append(rest.decode("utf-8", "ignore").encode() if characters else rest)
                 n_removed.append(int(gone.sum()))
                 n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
         sizes = at[1:] - at[:-1]
-        yield pa.RecordBatch.from_pydict({"_rid": ids, "_key": keys, "n_bytes": sizes, "n_removed": np.array(n_removed, np.int64), "n_spans": np.array(n_spans, np.int64), "kept": pa.array(kept, pa.binary()), "_carried": carried})
+        return pa.RecordBatch.from_pydict({"_rid": ids, "_key": keys, "n_bytes": sizes, "n_removed": np.array(n_removed, np.int64), "n_spans": np.array(n_spans, np.int64), "kept": pa.array(kept, pa.binary()), "_carried": carried})
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in runs(text_buffer(batch.column(1))[1]):
+                yield rest_of(batch.slice(i, j - i))
 
+    return work
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
     """One row a document: _rid (its unique key in the order of key and text), _key (its key, an integer), n_bytes, n_removed,
     n_spans, kept (binary), _carried (a struct of the columns carry; they move with the text).
 
     Each byte of a text's UTF-8 form goes that a string of 100 bytes covers which also starts earlier: in a document with
-    a smaller key, or earlier in the same one. Strings are judged on the input; matches never cross documents.
+    a smaller key, or earlier in the same one. Strings are judged on the input; matches never cross documents. If characters,
+    kept lacks the bytes of characters that are cut in two as well, which n_removed doesn't count.
 
     A whole copy of an earlier text of at least 100 bytes goes as such. In the others each string has an anchor (see
     anchors); a string whose anchor is nowhere else repeats nowhere. Around anchors that occur again, the strings that have
@@ -394,19 +405,13 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     spans = contexts.repartition("h").sortWithinPartitions("h", "d", "lo").mapInArrow(_repeats, "d long, a int, z int")
     spans = spans.groupBy("d").agg(F.collect_list(F.struct("a", "z")).alias("_spans")).withColumnRenamed("d", "_rid")
     out = T.StructType([*[T.StructField(c, T.LongType()) for c in ("_rid", "_key", "n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType()), dealt.schema["_carried"]])
-    return dealt.join(spans.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_spans").mapInArrow(_removed, out)
+    return dealt.join(spans.hint("shuffle_hash"), "_rid", "left").select(*dealt.columns, "_spans").mapInArrow(_removed(characters), out)
 
 
 def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with text less its repeats. Bytes of a character that is cut in two go too; all rows stay, and null texts stay
     null. Columns other than text stay as they are, whatever their names; an empty table gives no rows."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    kept = remove_repeats(docs.select(F.col(key).alias("_of"), F.col(text).alias("_text"), F.col(text).isNull().alias("_null"), F.struct(F.lit(0).alias("_none"), *others).alias("_row")), key="_of", text="_text", carry=("_null", "_row"))
-
-    @F.pandas_udf("string")
-    def decoded(values):
-        return values.map(lambda b: b if b is None else b.decode("utf-8", "ignore"))
-
-    cut = F.when(F.col("n_removed") > 0, F.col("kept"))
-    new = F.when(~F.col("_carried._null"), F.coalesce(decoded(cut), F.col("kept").cast("string"))).alias(text)
+    kept = remove_repeats(docs.select(F.col(key).alias("_of"), F.col(text).alias("_text"), F.col(text).isNull().alias("_null"), F.struct(F.lit(0).alias("_none"), *others).alias("_row")), key="_of", text="_text", carry=("_null", "_row"), characters=True)
+    new = F.when(~F.col("_carried._null"), F.col("kept").cast("string")).alias(text)
     return kept.select(*[new if c == text else F.col(f"_carried._row.`{c}`").alias(c) for c in docs.columns])
