@@ -100,7 +100,8 @@ class Rolling:
     def __init__(self, data: np.ndarray, values: np.ndarray | None = None):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((BYTE[data] if values is None else values) * powers(BASE, n), dtype=np.uint64, out=self.sums[1:])
+        np.multiply(BYTE[data] if values is None else values, powers(BASE, n), out=self.sums[1:])
+        np.cumsum(self.sums[1:], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * powers(INVERSE, len(self.sums))[start])

@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalith.llm.common import BASE, Rolling, few, materialize, mix, numbered, runs, signed, text_buffer, unique_ids
+from catalith.llm.common import BASE, RUN_BYTES, Rolling, few, materialize, mix, numbered, runs, signed, text_buffer, unique_ids
 from catalith.llm.components import components
 
 #: Words of a shingle, and the least similarity as a fraction: documents link from NUM / DEN on.
@@ -212,13 +212,14 @@ def product(x: np.ndarray, of: np.ndarray, n: np.ndarray, right: np.ndarray) ->
     soon as none of their pairs can reach the overlap that its sizes need with what is left of both.
     """
     rows, cols = (np.flatnonzero(~right), np.flatnonzero(right)) if right.any() else (np.arange(len(n)), np.arange(len(n)))
+    n = n.astype(np.int32)
     order = np.argsort(x, kind="stable")
     x, of = x[order], of[order]
     new = np.append(True, x[1:] != x[:-1]) if len(x) else np.zeros(0, bool)
     column = np.cumsum(new) - 1
     held = np.bincount(column)[column] > 1
     of, column = of[held], (np.cumsum(new[held]) - 1)
-    rest = np.bincount(of, minlength=len(n))
+    rest = np.bincount(of, minlength=len(n)).astype(np.int32)
     need = needed(n[rows][:, None], n[cols][None, :])
     fits = DEN * np.minimum(n[rows][:, None], n[cols][None, :]) >= NUM * np.maximum(n[rows][:, None], n[cols][None, :])
     shared = np.zeros((len(rows), len(cols)), np.float32)
@@ -233,7 +234,7 @@ def product(x: np.ndarray, of: np.ndarray, n: np.ndarray, right: np.ndarray) ->
             here = place[of[i:j]] >= 0
             matrix[place[of[i:j][here]], column[i:j][here] - first] = 1
         shared += left @ down.T
-        rest -= np.bincount(of[i:j], minlength=len(n))
+        rest -= np.bincount(of[i:j], minlength=len(n)).astype(np.int32)
         can = fits & (shared + np.minimum(rest[rows][:, None], rest[cols][None, :]) >= need)
         up, down_ = can.any(1), can.any(0)
         rows, cols, shared, need, fits = rows[up], cols[down_], shared[up][:, down_], need[up][:, down_], fits[up][:, down_]
@@ -283,7 +284,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = (np.concatenate([e[k] for e in ends]) for k in range(2))
         return pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    for rows in _whole_blocks(batches, lambda b: b.nbytes, 4 << 20):
+    for rows in _whole_blocks(batches, lambda b: b.nbytes, RUN_BYTES):
         yield work(rows)
 
 
