@@ -34,9 +34,9 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, *, least: float = -1.
     group = within or "_all"
     side = lambda df, name: df.select(F.col(key).alias(name), (F.col(within).cast("string") if within else F.lit("")).alias(group), F.col(vector)).filter(norm(F.col(vector)) > 0)
     asked, held = (max(1, -(-df.count() // block_rows)) for df in (queries, corpus))
-    q = side(queries, "query").drop(group).withColumn("_q", F.pmod(F.xxhash64("query"), F.lit(asked)))
+    q = side(queries, "query").drop(group).withColumn("_q", F.pmod(F.xxhash64("query"), F.lit(asked)).cast("int"))
     q = q.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(held - 1))))
-    c = side(corpus, "id").withColumn("_c", F.pmod(F.xxhash64("id"), F.lit(held)))
+    c = side(corpus, "id").withColumn("_c", F.pmod(F.xxhash64("id"), F.lit(held)).cast("int"))  # keys of both sides have one type, or they hash apart
     c = c.withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(asked - 1))))
 
     def unit(x: pd.Series) -> np.ndarray:
