@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import decontaminate, fingerprint, html_extract, ngram_join, packing, quality, sharding, suffix_dedup, toxicity, url_filter
+from catalith.llm import bpe, decontaminate, fingerprint, hard_negatives, html_extract, ngram_join, packing, quality, sharding, suffix_dedup, toxicity, url_filter
 from catalith.session import table
 
 TOXIC_FOLDS, TOXIC_HELD, QUALITY_FOLDS, QUALITY_HELD = 5, 0, 4, 2
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,13 +72,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), added=True)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
+    n = F.floor(F.length("ids") / 4).cast("long").alias("n_tokens")
+    return made.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_toxicity, op3_quality, op4_sharding, op5_url_rules, op6_ngram_join, op7_fingerprint, op8_html_extract, op9_suffix_dedup, op10_packing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_toxicity, op3_quality, op4_sharding, op5_url_rules, op6_ngram_join, op7_fingerprint, op8_html_extract, op9_suffix_dedup, op10_packing, op11_hard_negatives, op13_bpe, pipeline)}
 _RULES = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
 #: The other operators have no twin in SQL (learned weights, tokenizers, iterations, hash permutations); their tests hold them against brute force.
 ORACLES: dict[str, str] = {
