@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import bpe, decontaminate, fingerprint, hard_negatives, html_extract, ngram_join, packing, quality, sharding, suffix_dedup, toxicity, url_filter
+from catalith.llm import bpe, decontaminate, fingerprint, hard_negatives, html_extract, ngram_join, packing, phrases, quality, sharding, suffix_dedup, toxicity, url_filter
 from catalith.session import table
 
 TOXIC_FOLDS, TOXIC_HELD, QUALITY_FOLDS, QUALITY_HELD = 5, 0, 4, 2
@@ -78,6 +78,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
     n = F.floor(F.length("ids") / 4).cast("long").alias("n_tokens")
@@ -90,11 +94,25 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_toxicity, op3_quality, op4_sharding, op5_url_rules, op6_ngram_join, op7_fingerprint, op8_html_extract, op9_suffix_dedup, op10_packing, op11_hard_negatives, op13_bpe, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_toxicity, op3_quality, op4_sharding, op5_url_rules, op6_ngram_join, op7_fingerprint, op8_html_extract, op9_suffix_dedup, op10_packing, op11_hard_negatives, op12_phrases, op13_bpe, pipeline)}
 _RULES = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
 #: The other operators have no twin in SQL (learned weights, tokenizers, iterations, hash permutations); their tests hold them against brute force.
 ORACLES: dict[str, str] = {
     "op5_url_rules": f"""WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
   r AS (SELECT * FROM (VALUES {_RULES}) t(verdict, h, pre)), m AS (SELECT page_id, arg_max(h || pre, (length(h), length(pre))) AS rule, arg_max(verdict, (length(h), length(pre))) AS verdict FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id)
-  SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)"""
+  SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
+    "op12_phrases": r"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+  piece AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+  g AS (SELECT lang, s.size, unnest(list_transform(range(1, len(w) - s.size + 2), lambda i: array_to_string(list_slice(w, i, i + s.size - 1), ' '))) AS phrase FROM w, (SELECT unnest(range(1, 6)) AS size) s WHERE len(w) >= s.size),
+  n AS (SELECT lang, count(*) AS n FROM g WHERE size = 1 GROUP BY lang),
+  f AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+  cut AS (SELECT lang, phrase, size, f AS a, w, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+  s AS (SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, n.n, CAST(1000 * CAST(c.a AS HUGEINT) * n.n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score FROM cut c
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.w, 1, c.k), ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.w, c.k + 1, c.size), ' ') JOIN n ON n.lang = c.lang),
+  b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+  i AS (SELECT lang, w, size, f, unnest(range(2, size)) AS m FROM f WHERE size > 2), j AS (SELECT lang, f, m, w, unnest(range(1, size - m + 2)) AS p FROM i),
+  longer AS (SELECT lang, array_to_string(list_slice(w, p, p + m - 1), ' ') AS phrase, max(f) AS longer FROM j GROUP BY ALL),
+  k AS (SELECT b.lang, b.phrase, a, l, r, n, score FROM b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 100 * a)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM k QUALIFY rank <= 2000""",
 }
