@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The split of texts into words. A fixed value of the vocabulary's format.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -207,7 +208,7 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", ids: str = "ids",
 
     kept = [c for c in docs.columns if c.lower() not in (ids.lower(), decoded.lower())]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(f"`{text}`").cast("string").alias("_text"))
-    made = rows.mapInArrow(work, f"_row {rows.schema['_row'].dataType.simpleString()}, _ids binary, _decoded string")
+    made = rows.mapInArrow(work, T.StructType([rows.schema["_row"], T.StructField("_ids", T.BinaryType()), T.StructField("_decoded", T.StringType())]))
     return made.select("_row.*", F.col("_ids").alias(ids), F.col("_decoded").alias(decoded))
 
 
