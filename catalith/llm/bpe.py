@@ -18,8 +18,11 @@ from pyspark.sql import types as T
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 #: Ends a word's last symbol in the vocabulary. A fixed value of its format.
 END = "</w>"
-#: Words and fragments a Python worker remembers, at most; then it starts anew. Longer ones aren't kept.
-REMEMBERED, LONGEST = 500_000, 64
+#: Words, and fragments of words, that a Python worker remembers, at most; then it starts anew. Those with over LONGEST characters
+#: aren't kept.
+REMEMBERED, REMEMBERED_FRAGMENTS, LONGEST = 200_000, 50_000, 64
+#: Rows that leave a task together.
+TOGETHER = 256
 #: Texts of these characters only are split here: their classes and lower cases are the same in all versions of Unicode, and they
 #: are composed already. The rest is split by the normalizer and pre-tokenizer of the vocabulary's file.
 PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x84\\x86-ɏ‐-‧‰-⁞€]*")
@@ -138,7 +141,7 @@ class Vocabulary:
         if len(part) > LONGEST:
             return self.merged(part, ends)
         if (found := self.fragments.get((part, ends))) is None:
-            if len(self.fragments) >= REMEMBERED:
+            if len(self.fragments) >= REMEMBERED_FRAGMENTS:
                 self.fragments.clear()
             found = self.fragments[part, ends] = self.merged(part, ends)
         return found
@@ -188,8 +191,9 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
-def encode(docs: DataFrame, path: str, *, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """docs with the ids of each whole text (binary: little-endian unsigned 32-bit integers) and what they decode to.
+def encode(docs: DataFrame, path: str, *, text: str = "text", ids: str = "ids", decoded: str = "decoded", columns: list[str] | None = None) -> DataFrame:
+    """docs (or only these columns of it) with the ids of each whole text (binary: little-endian unsigned 32-bit integers) and
+    what they decode to.
 
     Added tokens of the vocabulary's file are single ids wherever they stand in a text. What is between them is split into
     words; a word is cut at each pair of bytes that no token of the vocabulary holds side by side, as no merge can reach
@@ -201,12 +205,12 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", ids: str = "ids",
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(path)
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
-            made = [own.encode(value.as_py() or "") for value in batch.column(at)]
-            columns = [*batch.columns[:at], pa.array([x for x, _ in made], pa.large_binary()), pa.array([y for _, y in made], pa.large_string())]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "_ids", "_decoded"])
+            for i in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(i, TOGETHER)
+                made = [own.encode(value.as_py() or "") for value in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x for x, _ in made], pa.binary()), pa.array([y for _, y in made], pa.string())], ["_row", "_ids", "_decoded"])
 
-    kept = [c for c in docs.columns if c.lower() not in (ids.lower(), decoded.lower())]
+    kept = [c for c in (docs.columns if columns is None else columns) if c.lower() not in (ids.lower(), decoded.lower())]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(f"`{text}`").cast("string").alias("_text"))
     made = rows.mapInArrow(work, T.StructType([rows.schema["_row"], T.StructField("_ids", T.BinaryType()), T.StructField("_decoded", T.StringType())]))
     return made.select("_row.*", F.col("_ids").alias(ids), F.col("_decoded").alias(decoded))

@@ -83,7 +83,7 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
+    made = bpe.encode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), columns=["doc_id"])
     n = F.floor(F.length("ids") / 4).cast("long").alias("n_tokens")
     return made.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
