@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalith.llm.common import RUN_BYTES, Rolling, materialize, mix, runs, signed, text_buffer
+from catalith.llm.common import RUN_BYTES, Rolling, few, materialize, mix, runs, signed, text_buffer
 
 #: Different n-grams a task holds before it sends their counts on.
 HELD = 1 << 21
@@ -248,25 +249,29 @@ def filter_of(keys: DataFrame) -> Filter:
     return Filter(bits)
 
 
-COUNTED = "lang string, words int, phrase string, f long"
+COUNTED = "part int, names array<string>, counts binary"
 
 
-def counted(texts: DataFrame, filters: dict[int, Filter], longest: int) -> DataFrame:
-    """(lang, words, phrase, f) of n-grams in the filters in a task's texts; 0 words are all words of a language."""
+def counted(texts: DataFrame, filters: dict[int, Filter], longest: int, parts: int) -> DataFrame:
+    """Counts of the n-grams in the filters in a task's texts, by hash partition. A name is a language, a line break and a phrase (which
+    has none); without a phrase it stands for all words of the language."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, number, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        named: list[tuple[str, int, str]] = []
+        names: list[str] = []
         totals: dict[str, int] = {}
 
         def shipped() -> Iterator[pa.RecordBatch]:
-            order = np.argsort(number)
-            rows = [*((*x, c) for x, c in zip(named, counts[order].tolist(), strict=True)), *((x, 0, "", n) for x, n in totals.items())]
-            totals.clear()
-            for i in range(0, len(rows), 1 << 14):
-                columns = zip(*rows[i : i + (1 << 14)], strict=True)
-                kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["lang", "words", "phrase", "f"])
+            order = np.argsort(keys % np.uint64(parts), kind="stable")
+            part = (keys[order] % np.uint64(parts)).astype(np.int64)
+            edges = np.searchsorted(part, np.arange(parts + 1))
+            rows = [(seed(x) % parts, [f"{x}\n"], np.array([n], np.int64)) for x, n in totals.items()]
+            for p in np.flatnonzero(np.diff(edges)).tolist():
+                for i in range(int(edges[p]), int(edges[p + 1]), ROW):
+                    at = order[i : min(int(edges[p + 1]), i + ROW)]
+                    rows.append((p, [names[x] for x in number[at].tolist()], counts[at]))
+            for p, named, c in rows:
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([named], pa.list_(pa.string())), pa.array([c.tobytes()], pa.binary())], ["part", "names", "counts"])
 
         for batch in batches:
             for run, langs, of in read(batch):
@@ -279,16 +284,43 @@ def counted(texts: DataFrame, filters: dict[int, Filter], longest: int) -> DataF
                     known[known] = keys[place[known]] == u[known]
                     counts[place[known]] += c[known]
                     fresh = np.flatnonzero(~known)
-                    number = np.insert(number, place[fresh], len(named) + np.arange(len(fresh)))
+                    number = np.insert(number, place[fresh], len(names) + np.arange(len(fresh)))
                     keys, counts = np.insert(keys, place[fresh], u[fresh]), np.insert(counts, place[fresh], c[fresh])
-                    named += [(langs[of[run.doc[i]]], n, run.phrase(i, n)) for i in at[first[fresh]].tolist()]
+                    names += [f"{langs[of[run.doc[i]]]}\n{run.phrase(i, n)}" for i in at[first[fresh]].tolist()]
                 if len(keys) > HELD_TEXTS:
                     yield from shipped()
                     keys, number, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-                    named.clear()
+                    names.clear()
+                    totals.clear()
         yield from shipped()
 
-    return texts.mapInArrow(work, COUNTED).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(work, COUNTED)
+
+
+def summed(sent: DataFrame, parts: int, least: int) -> DataFrame:
+    """(lang, words, phrase, f) of all names that stand least times or more, and of the languages (0 words)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, Counter()
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            rows = [(*name.rpartition("\n")[::2], f) for name, f in held.items() if f >= least or name.endswith("\n")]
+            held.clear()
+            for i in range(0, len(rows), 1 << 14):
+                langs, named, f = zip(*rows[i : i + (1 << 14)], strict=True)
+                words = [x.count(" ") + 1 if x else 0 for x in named]
+                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.int32()), pa.array(named, pa.string()), pa.array(f, pa.int64())], ["lang", "words", "phrase", "f"])
+
+        for batch in batches:
+            for p, names, counts in zip(*batch.columns, strict=True):
+                if p.as_py() != part:
+                    yield from ended()
+                    part = p.as_py()
+                for name, n in zip(names.values.to_pylist(), np.frombuffer(counts.as_py(), np.int64).tolist(), strict=True):
+                    held[name] += n
+        yield from ended()
+
+    return sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(work, "lang string, words int, phrase string, f long")
 
 
 def frequent(docs: DataFrame, *, text: str = "text", lang: str = "lang", longest: int = 5, least: int = 100, unknown: str = "und") -> DataFrame:
@@ -306,7 +338,7 @@ def frequent(docs: DataFrame, *, text: str = "text", lang: str = "lang", longest
     filters: dict[int, Filter] = {}
     for level in range(1, min(longest, 3) + 1):
         filters[level] = filter_of(survivors(summaries(texts, level, dict(filters), longest, parts), parts, least))
-    return materialize(counted(texts, filters, longest).filter((F.col("f") >= least) | (F.col("words") == 0)))
+    return materialize(summed(counted(texts, filters, longest, parts), parts, least))
 
 
 def collocations(
@@ -320,7 +352,7 @@ def collocations(
     Letters A-Z are lowered; pieces end at . , ; : ! ? and line breaks; words at spaces and tabs. Empty tables give no rows.
     """
     every = frequent(docs, text=text, lang=lang, longest=longest, least=least, unknown=unknown)
-    total = every.filter("words = 0").select("lang", F.col("f").alias("n"))
+    total = few(every.filter("words = 0").select("lang", F.col("f").alias("n")))
     phrases = every.filter("words > 0")
     parts = F.split("phrase", " ")
     some = phrases.filter("words > 1").withColumnRenamed("f", "a")
