@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from catalith.functions.meta import merged
 
-#: States of an asset, the ones that end it, the moves allowed, and the names of lineage events.
+#: States that end an asset, those in which it is worked on, the reason of one that got stuck too often, the moves
+#: allowed, and the names of lineage events.
 TERMINAL = ("registered", "failed", "deferred")
+UNDER_WAY = ("routing", "classifying", "extracting")
+RESET_CAP = "reset_cap_exceeded"
 MOVES = (
     ("received", "routing"), ("received", "failed"), ("routing", "classifying"), ("routing", "failed"), ("classifying", "extracting"), ("classifying", "deferred"),
     ("classifying", "failed"), ("extracting", "registered"), ("extracting", "failed"),
@@ -80,8 +83,9 @@ def received_batch(assets: DataFrame, limit: int) -> DataFrame:
 
 
 def stuck(assets: DataFrame, now: Column, older_than_s: int, limit: int | None = None) -> DataFrame:
-    """Assets in a state that isn't terminal since more than so many seconds, oldest first."""
-    rows = assets.filter(~F.col("status").isin(*TERMINAL) & (F.col("updated_at") < now - F.make_dt_interval(secs=F.lit(older_than_s)))).orderBy("updated_at", "asset_id")
+    """Assets that are under way since more than so many seconds without a change, oldest first. One that is received waits for its turn
+    and isn't stuck."""
+    rows = assets.filter(F.col("status").isin(*UNDER_WAY) & (F.col("updated_at") < now - F.make_dt_interval(secs=F.lit(older_than_s)))).orderBy("updated_at", "asset_id")
     return rows.limit(limit) if limit is not None else rows
 
 
@@ -89,7 +93,7 @@ def reset_stuck(rows: DataFrame, events: DataFrame, cap: int) -> DataFrame:
     """What becomes of stuck assets: with cap attempts before, failed with reset_cap_exceeded; else received again with a reset event."""
     attempts = failure_counts(events).select("asset_id", "attempts")
     over = F.coalesce("attempts", F.lit(0)) >= cap
-    return rows.join(attempts, "asset_id", "left").select("asset_id", F.coalesce("attempts", F.lit(0)).cast("long").alias("attempts"), F.when(over, "failed").otherwise("received").alias("status"), F.when(over, "reset_cap_exceeded").alias("status_reason"), (~over).alias("reset_event"))
+    return rows.join(attempts, "asset_id", "left").select("asset_id", F.coalesce("attempts", F.lit(0)).cast("long").alias("attempts"), F.when(over, "failed").otherwise("received").alias("status"), F.when(over, RESET_CAP).alias("status_reason"), (~over).alias("reset_event"))
 
 
 def capped_failures(events: DataFrame, cap: int) -> DataFrame:

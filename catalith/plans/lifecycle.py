@@ -42,7 +42,7 @@ def fifo_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.received_batch(assets(spark, sf_dir).select("asset_id", "status", "created_at"), 50).select("asset_id")
 
 
-STUCK = f"{LINEAGE}, last AS (SELECT asset_id, max(ts) AS updated_at, arg_max(state, (ts, event_id)) AS status FROM lineage GROUP BY asset_id), moment AS (SELECT max(ts) AS now FROM lineage), stuck AS (SELECT asset_id, updated_at FROM last, moment WHERE status NOT IN ('registered', 'failed', 'deferred') AND updated_at < now - INTERVAL 60 SECOND)"
+STUCK = f"{LINEAGE}, last AS (SELECT asset_id, max(ts) AS updated_at, arg_max(state, (ts, event_id)) AS status FROM lineage GROUP BY asset_id), moment AS (SELECT max(ts) AS now FROM lineage), stuck AS (SELECT asset_id, updated_at FROM last, moment WHERE status IN ('routing', 'classifying', 'extracting') AND updated_at < now - INTERVAL 60 SECOND)"
 
 
 def _stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,10 @@ def stuck_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stuck(spark, sf_dir).select("asset_id", "updated_at")
 
 
-@query(f"WITH {STUCK}, n AS (SELECT asset_id, count(*) FILTER (state IN ('failed', 'reset')) AS attempts FROM lineage GROUP BY asset_id) SELECT s.asset_id, coalesce(attempts, 0) AS attempts, CASE WHEN coalesce(attempts, 0) >= 12 THEN 'failed' ELSE 'received' END AS status, CASE WHEN coalesce(attempts, 0) >= 12 THEN 'reset_cap_exceeded' END AS status_reason, coalesce(attempts, 0) < 12 AS reset_event FROM stuck s LEFT JOIN n USING (asset_id)")
+RESET_SQL = f"WITH {STUCK}, n AS (SELECT asset_id, count(*) FILTER (state IN ('failed', 'reset')) AS attempts FROM lineage GROUP BY asset_id) SELECT s.asset_id, coalesce(attempts, 0) AS attempts, CASE WHEN coalesce(attempts, 0) >= 12 THEN 'failed' ELSE 'received' END AS status, CASE WHEN coalesce(attempts, 0) >= 12 THEN 'reset_cap_exceeded' END AS status_reason, coalesce(attempts, 0) < 12 AS reset_event FROM stuck s LEFT JOIN n USING (asset_id)"
+
+
+@query(RESET_SQL)
 def reset_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.reset_stuck(_stuck(spark, sf_dir), lineage(spark, sf_dir), 12)
 
