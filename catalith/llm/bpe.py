@@ -20,7 +20,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 END = "</w>"
 #: Words, and fragments of words, that a Python worker remembers, at most; then it starts anew. Those with over LONGEST characters
 #: aren't kept.
-REMEMBERED, REMEMBERED_FRAGMENTS, LONGEST = 200_000, 50_000, 64
+REMEMBERED, REMEMBERED_FRAGMENTS, LONGEST = 350_000, 50_000, 64
 #: Rows that leave a task together.
 TOGETHER = 256
 #: Texts of these characters only are split here: their classes and lower cases are the same in all versions of Unicode, and they
