@@ -70,6 +70,16 @@ def drain(stream: DataFrame, path: str, checkpoint: str) -> None:
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def run_until(stream: DataFrame, path: str, checkpoint: str, seconds: float, every: str = "1 second") -> None:
+    """Runs a stream for so long and stops it after its batch. Timers by the clock need this: to them there is always more to come, so
+    a drain doesn't end."""
+    q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    try:
+        q.awaitTermination(int(seconds))
+    finally:
+        q.stop()
+
+
 def micro_batches(stream: DataFrame, process, path: str, checkpoint: str) -> None:
     """Runs process (frame -> (good rows, dead letters)) on each micro-batch; one bad row stops nothing. A batch that is run
     again overwrites its own folder."""

@@ -91,7 +91,7 @@ def resets(events: DataFrame, older_than_s: float, cap: int, *, delay: str | Non
     With a delay, timers go by event time: they fire once the watermark has passed. An event that comes in before that
     counts, however old the asset's last one is; of events of an asset the latest (ts, event_id) counts. Events behind the
     watermark are dropped. delay=None: timers go by the clock from the batch an event came in with, and forget_s lets the state
-    of an asset go that long after its last change. Start it within timed_state.
+    of an asset go that long after its last change; run it with lifecycle.run_until. Start either within timed_state.
     """
     by_event = delay is not None
     if by_event and forget_s is not None:
