@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalith.sources.numbering import masks_of, written
+
 #: States at whose end an asset's content is kept.
 SETTLED = ("registered", "deferred")
 
+#: Fingerprints that meet each other in one cell, at most, unless they can't be told apart by more bits.
+HOT = 256
+
 
 def with_leader(assets: DataFrame, *, order: tuple[str, ...] = ("created_at", "asset_id")) -> DataFrame:
     """assets with leader (of the assets with the same hash the earliest that is registered or deferred, else the earliest that
@@ -82,17 +89,30 @@ def fingerprint_classes(rows: DataFrame, *, key: str, bits: str) -> DataFrame:
     return rows.select(key, bits).join(rows.groupBy(bits).agg(F.min(key).alias("representative")), bits).select(key, "representative")
 
 
-def close_pairs(rows: DataFrame, *, key: str, bits: str, most: int) -> DataFrame:
-    """(a, b, distance) of classes of equal fingerprints of 64 bits (see fingerprint_classes) at most `most` bits apart: such
-    pairs agree in one of most + 1 bands of bits at least, so they are found by an equi-join on bands; a pair counts at its
-    first common band. Rows with equal fingerprints are one row before they meet."""
-    rows = rows.groupBy(bits).agg(F.min(key).alias(key))
-    n = most + 1
-    edges = [64 * i // n for i in range(n + 1)]
-    bands = F.array(*[F.shiftrightunsigned(bits, a).bitwiseAND((1 << (b - a)) - 1 if b - a < 64 else -1) for a, b in zip(edges, edges[1:], strict=False)])
-    flat = rows.select(key, bits, bands.alias("_all")).select(key, bits, "_all", F.posexplode("_all").alias("_band", "_value"))
-    x, y = flat.alias("x"), flat.alias("y")
-    joined = x.join(y, (F.col("x._band") == F.col("y._band")) & (F.col("x._value") == F.col("y._value")) & (F.col(f"x.{key}") < F.col(f"y.{key}")))
-    first = F.array_position(F.zip_with("x._all", "y._all", lambda a, b: a == b), True) - 1
-    out = joined.filter(first == F.col("x._band")).select(F.col(f"x.{key}").alias("a"), F.col(f"y.{key}").alias("b"), F.bit_count(F.col(f"x.{bits}").bitwiseXOR(F.col(f"y.{bits}"))).alias("distance"))
-    return out.filter(F.col("distance") <= most)
+def cells_of(rows: DataFrame, *, key: str, bits: str, most: int, hot: int = HOT) -> DataFrame:
+    """(cell, key, bits): cells such that any two rows at most `most` bits apart are in a cell together. A cell of over hot rows is cut: of
+    most + 1 sets of bits that vary in it, with about the same entropy each, two such rows agree in one at least. Bits on
+    which all rows of a cell agree tell nothing and are in no set, so a common prefix makes no large cell. Cells are cut until they are
+    small or fewer bits vary than there are sets; then they have 2 ** most rows at most, as no two rows are equal."""
+    ones = F.array(*[F.sum(F.shiftrightunsigned("_bits", i).bitwiseAND(1)) for i in range(64)])
+    cut, now, done = masks_of(most + 1, hot), rows.select(F.lit(0).cast("long").alias("cell"), F.col(key).alias("_key"), F.col(bits).cast("long").alias("_bits")), []
+    while True:
+        masks = written(now.groupBy("cell").agg(F.count("*").alias("_n"), ones.alias("_ones")).select("cell", cut("_n", "_ones").alias("_masks")), "masks")
+        both = now.join(masks, "cell")
+        done.append(both.filter("size(_masks) = 0").select("cell", "_key", "_bits"))
+        if not masks.filter("size(_masks) > 0").limit(1).count():
+            break
+        parts = both.filter("size(_masks) > 0").select("cell", "_key", "_bits", F.posexplode("_masks").alias("_i", "_mask"))
+        now = written(parts.select(F.xxhash64("cell", "_i", F.col("_bits").bitwiseAND(F.col("_mask"))).alias("cell"), "_key", "_bits"), "cells")
+    return reduce(DataFrame.unionByName, done)
+
+
+def close_pairs(rows: DataFrame, *, key: str, bits: str, most: int, hot: int = HOT) -> DataFrame:
+    """(a, b, distance) of classes of equal fingerprints of 64 bits (see fingerprint_classes) at most `most` bits apart: pairs of the
+    rows of a cell (see cells_of), each counted once. Rows with equal fingerprints are one row before they meet."""
+    own = written(rows.filter(F.col(bits).isNotNull()).groupBy(bits).agg(F.min(key).alias(key)), "classes")
+    cells = written(cells_of(own, key=key, bits=bits, most=most, hot=hot), "cells")
+    x, y = cells.alias("x"), cells.alias("y")
+    met = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x._key") < F.col("y._key")))
+    distance = F.bit_count(F.col("x._bits").bitwiseXOR(F.col("y._bits")))
+    return met.select(F.col("x._key").alias("a"), F.col("y._key").alias("b"), distance.alias("distance")).filter(F.col("distance") <= most).distinct()

@@ -48,9 +48,10 @@ def orphan_documents(index: DataFrame, entities: DataFrame) -> DataFrame:
     return index.join(entities.select(*KEY).distinct(), KEY, "left_anti")
 
 
-def resolve_names(judged: DataFrame, aliases: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """judged (entity_type, name, keyword, ...) with the canonical name where (type, name) has one; the keyword stays."""
-    al = aliases.select("entity_type", F.col("alias").alias("name"), "canonical")
+def resolve_names(judged: DataFrame, aliases: DataFrame) -> DataFrame:
+    """judged (entity_type, name, keyword, ...) with the canonical name where (type, name) has one; the keyword stays. Of an alias's
+    canonical names the smallest counts, so no row becomes two."""
+    al = aliases.groupBy("entity_type", F.col("alias").alias("name")).agg(F.min("canonical").alias("canonical"))
     return judged.join(al, ["entity_type", "name"], "left").withColumn("name", F.coalesce("canonical", "name")).drop("canonical")
 
 
@@ -59,7 +60,8 @@ def apply_rules(judged: DataFrame, excluded: DataFrame, stop_patterns: list[str]
     rows = judged.join(excluded.select("entity_type", "name"), ["entity_type", "name"], "left_anti")
     for pattern in stop_patterns:
         rows = rows.filter(~F.coalesce(F.col("keyword").rlike(pattern), F.lit(False)))
-    return rows.join(official.select("entity_type", F.col("short").alias("name"), "official"), ["entity_type", "name"], "left").withColumn("name", F.coalesce("official", "name")).drop("official")
+    names = official.groupBy("entity_type", F.col("short").alias("name")).agg(F.min("official").alias("official"))
+    return rows.join(names, ["entity_type", "name"], "left").withColumn("name", F.coalesce("official", "name")).drop("official")
 
 
 def contained(judged: DataFrame, registered: DataFrame, words: int = 4) -> DataFrame:

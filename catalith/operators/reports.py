@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalith.functions.meta import embedding_text, key_missing, nfc
 from catalith.functions.text import chunks
 from catalith.operators.state import merge_meta
+from catalith.sources.numbering import by_rank
 
 
 def reprocess_targets(assets: DataFrame, *, modalities: tuple[str, ...], ids: list | None = None, resume_key: str | None = None, excluded_names: DataFrame | None = None, limit: int | None = None) -> DataFrame:
@@ -46,17 +47,9 @@ def reprocess_report(outcomes: DataFrame) -> DataFrame:
 
 
 def upper_median(rows: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
-    """n, least, greatest and the upper median (the element at n div 2 of the sorted values) of each group. Values are counted
-    before they move; the median is the first value whose running count passes n div 2."""
-    from pyspark.sql import Window
-
-    keys = group or []
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value) if keys else Window.orderBy(value)
-    total = counts.groupBy(*keys).agg(F.sum("_c").alias("n"), F.min(value).alias("least"), F.max(value).alias("greatest"))
-    run = counts.withColumn("_run", F.sum("_c").over(w))
-    joined = run.join(total, keys) if keys else run.join(F.broadcast(total))  # one row
-    return joined.filter(F.col("_run") > F.expr("n div 2")).groupBy(*keys, "n", "least", "greatest").agg(F.min(value).alias("median"))
+    """n, least, greatest and the upper median (the element at n div 2 of the sorted values) of each group, or of all rows. No task
+    holds a group's values, see by_rank."""
+    return by_rank(rows, value, F.expr("n div 2"), group).withColumnRenamed("chosen", "median")
 
 
 def describe_targets(bundles: DataFrame, stored: DataFrame, most: int | None = None) -> DataFrame:

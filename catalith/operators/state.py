@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalith.functions.meta import merged
 
@@ -23,9 +24,24 @@ def activity(state: Column) -> Column:
     return F.concat(F.lit("ingest."), state, F.lit(".v1"))
 
 
+def ordered(name: str, kind: T.DataType) -> Column:
+    """The column as something that has an order: a map as its sorted entries, a variant as JSON."""
+    return F.array_sort(F.map_entries(name)) if isinstance(kind, T.MapType) else F.to_json(name) if isinstance(kind, T.VariantType) else F.col(name)
+
+
+def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row a key: the greatest in the order, of equal ones the greatest in all columns, so that the choice is the same in every run.
+    Rows with a null in a key are left out; they can't be found again."""
+    rest = [c for c in rows.columns if c not in keys]
+    by = F.struct(*[F.col(c) for c in order], *[ordered(f.name, f.dataType).alias(f.name) for f in rows.schema if f.name in rest and f.name not in order])
+    known = rows.filter(" and ".join(f"`{k}` is not null" for k in keys))
+    return known.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_last")).select(*keys, "_last.*") if rest else known.select(*keys).distinct()
+
+
 def upsert(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of delta in place of target's with the same keys, and new ones added; columns that delta lacks stay."""
-    new = delta.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in delta.columns if c not in keys], F.lit(True).alias("_hit"))
+    """Rows of delta in place of target's with the same keys, and new ones added; columns that delta lacks stay. Of rows of delta that share
+    their keys the greatest in all columns counts; rows with a null in a key are passed over."""
+    new = latest(delta, keys, []).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in delta.columns if c not in keys], F.lit(True).alias("_hit"))
     both = target.join(new, keys, "full")
     return both.select(*[c if c in keys or c not in delta.columns else F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in target.columns])
 
@@ -36,8 +52,9 @@ def replace_partition(target: DataFrame, new: DataFrame, keys: list[str], of: Da
 
 
 def merge_meta(target: DataFrame, updates: DataFrame, key: str, column: str, removed: list[str] | None = None) -> DataFrame:
-    """The map column of rows that have updates: keys overwritten, removed ones gone, the rest kept."""
-    new = updates.select(key, F.col(column).alias("_new"))
+    """The map column of rows that have updates: keys overwritten, removed ones gone, the rest kept. Of updates that share a key the
+    greatest in all columns counts."""
+    new = latest(updates, [key], []).select(key, F.col(column).alias("_new"))
     return target.join(new, key, "left").withColumn(column, F.when(F.col("_new").isNotNull(), merged(F.col(column), F.col("_new"), removed)).otherwise(F.col(column))).drop("_new")
 
 

@@ -9,7 +9,7 @@ from catalith.functions import meta, text
 from catalith.operators import classify, dedup, reports, state, topics
 from catalith.plans.registry import ASSET, assets, query
 from catalith.session import table
-from catalith.sources import inputs
+from catalith.sources import folders, inputs
 
 #: Terms that occur in the given texts, for two labels; some stand within others.
 LEXICONS = {
@@ -78,15 +78,31 @@ def archive_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.archive_plan(a, "/inbox/src1/", "/archive")
 
 
-@query(f"""WITH {ASSET}, f AS (SELECT asset_id, source AS folder, lang AS stem, row_number() OVER (PARTITION BY source, lang ORDER BY asset_id) - 1 AS r FROM asset),
-  free AS (SELECT n, row_number() OVER (ORDER BY n) - 1 AS r FROM range(0, (SELECT count(*) + 10 FROM documents)) t(n) WHERE n NOT IN (0, 2))
-  SELECT asset_id, folder, CASE WHEN stem = 'en' THEN 'en_' || (SELECT n FROM free WHERE free.r = f.r) || '.txt' WHEN r = 0 THEN stem || '.txt' ELSE stem || '_' || r || '.txt' END AS dest_name FROM f""")
+@query(f"""WITH {ASSET}, f AS (SELECT asset_id, source AS folder, CASE WHEN asset_id % 7 = 0 THEN lang || '_' || (asset_id % 5 + 1) ELSE lang END AS stem FROM asset),
+  taken AS (SELECT DISTINCT folder, unnest(['en', 'en_2', 'fr_3']) AS stem FROM f), ranked AS (SELECT *, row_number() OVER (PARTITION BY folder, stem ORDER BY asset_id) AS r FROM f),
+  kept AS (SELECT * FROM ranked WHERE r = 1 AND (folder, stem) NOT IN (SELECT (folder, stem) FROM taken)),
+  rest AS (SELECT *, row_number() OVER (PARTITION BY folder, stem ORDER BY asset_id) AS k FROM f WHERE asset_id NOT IN (SELECT asset_id FROM kept)),
+  used AS (SELECT folder, regexp_extract(stem, '^(.*)_([1-9][0-9]*)$', 1) AS stem, CAST(regexp_extract(stem, '^(.*)_([1-9][0-9]*)$', 2) AS BIGINT) AS n FROM (SELECT folder, stem FROM f UNION SELECT * FROM taken) WHERE regexp_matches(stem, '_[1-9][0-9]*$')),
+  free AS (SELECT g.folder, g.stem, t.n, row_number() OVER (PARTITION BY g.folder, g.stem ORDER BY t.n) AS k FROM (SELECT folder, stem, max(k) AS most FROM rest GROUP BY ALL) g, LATERAL (SELECT unnest(range(1, g.most + 20)) AS n) t ANTI JOIN used u ON u.folder = g.folder AND u.stem = g.stem AND u.n = t.n)
+  SELECT asset_id, folder, stem || '.txt' AS dest_name FROM kept UNION ALL SELECT r.asset_id, r.folder, r.stem || '_' || free.n || '.txt' FROM rest r JOIN free ON free.folder = r.folder AND free.stem = r.stem AND free.k = r.k""")
 def collision_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = assets(spark, sf_dir).select("asset_id", F.col("source").alias("folder"), F.concat("lang", F.lit(".txt")).alias("name"))
-    taken = a.select("folder").distinct().select("folder", F.explode(F.array(F.lit("en.txt"), F.lit("en_2.txt"))).alias("name"))
+    """Names of which some are numbered already, and three that every folder has."""
+    i = F.col("asset_id")
+    stem = F.when(i % 7 == 0, F.concat("lang", F.lit("_"), (i % 5 + 1).cast("string"))).otherwise(F.col("lang"))
+    a = assets(spark, sf_dir).select("asset_id", F.col("source").alias("folder"), F.concat(stem, F.lit(".txt")).alias("name"))
+    taken = a.select("folder").distinct().select("folder", F.explode(F.array(F.lit("en.txt"), F.lit("en_2.txt"), F.lit("fr_3.txt"))).alias("name"))
     return inputs.numbered(a, taken).select("asset_id", "folder", "dest_name")
 
 
+@query(f"WITH {ASSET} SELECT fs_path AS path, row_number() OVER (ORDER BY asset_id, fs_path) - 1 AS pos FROM asset")
+def listed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths written as a list of several files come back in the order they stand in."""
+    at = folders.fresh(spark, "list")
+    a = assets(spark, sf_dir).select("asset_id", "fs_path")
+    a.repartitionByRange("asset_id", "fs_path").sortWithinPartitions("asset_id", "fs_path").select(F.concat(F.lit(" "), "fs_path")).write.text(at)
+    return inputs.read_path_list(spark, at)
+
+
 @query("SELECT conv_id, turn, role AS fact, text AS signal, 2 AS n_keys FROM conversations")
 def split_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.create_map(F.lit("role"), "role", F.lit("summary"), "text")

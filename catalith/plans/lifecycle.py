@@ -129,6 +129,11 @@ def material_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.upper_median(table(spark, sf_dir, "documents"), "n_chars", ["lang"])
 
 
+@query("SELECT count(*) AS n, min(value) AS least, max(value) AS greatest, list_sort(list(value))[CAST(count(*) // 2 AS INT) + 1] AS median FROM events WHERE value IS NOT NULL")
+def overall_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.upper_median(table(spark, sf_dir, "events"), "value")
+
+
 BITS = "xor(CAST(CAST('0x' || substring(md5(lang || (doc_id % 50)), 1, 8) AS UBIGINT) AS BIGINT), CAST(doc_id % 4 AS BIGINT))"
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalith.functions.meta import base_name, under
+from catalith.sources.numbering import in_order
 
 #: Names of ledger files, and kinds by extension with the modality each narrows to.
 LEDGERS = ("manifest.json", "_manifest.json")
@@ -21,15 +22,21 @@ def mapped(values: dict[str, str], key: Column) -> Column:
 
 
 def read_path_list(spark: SparkSession, path: str) -> DataFrame:
-    """One path a line, trimmed, without blank lines; pos keeps the file's order within a partition of the read."""
-    lines = spark.read.text(path).select(F.trim("value").alias("path"), F.monotonically_increasing_id().alias("pos"))
-    return lines.filter(F.length("path") > 0)
+    """(path, pos): one path a line, trimmed, without blank lines; pos numbers the lines of all files, files by their name, as they stand.
+    Files are read in splits; a line's number is its place in its split and the lines of the splits before."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = spark.read.text(path).select("value", at.alias("_at"), F.monotonically_increasing_id().alias("_i"))
+    counts = lines.groupBy("_at").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a split
+    starts = counts.select("_at", (before - F.col("_first")).alias("_shift"))
+    out = lines.join(starts, "_at").select(F.trim("value").alias("path"), (F.col("_i") + F.col("_shift")).alias("pos"))
+    return out.filter(F.length("path") > 0)
 
 
 def read_folder(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """Paths of the files in a folder, in their order by name."""
+    """(path, pos): the files in a folder, numbered in the order of their paths' bytes; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return files.select("path").withColumn("pos", F.xxhash64("path"))
+    return in_order(files.select("path"), [F.col("path")])
 
 
 def collect_inputs(*sources: DataFrame | None) -> DataFrame:
@@ -86,19 +93,31 @@ def archive_plan(assets: DataFrame, inbox: str, archive: str) -> DataFrame:
 
 
 def numbered(files: DataFrame, taken: DataFrame, *, folder: str = "folder", name: str = "name", order: str = "asset_id") -> DataFrame:
-    """files with dest_name: the name itself, or stem_n.ext with the smallest numbers that are free in the folder. taken:
-    (folder, name) that exist. Names that come from numbering don't meet names that are given as such."""
-    stem, ext = F.regexp_extract(F.col(name), r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(F.col(name), r"^(.*?)(\.[^.]*)?$", 2)
-    split = files.withColumns({"_stem": stem, "_ext": ext})
-    held = taken.select(folder, F.col(name).alias("_held")).distinct()
-    held = held.select(folder, F.regexp_extract("_held", r"^(.*?)(?:_(\d+))?(\.[^.]*)?$", 1).alias("_stem"), F.regexp_extract("_held", r"(\.[^.]*)?$", 1).alias("_ext"), F.coalesce(F.regexp_extract("_held", r"_(\d+)(\.[^.]*)?$", 1).try_cast("int"), F.lit(0)).alias("_n"))
-    held = held.groupBy(folder, "_stem", "_ext").agg(F.sort_array(F.collect_set("_n")).alias("_used"))
-    ranked = split.withColumn("_rank", F.row_number().over(Window.partitionBy(folder, name).orderBy(order)) - 1).join(held, [folder, "_stem", "_ext"], "left")
-    used = F.coalesce(F.col("_used"), F.array().cast("array<int>"))
-    # The rank-th free number: free numbers up to rank + the count of used ones hold it.
-    free = F.array_except(F.sequence(F.lit(0), F.col("_rank") + F.size(used)), used)
-    n = F.element_at(free, F.col("_rank") + 1)
-    return ranked.withColumn("dest_name", F.when(n == 0, F.col(name)).otherwise(F.concat("_stem", F.lit("_"), n.cast("string"), "_ext"))).drop("_stem", "_ext", "_rank", "_used")
+    """files with dest_name, no two the same in a folder and none that is taken (folder, name): of files that give a name which
+    is free the first keeps it; the others get stem_n.ext with the smallest numbers from 1 on that no taken and no given name has.
+
+    Free numbers are found by a running count: the r-th free one is r and how many used ones have at most r - 1 free ones before
+    them. So a name that is given n times costs n log n; its rows are one window's."""
+    cut = r"^(.*?)(\.[^.]*)?$"
+    keyed = files.withColumns({"_stem": F.regexp_extract(F.col(name), cut, 1), "_ext": F.regexp_extract(F.col(name), cut, 2)})
+    held = taken.select(F.col(folder).alias("_f"), F.col(name).alias("_held")).distinct()
+    first = F.row_number().over(Window.partitionBy(folder, name).orderBy(order)) == 1
+    same = keyed[folder].eqNullSafe(F.col("_f")) & (keyed[name] == F.col("_held"))
+    known = keyed.join(held.withColumn("_is", F.lit(True)), same, "left").withColumn("_keeps", first & F.col("_is").isNull()).drop("_f", "_held", "_is")
+    number = r"^(.*)_([1-9][0-9]*)(\.[^.]*)?$"
+    every = files.select(F.col(folder).alias("_f"), F.col(name).alias("_held")).union(held).distinct()
+    used = every.select("_f", F.regexp_extract("_held", number, 1).alias("_s"), F.regexp_extract("_held", number, 3).alias("_e"), F.regexp_extract("_held", number, 2).try_cast("long").alias("_u"))
+    used = used.filter(F.col("_u").isNotNull()).distinct()
+    before = (F.col("_u") - F.row_number().over(Window.partitionBy("_f", "_s", "_e").orderBy("_u"))).alias("_r")  # free numbers before it
+    rest = known.filter(~F.col("_keeps"))
+    rank = F.row_number().over(Window.partitionBy(folder, "_stem", "_ext").orderBy(order))
+    whole = F.struct(*[F.col(f"`{c}`") for c in files.columns])
+    asks = rest.select(F.col(folder).alias("_f"), F.col("_stem").alias("_s"), F.col("_ext").alias("_e"), (rank - 1).cast("long").alias("_r"), F.lit(1).alias("_asks"), whole.alias("_row"))
+    both = used.select("_f", "_s", "_e", before, F.lit(0).alias("_asks"), F.lit(None).cast(asks.schema["_row"].dataType).alias("_row")).unionByName(asks)
+    w = Window.partitionBy("_f", "_s", "_e").orderBy("_r", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.col("_r") + 1 + F.count_if(F.col("_asks") == 0).over(w)
+    given = both.withColumn("_n", n).filter("_asks = 1").select("_row.*", F.concat("_s", F.lit("_"), F.col("_n").cast("string"), "_e").alias("dest_name"))
+    return known.filter("_keeps").select(*files.columns, F.col(name).alias("dest_name")).unionByName(given)
 
 
 def before_after(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:

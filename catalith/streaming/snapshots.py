@@ -9,25 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalith.operators.state import latest, ordered
 from catalith.sources import versions
 
 BUCKET = "_bucket"
 
 
-def _ordered(name: str, kind: T.DataType) -> Column:
-    """The column as something that has an order: a map as its sorted entries, a variant as JSON."""
-    return F.array_sort(F.map_entries(name)) if isinstance(kind, T.MapType) else F.to_json(name) if isinstance(kind, T.VariantType) else F.col(name)
-
-
-def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row a key: the greatest in the order, of equal ones the greatest in all columns, so that the choice is the same in every run.
-    Rows with a null in a key are left out; they can't be found again."""
-    rest = [c for c in rows.columns if c not in keys]
-    by = F.struct(*[F.col(c) for c in order], *[_ordered(f.name, f.dataType).alias(f.name) for f in rows.schema if f.name in rest and f.name not in order])
-    known = rows.filter(" and ".join(f"`{k}` is not null" for k in keys))
-    return known.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_last")).select(*keys, "_last.*") if rest else known.select(*keys).distinct()
-
-
 def _place(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
@@ -74,7 +61,7 @@ def merge(
         both = held.withColumn("_old", F.lit(True)).join(new.withColumn("_hit", F.lit(True)), keys, "full" if insert else "left")
         differs = F.lit(False)
         for c in given:
-            differs = differs | ~_ordered(c, types[c]).eqNullSafe(_ordered(f"_new_{c}", types[c]))
+            differs = differs | ~ordered(c, types[c]).eqNullSafe(ordered(f"_new_{c}", types[c]))
         if order:
             differs = differs & (F.struct(*[f"_new_{c}" for c in order]) > F.struct(*order))
         takes = F.col("_hit").isNotNull() & (F.col("_old").isNull() | differs)
