@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.operators import search
+from catalith.operators import postings, search
 from catalith.operators.relations import nearest
 from catalith.plans.registry import query
 from catalith.plans.relations import COS
 from catalith.session import table
+from catalith.sources import folders
 
 TERMS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
 BM25 = f"""q AS (SELECT item_id AS query, unnest(list_distinct({TERMS})) AS term FROM benchmark), d AS (SELECT doc_id AS id, {TERMS} AS t FROM documents), sized AS (SELECT id, len(t) AS dl FROM d), stats AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM sized),
@@ -64,3 +65,14 @@ def search_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rel = search.containing(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), b)
     m = search.metrics(_bm25(spark, sf_dir), rel, 5)
     return m.select("query", *[F.round(c, 6).alias(c) for c in m.columns if c != "query"])
+
+
+@query(f"WITH {BM25} SELECT query, id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM lex")
+def index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same results from a kept index that two additions of documents made."""
+    at = folders.fresh(spark, "index")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    for part in ("id % 3 < 2", "id % 3 = 2"):
+        postings.add(docs.filter(part), at)
+    q = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), "text")
+    return postings.search(q, at, 10).results.select("query", "id", F.round("score", 6).alias("score"), "rank")
