@@ -12,7 +12,7 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.llm.common import Rolling, materialize, mix, text_buffer
+from catalith.llm.common import Rolling, materialize, mix, numbered, text_buffer
 
 #: Bytes of all levels up to which a cascade travels with the tasks; a larger one gives way to a join.
 MOST_BYTES = 64 << 20
@@ -144,13 +144,17 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], *, url: str = "ur
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, *, page_id: str, url: str = "url", default: str = "allow") -> DataFrame:
-    """The same for rules (verdict, host, path) too many for a cascade: the keys that are listed, by an equi-join."""
-    host, path = host_and_path(F.col(url))
+    """The same for rules (verdict, host, path) too many for a cascade: the keys that are listed, by an equi-join. Each row is judged by
+    itself, also where rows share an id or have none; of rules with the same key the least verdict counts."""
     lengths = sorted((r[0] for r in rules.select(F.length("path")).distinct().collect()), reverse=True)
-    rows = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
-    keys = rows.select(page_id, F.posexplode(keys_of("host", "path", lengths)).alias("_at", "rule"))
-    hit = keys.join(rules.select(F.concat("host", "path").alias("rule"), "verdict"), "rule").groupBy(page_id).agg(F.min_by(F.struct("rule", "verdict"), "_at").alias("_hit"))
-    return rows.join(hit, page_id, "left").withColumns({"rule": F.col("_hit.rule"), "verdict": F.coalesce("_hit.verdict", F.lit(default))}).drop("_hit")
+    others = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    host, path = host_and_path(F.col("_text"))
+    rows = numbered(pages.select(*[F.col(f"`{c}`") for c in others]), page_id, url).select("_rid", "_row", host.alias("host"), path.alias("path"))
+    keys = rows.select("_rid", F.posexplode(keys_of("host", "path", lengths)).alias("_at", "rule"))
+    listed = rules.groupBy(F.concat("host", "path").alias("rule")).agg(F.min("verdict").alias("verdict"))
+    hit = keys.join(listed, "rule").groupBy("_rid").agg(F.min_by(F.struct("rule", "verdict"), "_at").alias("_hit"))
+    told = rows.join(hit, "_rid", "left")
+    return told.select("_row.*", "host", "path", F.col("_hit.rule").alias("rule"), F.coalesce("_hit.verdict", F.lit(default)).alias("verdict"))
 
 
 def keys_of(host: str, path: str, lengths: list[int]) -> Column:

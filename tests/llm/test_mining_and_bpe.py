@@ -227,3 +227,16 @@ def test_registered_queries(spark, tmp_path, own):
     rows = [(i, [float(i % 5), float(i % 7)], i % 3) for i in range(0, 300)]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert sorted(map(tuple, queries.QUERIES["op11_hard_negatives"](spark, str(tmp_path)).collect()), key=repr) == hard(changed(rows))
+
+
+def test_rules_by_join_judge_rows_that_share_an_id(spark):
+    from catalith.llm import url_filter
+
+    rules = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("block", "net", "/es/"), ("allow", "net", "/es/x/")]
+    urls = ["http://b.net/es/", "http://A.example.com/en/1", "http://x.com/", None, "no url", "http://b.net/es/x/1", "http://b.org/"]
+    rows = [(1, u, "r") for u in urls] + [(None, u, "r") for u in urls] + [(1, urls[0], "r")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, rule string")
+    both = [f(pages, r, **more).select("page_id", "url", "host", "path", "rule", "verdict") for f, r, more in ((url_filter.judge, rules, {}), (url_filter.judge_by_join, spark.createDataFrame(rules, "verdict string, host string, path string"), {"page_id": "page_id"}))]
+    got = [Counter(map(tuple, df.collect())) for df in both]
+    assert got[0] == got[1] and sum(got[0].values()) == 15
+    assert {k[4:] for k in got[0] if k[1] == urls[0]} == {("net/es/", "block")}
