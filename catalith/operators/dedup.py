@@ -6,11 +6,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalith.sources.numbering import masks_of, written
+from catalith.sources.numbering import in_order, masks_of, written
 
 #: States at whose end an asset's content is kept.
 SETTLED = ("registered", "deferred")
@@ -49,25 +49,41 @@ def suppress_sequence(frames: DataFrame, *, group: str, order: str, bits: str, v
     third_near on drops it too. The first frame always stays. cap: so many frames a group at most, applied before the
     comparison (cap_first) or to what it kept. A frame depends on all kept ones before it, so a group is one task's work.
     """
-    if mode not in ("recent", "last", "global"):
-        raise ValueError("mode must be recent, last or global")
-    if hash_max < 0 or window < 1 or not 0 <= grey <= near <= 1 or not 0 <= third_near <= 1:
-        raise ValueError("thresholds out of range")
-
-    def unit(x) -> np.ndarray:
-        a = np.asarray(x, float)
-        n = np.sqrt(a @ a)
-        return a / n if n > 0 and np.isfinite(n) else np.zeros_like(a)
+    rule = _rule(mode, window, hash_max, near, grey, third_near)
 
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
         kept, reason = np.ones(len(rows), bool), np.full(len(rows), None, object)
         if cap is not None and cap_first:
             kept[cap:], reason[cap:] = False, "cap"
-        held: list[tuple[int, np.ndarray, np.ndarray]] = []
+        rule(rows[bits], rows[vector], rows[third], [], kept, reason)
+        if cap is not None and not cap_first:
+            over = np.flatnonzero(kept)[cap:]
+            kept[over], reason[over] = False, "cap"
+        return rows.assign(kept=kept, reason=reason)
+
+    return frames.groupBy(group).applyInPandas(walk, T.StructType([*frames.schema.fields, T.StructField("kept", T.BooleanType()), T.StructField("reason", T.StringType())]))
+
+
+def _unit(x) -> np.ndarray:
+    a = np.asarray(x, float)
+    n = np.sqrt(a @ a)
+    return a / n if n > 0 and np.isfinite(n) else np.zeros_like(a)
+
+
+def _rule(mode: str, window: int, hash_max: int, near: float, grey: float, third_near: float):
+    """A walk over frames in order that goes on from held frames (bits, unit vector, unit third), sets kept and reason of the frames that
+    kept has, and gives the frames held at its end."""
+    if mode not in ("recent", "last", "global"):
+        raise ValueError("mode must be recent, last or global")
+    if hash_max < 0 or window < 1 or not 0 <= grey <= near <= 1 or not 0 <= third_near <= 1:
+        raise ValueError("thresholds out of range")
+    span = {"last": 1, "recent": window, "global": None}[mode]
+
+    def walk(bits, vectors, thirds, held: list, kept: np.ndarray, reason: np.ndarray) -> list:
         for i in np.flatnonzero(kept):
-            own = int(rows[bits][i]), unit(rows[vector][i]), unit(rows[third][i])
-            against = held[-1:] if mode == "last" else held[-window:] if mode == "recent" else held
+            own = int(bits[i]), _unit(vectors[i]), _unit(thirds[i])
+            against = held if span is None else held[-span:]
             found = [x for x in against if ((own[0] ^ x[0]) & 0xFFFFFFFFFFFFFFFF).bit_count() <= hash_max]
             best = max((float(own[1] @ x[1]) for x in found), default=-1.0)
             if found and best >= near:
@@ -76,12 +92,80 @@ def suppress_sequence(frames: DataFrame, *, group: str, order: str, bits: str, v
                 kept[i], reason[i] = False, "third"
             else:
                 held.append(own)
-        if cap is not None and not cap_first:
-            over = np.flatnonzero(kept)[cap:]
-            kept[over], reason[over] = False, "cap"
-        return rows.assign(kept=kept, reason=reason)
+        return held if span is None else held[-span:]
 
-    return frames.groupBy(group).applyInPandas(walk, T.StructType([*frames.schema.fields, T.StructField("kept", T.BooleanType()), T.StructField("reason", T.StringType())]))
+    return walk
+
+
+HELD = "array<struct<bits:bigint,vector:array<double>,third:array<double>>>"
+
+
+def suppress_long(frames: DataFrame, *, group: str, order: str, bits: str, vector: str, third: str, mode: str = "recent", window: int = 4, hash_max: int = 7, near: float = 0.94, grey: float = 0.90, third_near: float = 0.97, cap: int | None = None, cap_first: bool = False, block_rows: int = 10_000) -> DataFrame:
+    """The same as suppress_sequence for modes last and recent, but a long sequence is many tasks' work. For orders without ties.
+
+    Frames are numbered in their order and dealt into blocks of neighbours. A block's walk depends on what came before only by the frames
+    held at its start, one or window of them. In the first round all blocks start from none; then each starts from what the
+    block before it held at its end, and blocks whose start has changed are walked again until no start changes. The first n
+    blocks of a sequence are right after n rounds; as a block of unlike frames forgets its start, it mostly takes two. Caps count the
+    frames, or the kept ones, of the blocks before. A null group is a group.
+    """
+    if mode == "global":
+        raise ValueError("a walk against all kept frames has no bounded start; use suppress_sequence")
+    rule = _rule(mode, window, hash_max, near, grey, third_near)
+    whole = F.struct(*[F.col(f"`{c}`") for c in frames.columns])
+    own = frames.select(whole.alias("_row"), F.col(group).alias("_g"), F.col(order).alias("_o"), F.col(bits).cast("long").alias("_b"), F.col(vector).cast("array<double>").alias("_v"), F.col(third).cast("array<double>").alias("_t"))
+    own = in_order(own, [F.col("_g").asc_nulls_first(), F.col("_o").asc_nulls_first()], "_pos").withColumn("_block", F.floor(F.col("_pos") / block_rows))
+    own = own.withColumn("_block", F.concat_ws(" ", F.col("_block").cast("string"), F.to_json(F.struct("_g"))))  # groups that meet in a block are apart
+    starts = written(own.groupBy("_g").agg(F.min("_pos").alias("_first")), "starts")
+    own = own.join(starts.withColumnRenamed("_g", "_of"), F.col("_g").eqNullSafe(F.col("_of"))).withColumn("_in", F.col("_pos") - F.col("_first")).drop("_of", "_first")
+    if cap is not None and cap_first:
+        own = own.withColumn("_open", F.col("_in") < cap)
+    else:
+        own = own.withColumn("_open", F.lit(True))
+    own = written(own, "frames")
+    blocks = own.groupBy("_block", "_g").agg(F.min("_pos").alias("_at"))
+    blocks = written(blocks.withColumn("_before", F.lag("_block").over(Window.partitionBy("_g").orderBy("_at"))), "blocks")
+
+    def walked(rows: pd.DataFrame, start: pd.DataFrame) -> tuple[pd.DataFrame, list]:
+        rows = rows.sort_values("_pos", kind="stable").reset_index(drop=True)
+        kept, reason = rows["_open"].to_numpy(bool).copy(), np.where(rows["_open"], None, "cap").astype(object)
+        first = start["_start"].iloc[0] if len(start) else None
+        held = [(x["bits"], np.asarray(x["vector"], float), np.asarray(x["third"], float)) for x in (first if first is not None else [])]
+        held = rule(rows["_b"], rows["_v"], rows["_t"], held, kept, reason)
+        return rows.assign(kept=kept, reason=reason), held
+
+    def ends(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(start):
+            return pd.DataFrame({"_block": [], "_end": []})
+        _, held = walked(rows, start)
+        return pd.DataFrame({"_block": [rows["_block"].iloc[0]], "_end": [[{"bits": b, "vector": v.tolist(), "third": t.tolist()} for b, v, t in held]]})
+
+    def flagged(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        return walked(rows, start)[0][["_row", "_block", "_in", "_pos", "kept", "reason"]]
+
+    now = written(blocks.select("_block", F.array().cast(HELD).alias("_start")), "starts")
+    end = None
+    while True:
+        due = now if end is None else changed
+        made = own.join(due.select("_block"), "_block", "left_semi").groupBy("_block").cogroup(due.groupBy("_block")).applyInPandas(ends, f"_block string, _end {HELD}")
+        end = written(made if end is None else end.join(due.select("_block"), "_block", "left_anti").unionByName(made), "ends")
+        new = blocks.join(end.withColumnRenamed("_block", "_before"), "_before", "left").select("_block", F.coalesce("_end", F.array().cast(HELD)).alias("_new"))
+        both = written(now.join(new, "_block").withColumn("_moved", ~F.col("_start").eqNullSafe(F.col("_new"))), "moved")
+        changed = both.filter("_moved").select("_block", F.col("_new").alias("_start"))
+        now = both.select("_block", F.col("_new").alias("_start"))
+        if not changed.limit(1).count():
+            break
+    fields = [own.schema[c] for c in ("_row", "_block", "_in", "_pos")] + [T.StructField("kept", T.BooleanType()), T.StructField("reason", T.StringType())]
+    out = own.groupBy("_block").cogroup(now.groupBy("_block")).applyInPandas(flagged, T.StructType(fields))
+    if cap is not None and not cap_first:
+        out = written(out, "kept")
+        counts = out.groupBy("_block").agg(F.count_if("kept").alias("_n"))
+        w = Window.partitionBy("_g").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        before = blocks.join(counts, "_block").select("_block", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_had"))
+        number = F.count_if("kept").over(Window.partitionBy("_block").orderBy("_pos")) + F.col("_had")
+        over = F.col("kept") & (F.col("_number") > cap)
+        out = out.join(before, "_block").withColumn("_number", number).withColumns({"reason": F.when(over, "cap").otherwise(F.col("reason")), "kept": F.col("kept") & ~over})
+    return out.select("_row.*", "kept", "reason")
 
 
 def fingerprint_classes(rows: DataFrame, *, key: str, bits: str) -> DataFrame:

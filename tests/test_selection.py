@@ -147,3 +147,26 @@ def test_blocks_of_vectors_beyond_the_first_meet(spark):
     for r in sorted(got, key=lambda r: (r["query"], r["rank"])):
         found.setdefault(r["query"], []).append(r["id"])
     assert found == want
+
+
+@pytest.mark.parametrize("mode, cap, cap_first", [("recent", None, False), ("last", 17, False), ("recent", 25, True)])
+def test_a_long_sequence_in_blocks_is_the_walk_of_one_task(spark, mode, cap, cap_first):
+    rng = random.Random(cap or 0)
+    rows = []
+    for g, n in (("a", 90), ("b", 1), (None, 23), ("c", 40)):
+        v = [1.0, 0.0, 0.0]
+        for i in range(n):
+            if rng.random() < 0.4:
+                v = [rng.gauss(0, 1) for _ in range(3)]
+            own = [x + rng.gauss(0, 0.12) for x in v]
+            rows.append((g, i, rng.choice([0, 1, 3]), own if rng.random() < 0.97 else [0.0] * 3, own[::-1], "x"))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, pos int, bits long, vector array<double>, third array<double>, kind string")
+    options = dict(group="g", order="pos", bits="bits", vector="vector", third="third", mode=mode, window=3, hash_max=1, near=0.97, grey=0.9, third_near=0.95, cap=cap, cap_first=cap_first)
+    want = sorted(((r["g"], r["pos"], r["kept"], r["reason"]) for r in dedup.suppress_sequence(df, **options).collect()), key=repr)
+    got = dedup.suppress_long(df, **options, block_rows=8)
+    assert got.columns == [*df.columns, "kept", "reason"]
+    assert sorted(((r["g"], r["pos"], r["kept"], r["reason"]) for r in got.collect()), key=repr) == want
+    assert {None, "similar"} <= {w[3] for w in want}
+    with pytest.raises(ValueError, match="bounded"):
+        dedup.suppress_long(df, **{**options, "mode": "global"})
