@@ -12,7 +12,10 @@ def parsed(json: Column) -> Column:
 
 
 def _at(key: str) -> str:
-    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    mark = '"' if "'" in key else "'"
+    if mark in key:
+        raise ValueError(f"a key with both kinds of quotation marks has no path: {key}")
+    return f"$[{mark}{key}{mark}]"
 
 
 def kind(meta: Column, key: str) -> Column:
