@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.functions.meta import drift, material
+from catalith.sources import versions
 
 KEY = ["entity_type", "entity_uid"]
 
@@ -143,6 +144,22 @@ def index_documents(entities: DataFrame, vectors: DataFrame, summaries: DataFram
     return docs.withColumns({"summaries": F.coalesce("summaries", empty), "keywords": F.coalesce("keywords", empty)}), entities.join(vectors, KEY, "left_anti")
 
 
+def asset_documents(assets: DataFrame, labels: DataFrame, vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Search documents of registered assets that have a vector: their columns with labels (sorted skill/label keys, maybe none), the vector of
+    their first chunk and how many chunks they have; and the assets that are left out for want of one."""
+    own = assets.filter(F.col("status") == "registered")
+    first = vectors.groupBy("asset_id").agg(F.min_by("embedding", "chunk_index").alias("embedding"), F.count("*").alias("chunk_count"))
+    named = labels.groupBy("asset_id").agg(F.array_sort(F.collect_set(F.concat_ws("/", "skill_code", "label_code"))).alias("labels"))
+    docs = own.join(first, "asset_id").join(named, "asset_id", "left").withColumn("labels", F.coalesce("labels", F.array().cast("array<string>")))
+    return docs, own.join(first, "asset_id", "left_anti")
+
+
+def resync(docs: DataFrame, path: str, *, append: bool = False, least: int = 0) -> dict:
+    """Publishes documents as the next version of the table at path, all of them or beside those there; fewer than least rows aren't
+    accepted, and the version before stays. Sources are only read."""
+    return versions.publish(docs, path, append=append, accept=lambda _, n: n >= least)
+
+
 def bind(judged: DataFrame, registered: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     """(edges to store, candidates to propose): in auto mode all judged names are stored, in propose mode the registered ones."""
     if mode not in ("propose", "auto"):

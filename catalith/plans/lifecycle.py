@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalith.operators import classify, dedup, reports, state
 from catalith.plans.registry import ASSET, LINEAGE, assets, lineage, query
 from catalith.session import table
+from catalith.streaming import passes
 
 LEGAL = "(" + " OR ".join(f"(previous = '{a}' AND state = '{b}')" for a, b in state.MOVES) + ")"
 
@@ -65,6 +66,19 @@ def reset_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.reset_stuck(_stuck(spark, sf_dir), lineage(spark, sf_dir), 12)
 
 
+@query(f"""WITH {STUCK}, n AS (SELECT asset_id, count(*) FILTER (state IN ('failed', 'reset')) AS attempts, count(*) FILTER (state = 'failed') AS failures, min(ts) AS created_at FROM lineage GROUP BY asset_id),
+  r AS (SELECT asset_id, CASE WHEN attempts >= 12 THEN 'reset_isolated' ELSE 'reset' END AS outcome FROM stuck JOIN n USING (asset_id)), picked AS (SELECT l.asset_id FROM last l JOIN n USING (asset_id) LEFT JOIN r USING (asset_id) WHERE coalesce(CASE r.outcome WHEN 'reset' THEN 'received' WHEN 'reset_isolated' THEN 'failed' END, l.status) = 'received' ORDER BY created_at, l.asset_id LIMIT 40),
+  p AS (SELECT asset_id, CASE WHEN asset_id % 11 = 0 THEN 'skipped' WHEN asset_id % 3 = 0 THEN CASE WHEN failures + 1 >= 12 THEN 'failed_terminal' ELSE 'failed_retry' END WHEN asset_id % 5 = 0 THEN 'deferred' ELSE 'registered' END AS outcome FROM picked JOIN n USING (asset_id)) SELECT * FROM r UNION ALL SELECT * FROM p""")
+def batch_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of assets in a pass: resets first, then the forty oldest received ones."""
+    e = lineage(spark, sf_dir)
+    last = e.groupBy("asset_id").agg(F.max("ts").alias("updated_at"), F.min("ts").alias("created_at"), F.max_by("state", F.struct("ts", "event_id")).alias("status"))
+    now = F.lit(e.agg(F.max("ts")).first()[0]).cast("timestamp")
+    i = F.col("asset_id")
+    outcome = F.when(i % 3 == 0, "failed").when(i % 5 == 0, "deferred").otherwise("registered")
+    return passes.run(last, e, lambda picked: picked.filter(i % 11 != 0).select("asset_id", outcome.alias("outcome"), F.lit("x").alias("reason")), now, limit=40, cap=12, older_than_s=60).told
+
+
 @query(f"WITH {ASSET} SELECT count(*) FILTER (status = 'registered') AS registered, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'deferred') AS deferred, count(*) FILTER (status = 'received') AS received, CAST(0 AS BIGINT) AS lost_race FROM asset")
 def outcome_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.outcome_report(assets(spark, sf_dir).select("status"), ["registered", "failed", "deferred", "received", "lost_race"], "status")

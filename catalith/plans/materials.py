@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.functions import meta, scores, text, variants
+from catalith.functions import meta, scores, text, tokens, variants
 from catalith.operators import dedup, entities, relations, reports, state
 from catalith.plans.registry import query
 from catalith.session import table
+from catalith.sources import folders, versions
 
 #: Metadata as JSON of several shapes: whole, kinds mixed up, broken, absent, sparse.
 GIVEN = """given AS (SELECT doc_id AS asset_id, CASE doc_id % 5 WHEN 0 THEN '{"summary": "' || lang || '", "keywords": ["' || source || '", "k", 7], "n": ' || n_chars || '}' WHEN 1 THEN '{"summary": ["a"], "keywords": "' || lang || '", "n": "' || n_chars || '"}'
@@ -114,6 +115,30 @@ def domain_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.by_domain(e, {"general": wired("general", 0.5), "d1": wired("d1", 0.2), "d2": wired("d2", 0.8)})
 
 
+@query("""WITH e AS (SELECT vec_id AS asset_id, vec_id // 4 AS doc, embedding FROM embeddings), v AS (SELECT doc, count(*) AS chunk_count, arg_min(embedding, asset_id) AS first FROM e GROUP BY doc)
+  SELECT doc_id AS asset_id, chunk_count, CAST(list_sum(list_transform(first, lambda x: CAST(x AS DOUBLE))) AS DOUBLE) AS total, 'topic/' || lang AS labels FROM documents JOIN v ON v.doc = doc_id WHERE doc_id % 10 <> 1""")
+def resync_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of assets with vectors: published whole, then those of a second part beside them."""
+    d = table(spark, sf_dir, "documents")
+    a = d.select(F.col("doc_id").alias("asset_id"), F.when(F.col("doc_id") % 10 == 1, "failed").otherwise("registered").alias("status"))
+    labels = d.select(F.col("doc_id").alias("asset_id"), F.lit("topic").alias("skill_code"), F.col("lang").alias("label_code"))
+    e = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 4).alias("asset_id"), F.col("vec_id").alias("chunk_index"), "embedding")
+    docs, _ = entities.asset_documents(a, labels, e)
+    at = folders.fresh(spark, "documents")
+    entities.resync(docs.filter("asset_id % 2 = 0"), at)
+    entities.resync(docs.filter("asset_id % 2 = 1"), at, append=True)
+    total = F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 9)
+    return versions.load(spark, at).select("asset_id", "chunk_count", total.alias("total"), F.array_join("labels", ",").alias("labels"))
+
+
+@query("SELECT doc_id AS asset_id, CAST(len(regexp_extract_all(text, '[^ ]+')) AS INT) AS words, CAST(ceil(length(text) / 3) AS INT) AS threes FROM documents")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizers over the same texts."""
+    words = tokens.counted(lambda: lambda t: sum(1 for w in t.split(" ") if w))
+    threes = tokens.counted(lambda: lambda t: -(-len(t) // 3))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("asset_id"), words(F.col("text")).alias("words"), threes(F.col("text")).alias("threes"))
+
+
 @query()
 def long_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of a label as one sequence that several tasks walk, at most 40 of which are kept."""
