@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions.text import lexicon_hits, signature_of_text
 from catalith.operators.state import replace_partition
+from catalith.sources.numbering import short
 
 #: Confidence of each stage, and the label of what no lexicon names.
 SIGNED, LED, UNNAMED, JUDGED, GENERAL, REVIEW = 1.0, 0.9, 0.7, 0.6, "general", "review"
@@ -77,7 +78,7 @@ def lexicon_judge(skills: dict[str, dict[str, list[str]]]) -> Callable[[DataFram
 def pending(assets: DataFrame, skills: DataFrame, state: DataFrame) -> DataFrame:
     """(asset_id, skill_code, skill_version) not judged yet, or judged by an older version. Skills are a short list."""
     have = state.groupBy("asset_id", "skill_code").agg(F.max("skill_version").alias("_v"))
-    every = assets.select("asset_id").crossJoin(F.broadcast(skills.select("skill_code", "skill_version")))
+    every = assets.select("asset_id").crossJoin(short(skills.select("skill_code", "skill_version")))
     return every.join(have, ["asset_id", "skill_code"], "left").filter(F.col("_v").isNull() | (F.col("_v") < F.col("skill_version"))).drop("_v")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions.meta import drift, material
 from catalith.sources import versions
+from catalith.sources.numbering import short
 
 KEY = ["entity_type", "entity_uid"]
 
@@ -111,7 +112,7 @@ def label_work(candidates: DataFrame, skills: DataFrame, state: DataFrame, promp
     """(type, uid, skill_code, reason) of pairs that are due. The limit counts entities, after unchanged pairs are left out, most
     members first, so repeated runs reach everything."""
     have = state.groupBy(*KEY, "skill_code").agg(F.max("material_hash").alias("_hash"), F.max("skill_version").alias("_v"), F.max("prompt_version").alias("_p")).withColumn("_k", F.lit(True))
-    every = candidates.filter(F.col("material_hash").isNotNull()).crossJoin(F.broadcast(skills.select("skill_code", "skill_version"))).join(have, [*KEY, "skill_code"], "left")
+    every = candidates.filter(F.col("material_hash").isNotNull()).crossJoin(short(skills.select("skill_code", "skill_version"))).join(have, [*KEY, "skill_code"], "left")
     why = drift(F.col("material_hash"), F.col("_hash"), F.coalesce("_k", F.lit(False)), F.col("skill_version"), F.col("_v"), F.lit(prompt), F.col("_p"))
     due = every.withColumn("reason", why).filter(F.col("reason").isNotNull())
     chosen = due.select(*KEY, "members").distinct().orderBy(F.desc("members"), *KEY).limit(limit).select(*KEY)
@@ -144,6 +145,11 @@ def index_documents(entities: DataFrame, vectors: DataFrame, summaries: DataFram
     return docs.withColumns({"summaries": F.coalesce("summaries", empty), "keywords": F.coalesce("keywords", empty)}), entities.join(vectors, KEY, "left_anti")
 
 
+def new_entities(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(type, uid, assets): entities that edges of the pass bring in and no edge before it had, with how many assets each."""
+    return new.select("asset_id", *KEY).distinct().groupBy(*KEY).agg(F.count("*").alias("assets")).join(old.select(*KEY).distinct(), KEY, "left_anti")
+
+
 def asset_documents(assets: DataFrame, labels: DataFrame, vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Search documents of registered assets that have a vector: their columns with labels (sorted skill/label keys, maybe none), the vector of
     their first chunk and how many chunks they have; and the assets that are left out for want of one."""
@@ -170,7 +176,7 @@ def bind(judged: DataFrame, registered: DataFrame, mode: str) -> tuple[DataFrame
 
 
 def binding_report(old: DataFrame, new: DataFrame, judged_assets: DataFrame) -> DataFrame:
-    """Edges added and removed for the judged assets; assets bound, empty, and with fewer edges than before."""
+    """Edges added and removed for the judged assets; assets bound, empty, and with fewer edges than before. See also new_entities."""
     k = ["asset_id", *KEY]
     before = old.join(judged_assets.select("asset_id").distinct(), "asset_id", "left_semi").select(*k).distinct().withColumn("_o", F.lit(1))
     both = before.join(new.select(*k).distinct().withColumn("_n", F.lit(1)), k, "full")

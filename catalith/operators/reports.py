@@ -40,6 +40,19 @@ def reprocess(assets: DataFrame, updates: DataFrame, removed: tuple[str, ...] =
     return merge_meta(old, good, "asset_id", "ext_meta"), said.select("asset_id", "outcome")
 
 
+def with_index(outcomes: DataFrame, index: DataFrame) -> DataFrame:
+    """outcomes (asset_id, outcome, ...) in which an asset that went well but whose document the index didn't take (asset_id in index) is
+    index_failed: its row is right, only its document is old."""
+    bad = index.select("asset_id").distinct().withColumn("_bad", F.lit(True))
+    rows = outcomes.join(bad, "asset_id", "left")
+    return rows.withColumn("outcome", F.when(F.col("_bad") & (F.col("outcome") == "ok"), "index_failed").otherwise(F.col("outcome"))).drop("_bad")
+
+
+def failed_ids(outcomes: DataFrame) -> DataFrame:
+    """(value): ids of assets that failed, one a line when written with write.text, for a run on these alone."""
+    return outcomes.filter(F.col("outcome").isin("failed", "index_failed")).select(F.col("asset_id").cast("string").alias("value")).distinct()
+
+
 def reprocess_report(outcomes: DataFrame) -> DataFrame:
     """One row a target: its outcome, title_match and modality where outcomes has them, and how many share these (n)."""
     by = [c for c in ("outcome", "title_match", "modality") if c in outcomes.columns]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalith.sources.numbering import short
+
 UNASSIGNED = "unassigned"
 
 
@@ -68,4 +70,4 @@ def unknown(requested: DataFrame, active: DataFrame, column: str) -> DataFrame:
 def missing_keys(required: DataFrame, registered: DataFrame) -> DataFrame:
     """(domain, key) that are required but not registered, of domains that have a registry at all."""
     domains = registered.select("domain").distinct()
-    return domains.crossJoin(F.broadcast(required.select("key"))).join(registered.select("domain", "key"), ["domain", "key"], "left_anti")
+    return domains.crossJoin(short(required.select("key"))).join(registered.select("domain", "key"), ["domain", "key"], "left_anti")

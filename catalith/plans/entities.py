@@ -27,6 +27,14 @@ def member_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.member_summaries(membership(spark, sf_dir), summaries(spark, sf_dir)).select("entity_type", "entity_uid", F.array_join("summaries", "|").alias("summaries"))
 
 
+@query(f"WITH {FIRST3} SELECT entity_type, entity_uid, array_to_string(summaries, '|') AS summaries FROM lines JOIN part ON p_partkey = entity_uid AND p_type = entity_type WHERE p_size > 25")
+def wanted_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of pairs of type and uid; the uid of a wanted pair under another type isn't wanted."""
+    named = _entities(spark, sf_dir).filter("description is not null").select("entity_type", "entity_uid")
+    wanted = named.union(named.select(F.concat("entity_type", F.lit(" other")), (F.col("entity_uid") + 1)))
+    return entities.member_summaries(membership(spark, sf_dir), summaries(spark, sf_dir), wanted).select("entity_type", "entity_uid", F.array_join("summaries", "|").alias("summaries"))
+
+
 @query(f"WITH {BUNDLE} SELECT entity_type, entity_uid, members FROM bundle ORDER BY members DESC, entity_type, entity_uid LIMIT 10")
 def bundle_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.top_bundles(membership(spark, sf_dir))
@@ -211,6 +219,14 @@ def binding_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.binding_report(o, o.filter("entity_uid % 2 = 0"), table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("asset_id")))
 
 
+@query(f"WITH {EDGE}, a AS (SELECT DISTINCT asset_id, entity_type, entity_uid, o_orderpriority < '2' AS early FROM edge JOIN orders ON o_orderkey = asset_id WHERE status = 'active' AND o_orderstatus = 'P'), o AS (SELECT DISTINCT entity_type, entity_uid FROM a WHERE early) SELECT entity_type, entity_uid, count(*) AS assets FROM a ANTI JOIN o USING (entity_type, entity_uid) WHERE NOT early GROUP BY entity_type, entity_uid")
+def new_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Urgent orders under way were bound before; the others' parts that none of these has are new."""
+    under_way = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("asset_id"), (F.col("o_orderpriority") < "2").alias("early"))
+    m = membership(spark, sf_dir).filter("status = 'active'").join(under_way, "asset_id")
+    return entities.new_entities(m.filter("early"), m.filter("not early"))
+
+
 @query("SELECT p_partkey AS entity_uid, p_brand || '+' || p_type AS prompt_version, p_partkey % 2 <> 0 AS malformed FROM part")
 def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.when(F.col("p_partkey") % 2 == 0, "0123abcd-0000-7000-8000-0123456789ab").otherwise("not-an-id")

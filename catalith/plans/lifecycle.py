@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalith.operators import classify, dedup, reports, state
 from catalith.plans.registry import ASSET, LINEAGE, assets, lineage, query
 from catalith.session import table
+from catalith.sources import folders
 from catalith.streaming import passes
 
 LEGAL = "(" + " OR ".join(f"(previous = '{a}' AND state = '{b}')" for a, b in state.MOVES) + ")"
@@ -124,11 +125,28 @@ def reprocess_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("asset_id", F.try_element_at("ext_meta", F.lit("summary")).alias("summary"), F.try_element_at("ext_meta", F.lit("title_only")).alias("title_only"))
 
 
-@query("WITH u AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'failed' WHEN doc_id % 9 = 1 THEN 'skipped' ELSE 'ok' END AS outcome FROM documents) SELECT doc_id AS asset_id, outcome, count(*) OVER (PARTITION BY outcome) AS n FROM u")
-def reprocess_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+OUTCOMES = """u AS (SELECT doc_id AS asset_id, lang AS title_match, source AS modality, CASE WHEN doc_id % 9 = 0 THEN 'failed' WHEN doc_id % 9 = 1 THEN 'skipped' WHEN n_chars > 3000 THEN 'index_failed' ELSE 'ok' END AS outcome FROM documents)"""
+
+
+def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index takes no document of over 3000 characters here."""
     m = F.col("doc_id") % 9
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("asset_id"), F.when(m == 0, "failed").when(m == 1, "skipped").otherwise("ok").alias("outcome"))
-    return reports.reprocess_report(d)
+    d = table(spark, sf_dir, "documents")
+    rows = d.select(F.col("doc_id").alias("asset_id"), F.when(m == 0, "failed").when(m == 1, "skipped").otherwise("ok").alias("outcome"), F.col("lang").alias("title_match"), F.col("source").alias("modality"))
+    return reports.with_index(rows, d.filter("n_chars > 3000").select(F.col("doc_id").alias("asset_id")))
+
+
+@query(f"WITH {OUTCOMES} SELECT asset_id, outcome, title_match, modality, count(*) OVER (PARTITION BY outcome, title_match, modality) AS n FROM u")
+def reprocess_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.reprocess_report(_outcomes(spark, sf_dir))
+
+
+@query(f"WITH {OUTCOMES} SELECT CAST(asset_id AS VARCHAR) AS value FROM u WHERE outcome IN ('failed', 'index_failed')")
+def failed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as lines and read again, as the next run does."""
+    at = folders.fresh(spark, "failed")
+    reports.failed_ids(_outcomes(spark, sf_dir)).write.text(at)
+    return spark.read.text(at)
 
 
 @query("SELECT doc_id AS asset_id FROM documents WHERE doc_id % 4 IN (0, 2) AND doc_id % 10 = 0 AND source <> 'src3' AND doc_id % 3 <> 0")

@@ -20,6 +20,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def short(rows: DataFrame, most: int = 10_000) -> DataFrame:
+    """rows, marked for a broadcast where they are at most so many; a longer list takes what Spark chooses."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def in_order(df: DataFrame, order: list[Column], out: str = "pos") -> DataFrame:
     """df with out: the row's number from 0. Ranges of rows are sorted each by itself; a range starts where the counts of those
     before it end. Rows that are equal in the order are numbered in any order."""
