@@ -330,7 +330,7 @@ def test_op10_packing_takes_added_tokens_as_the_tokenizer_does(spark, tmp_path):
     assert got == {i: (len(ids), zlib.crc32(ids.tobytes())) for i, ids in expect.items()}
 
 
-def test_pipeline_keeps_and_drops(spark, tmp_path):
+def test_chain_keeps_and_drops(spark, tmp_path):
     import corpus_pipeline
 
     rng = np.random.default_rng(9)
