@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.llm.common import few, numbered, unique_ids
+from catalith.llm.common import few, materialize, numbered, unique_ids
 
 #: Token positions that a seed looks at (1); it ignores the others, where a word may be another. Every segment of LEAST equal tokens
 #: that counts, in an item of any length over BRIEF, shows one of the two all its ones; a test goes through all substitutions.
@@ -73,15 +73,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text
     sown = reduce(DataFrame.unionByName, [seeds(items.filter(which), [(i, m) for i, m in masks if m in mine], ["_item", "words"]) for mine, which in own])
     sown = sown.select("h", "_item", F.col("p").alias("_q"), F.size("words").alias("n_item"))
     tokens = items.select("_item", F.col("words").alias("_tokens"))
-    rows = unique_ids(docs.select(key, text), key, text).select(F.col("_rid").alias("_doc"), F.col(key).alias("_key"), words_of(F.col(text)).alias("words"))
+    rows = unique_ids(docs.select(key, text), key, text).select(F.col("_rid").alias("_doc"), F.col(key).alias("_key"), F.col(text).alias("_text"))
     if sown.count() <= MOST_SEEDS:
         sown, tokens = F.broadcast(sown), F.broadcast(tokens)
-        hits = seeds(rows, masks, ["_doc", "_key", "words"]).join(sown, "h")
-    else:
-        hits = seeds(rows, masks, ["_doc", "words"]).select("h", "_doc", "p").join(sown, "h").select("_doc", "_item", "n_item", (F.col("p") - F.col("_q")).alias("p"), F.lit(0).alias("_q")).distinct().join(rows, "_doc")
-    first = F.col("p") - F.col("_q")
+    # A word that a text repeats has many equal seeds; they are one row for each way of laying an item on it before anything is laid.
+    hits = seeds(rows.select("_doc", words_of(F.col("_text")).alias("words")), masks, ["_doc", "words"]).select("h", "_doc", "p").join(sown, "h")
+    places = few(hits.select("_doc", "_item", "n_item", (F.col("p") - F.col("_q")).alias("start")).distinct())
+    hit = materialize(rows.join(few(places.select("_doc").distinct()), "_doc", "left_semi").select("_doc", "_key", words_of(F.col("_text")).alias("words")))
+    first = F.col("start")
     skipped = F.greatest(-first, F.lit(0))
-    laid = hits.select("_doc", "_key", "_item", "n_item", first.alias("start"), skipped.alias("_skip"), F.slice("words", F.greatest(first, F.lit(0)) + 1, F.col("n_item") - skipped).alias("_own")).join(tokens, "_item")
+    laid = hit.join(places, "_doc").select("_doc", "_key", "_item", "n_item", first, skipped.alias("_skip"), F.slice("words", F.greatest(first, F.lit(0)) + 1, F.col("n_item") - skipped).alias("_own"))
+    laid = laid.repartition("_doc", "_item", "start").join(tokens, "_item")  # one text's places are many tasks' work
     beneath = F.slice("_tokens", F.col("_skip") + 1, F.size("_own"))
     all_equal = F.size(F.filter(F.zip_with("_own", beneath, lambda a, b: a == b), lambda e: F.coalesce(e, F.lit(False))))
     n = F.when(F.col("n_item") <= BRIEF, all_equal).otherwise(aligned(F.col("_own"), beneath))

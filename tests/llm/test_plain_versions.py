@@ -138,3 +138,17 @@ def test_the_plan_is_best_fit():
             for parts in used.values():
                 parts.sort()
                 assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:], strict=False)) and parts[-1][0] + parts[-1][1] <= size
+
+
+def test_texts_of_one_word_take_seconds(spark):
+    """Four thousand equal words against an item of three hundred, and items of which a part repeats."""
+    import time
+
+    from catalith.llm import decontaminate
+
+    docs = [(1, "x " * 4_000), (2, "x " * 10), (3, "y x x x x " * 300), (4, "a b c d e f g " + "x " * 12 + "h i j k l m n"), (5, None)]
+    items = [(1, "x " * 300), (2, "x " * 8), (3, "d e f g x x x x x x x x x x x x h i j k"), (4, "q r s t")]
+    start = time.time()
+    got = {(r["doc_id"], r["item_id"]): (r["n_equal"], r["n_item"]) for r in decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert time.time() - start < 150  # it was over ten minutes
+    assert got[1, 1] == (300, 300) and got[1, 2] == (8, 8) and got[2, 2] == (8, 8) and got[4, 3] == (20, 20) and (2, 1) not in got and not any(i == 4 for _, i in got)
