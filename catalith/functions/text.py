@@ -47,10 +47,16 @@ def head_of(text: Column, chars: int = HEAD_CHARS) -> Column:
     return F.substring(text, 1, chars)
 
 
+def decoded_head(head: Column) -> Column:
+    """Bytes as text without those that are no UTF-8, as where a head ends within a character. A replacement character that stands
+    in the bytes themselves becomes a question mark, so that it isn't taken for such a byte."""
+    return F.replace(F.make_valid_utf8(F.replace(head.cast("string"), F.lit("\ufffd"), F.lit("?"))), F.lit("\ufffd"), F.lit(""))
+
+
 def signature(content: Column) -> Column:
     """dicom, hl7v2 or fhir by the bytes at the beginning; null if none fits. content: binary."""
     head = F.substring(content, 1, HEAD_BYTES)
-    decoded = F.regexp_replace(F.decode(head, "UTF-8"), LEAD, "")
+    decoded = F.regexp_replace(decoded_head(head), LEAD, "")
     kind = F.regexp_extract(decoded, RESOURCE, 1)
     return F.when((F.length(head) >= 132) & (F.substring(head, 129, 4) == F.lit(b"DICM")), "dicom").when(decoded.startswith("MSH|"), "hl7v2").when(kind.isin(*RESOURCES), "fhir")
 
