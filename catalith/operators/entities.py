@@ -68,15 +68,17 @@ def apply_rules(judged: DataFrame, excluded: DataFrame, stop_patterns: list[str]
 
 def contained(judged: DataFrame, registered: DataFrame, words: int = 4) -> DataFrame:
     """(asset_id, entity_type, from_name, to_name): registered names of the same type that stand in a judged name as whole words.
-    Names are cut into runs of up to `words` words and joined on them; names of more words are found by their first ones."""
+    Names are cut into runs of up to `words` words and joined on them; names of more words are found by their first ones. Judged rows
+    are dealt by asset first, so rows that repeat meet in one of many tasks, each of a share that doesn't grow with the table."""
     gram = lambda c, n: F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.array_join(F.slice(c, i + 1, n), " "))
     parts = F.split(F.lower(F.trim("name")), r"\s+")
-    rows = judged.select("asset_id", "entity_type", "name", parts.alias("_w"))
+    rows = judged.select("asset_id", "entity_type", "name").repartition("asset_id").select("asset_id", "entity_type", "name", parts.alias("_w"))
     grams = F.flatten(F.array(*[F.when(F.size("_w") >= n, gram(F.col("_w"), n)).otherwise(F.array().cast("array<string>")) for n in range(1, words + 1)]))
     flat = rows.select("asset_id", "entity_type", F.col("name").alias("from_name"), F.array_join("_w", " ").alias("_text"), F.explode(F.array_distinct(grams)).alias("_gram"))
     names = registered.select("entity_type", F.col("name").alias("to_name"), F.array_join(F.split(F.lower(F.trim("name")), r"\s+"), " ").alias("_full")).filter("_full <> ''")
     names = names.withColumn("_gram", F.array_join(F.slice(F.split("_full", " "), 1, words), " "))
-    hit = flat.join(names, ["entity_type", "_gram"]).filter(F.concat(F.lit(" "), "_text", F.lit(" ")).contains(F.concat(F.lit(" "), F.col("_full"), F.lit(" "))) & (F.col("_full") != F.col("_text")))
+    # The runs are many more than their file's size says: they are never the side that is broadcast.
+    hit = flat.hint("merge").join(short(names), ["entity_type", "_gram"]).filter(F.concat(F.lit(" "), "_text", F.lit(" ")).contains(F.concat(F.lit(" "), F.col("_full"), F.lit(" "))) & (F.col("_full") != F.col("_text")))
     return hit.select("asset_id", "entity_type", "from_name", "to_name").distinct()
 
 
