@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.operators.relations import nearest
+from catalith.sources.numbering import written
 
 K1, B = 1.2, 0.75
 
@@ -14,20 +17,57 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def bm25(queries: DataFrame, docs: DataFrame, k: int, *, query_text: str = "text", text: str = "text", k1: float = K1, b: float = B) -> DataFrame:
+def bm25(queries: DataFrame, docs: DataFrame, k: int, *, query_text: str = "text", text: str = "text", k1: float = K1, b: float = B, block_queries: int = 256, block_docs: int = 2048) -> DataFrame:
     """(query, id, score, rank): the k best documents of each query by BM25 over the queries' own terms, ties by the smaller id.
 
     Only postings of terms that some query has are built: document terms are filtered by the query terms before they are
-    counted, so the shuffle holds what can match. idf: log(1 + (N - df + 0.5) / (df + 0.5))."""
-    asked = queries.select("query", F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term"))
+    counted, so the shuffle holds what can match. idf: log(1 + (N - df + 0.5) / (df + 0.5)).
+
+    Queries and documents are dealt into blocks by their counts, and a posting goes to the blocks of queries that have its term. A block of each
+    meets in one task as a product of two matrices that keeps k rows a query, and the block winners are ranked again: a common term costs
+    its postings, not its postings times its queries, and no task holds all of a term's."""
+    asked, held = (max(1, -(-df.count() // size)) for df, size in ((queries, block_queries), (docs, block_docs)))
+    said = queries.select("query", F.explode(F.array_distinct(terms(F.col(query_text)))).alias("term"))
+    numbers = written(said.select("term").distinct().withColumn("t", F.monotonically_increasing_id()), "terms")
+    own = written(said.join(numbers, "term").select("query", "t", F.pmod(F.xxhash64("query"), F.lit(asked)).cast("int").alias("_q")), "asked")
     rows = docs.select("id", terms(F.col(text)).alias("_t"))
-    sized = rows.select("id", F.size("_t").alias("dl"))
-    stats = sized.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    tf = rows.select("id", F.size("_t").alias("dl"), F.explode("_t").alias("term")).join(asked.select("term").distinct(), "term", "left_semi").groupBy("id", "term", "dl").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    weight = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    scored = asked.join(tf, "term").join(df, "term").join(F.broadcast(stats)).groupBy("query", "id").agg(F.round(F.sum(weight), 9).alias("score"))
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("rank") <= k)
+    stats = written(rows.agg(F.count("*").alias("n"), F.avg(F.size("_t")).alias("avgdl")), "sizes")
+    tf = rows.select("id", F.size("_t").alias("dl"), F.explode("_t").alias("term")).join(numbers, "term").groupBy("id", "t", "dl").agg(F.count("*").alias("tf"))
+    w = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+    tf = written(tf.join(F.broadcast(stats)).select("id", "t", w.alias("w")), "postings")
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    left = own.join(tf.groupBy("t").agg(F.count("*").alias("df")), "t").join(F.broadcast(stats)).select("query", "t", "_q", idf.alias("idf"))
+    left = left.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(held - 1))))
+    right = tf.join(own.select("t", F.col("_q").alias("_p")).distinct(), "t").withColumn("_d", F.pmod(F.xxhash64("id"), F.lit(held)).cast("int"))
+
+    def best(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(q) and len(d):
+            known, col = np.unique(q["t"].to_numpy(), return_inverse=True)
+            names, who = np.unique(q["query"].to_numpy(), return_inverse=True)
+            share = np.zeros((len(known), len(names)))
+            share[col, who] = q["idf"].to_numpy()
+            ids, row = np.unique(d["id"].to_numpy(), return_inverse=True)
+            order = np.argsort(row, kind="stable")
+            row, at, weights = row[order], np.searchsorted(known, d["t"].to_numpy())[order], d["w"].to_numpy()[order]
+            total = np.empty((len(ids), len(names)))
+            step = max(1, (1 << 21) // len(known))  # documents whose weights stand in one matrix
+            for i in range(0, len(ids), step):
+                a, z = np.searchsorted(row, [i, i + step])
+                part = np.zeros((min(step, len(ids) - i), len(known)))
+                np.add.at(part, (row[a:z] - i, at[a:z]), weights[a:z])
+                total[i : i + step] = part @ share
+            some = total > 0
+            total = np.where(some, np.round(total, 9), -np.inf)
+            top = np.argsort(-total, axis=0, kind="stable")[:k]  # ids ascend, so of equal scores the smaller id is first
+            for j, name in enumerate(names):
+                hit = top[:, j][np.isfinite(total[top[:, j], j])]
+                out.append(pd.DataFrame({"query": name, "id": ids[hit], "score": total[hit, j]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": [], "id": [], "score": []})
+
+    kinds = f"query {queries.schema['query'].dataType.simpleString()}, id {docs.schema['id'].dataType.simpleString()}, score double"
+    local = left.groupBy("_q", "_c").cogroup(right.groupBy("_p", "_d")).applyInPandas(best, kinds).withColumn("score", F.round("score", 9))
+    return local.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("rank") <= k)
 
 
 def containing(docs: DataFrame, passages: DataFrame, *, words: int = 7) -> DataFrame:
