@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from catalith.operators.state import latest, ordered
 from catalith.sources import versions
+from catalith.sources.numbering import written
 
 BUCKET = "_bucket"
 
@@ -104,7 +105,9 @@ def follow(stream: DataFrame, checkpoint: str, name: str, steps: Callable[[DataF
 
 def record_classifications(results: DataFrame, classified: str, assets: str, *, stream: str | None = None, batch: int | None = None) -> None:
     """Results (asset_id, label, confidence and what else) merged by asset into the snapshot of classifications, and label and confidence mirrored onto
-    assets that are known. Both snapshots have the batch in their ledgers; after a crash between the two the first is passed over."""
+    assets that are known. Both snapshots have the batch in their ledgers; after a crash between the two the first is passed over.
+    Results are made once and written, not again for each of the two."""
+    results = written(results, "results")
     merge(results, classified, ["asset_id"], stream=stream, batch=batch)
     mirror = results.select("asset_id", F.col("label").alias("domain_label"), F.col("confidence").alias("domain_confidence"))
     merge(mirror, assets, ["asset_id"], insert=False, stream=stream, batch=batch)
