@@ -11,10 +11,17 @@ from catalith.operators.relations import nearest
 from catalith.sources.numbering import written
 
 K1, B = 1.2, 0.75
+#: What stands between two terms.
+BETWEEN = r"[^\p{L}\p{N}]+"
 
 
 def terms(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
+
+
+def spaced(text: Column) -> Column:
+    """The terms of a text, one space between two."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BETWEEN, " "))
 
 
 def bm25(queries: DataFrame, docs: DataFrame, k: int, *, query_text: str = "text", text: str = "text", k1: float = K1, b: float = B, block_queries: int = 256, block_docs: int = 2048) -> DataFrame:
