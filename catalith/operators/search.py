@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,15 +80,19 @@ def bm25(queries: DataFrame, docs: DataFrame, k: int, *, query_text: str = "text
     return local.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("rank") <= k)
 
 
+def _words(text: str) -> Column:
+    return F.array_remove(F.split(text, r"\s+"), "")
+
+
 def containing(docs: DataFrame, passages: DataFrame, *, words: int = 7) -> DataFrame:
     """(query, id): documents (id, text) that hold a passage (query, text) whole. The words after a passage's first one, seven or as
     many as it has before its last, are looked up among the documents' runs of as many words; what is found is compared whole. So a
-    document meets only passages that it shares such a run with. A passage of under three words is looked for nowhere."""
-    split = lambda c: F.array_remove(F.split(c, r"\s+"), "")
-    own = passages.select("query", F.col("text").alias("_passage"), split(F.col("text")).alias("_w")).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2)).filter("_n > 0")
+    document meets only passages that it shares such a run with. A passage of under three words has no such run and isn't looked for
+    here: containing_any looks for all."""
+    own = passages.select("query", F.col("text").alias("_passage"), _words("text").alias("_w")).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2)).filter("_n > 0")
     probes = own.select("query", "_passage", "_n", F.xxhash64("_n", F.slice("_w", F.lit(2), F.col("_n"))).alias("_h"))
     lengths = sorted(r[0] for r in probes.select("_n").distinct().collect())  # words values at most
-    rows = docs.select("id", "text", split(F.col("text")).alias("_w"))
+    rows = docs.select("id", "text", _words("text").alias("_w"))
 
     def runs(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1)))
@@ -96,6 +103,66 @@ def containing(docs: DataFrame, passages: DataFrame, *, words: int = 7) -> DataF
     return hits.join(docs.select("id", "text"), "id").filter(F.col("text").contains(F.col("_passage"))).select("query", "id").distinct()
 
 
+def _scan(asked: pa.Table, most: int = 1 << 16) -> Callable[[pa.Table | pa.RecordBatch], Iterator[pa.Table]]:
+    """A function from documents (id, text) to tables (query, id) of what of asked (query, text) stands in them. Texts are bytes, so that those
+    that are no UTF-8 are compared too; about most rows a table."""
+    import ahocorasick
+
+    rows: dict[bytes, list[int]] = {}
+    for i, text in enumerate(asked["text"].to_pylist()):
+        rows.setdefault(text, []).append(i)
+    everywhere, of = rows.pop(b"", []), list(rows.values())
+    automaton = ahocorasick.Automaton()
+    for n, text in enumerate(rows):
+        automaton.add_word(text.decode("latin-1"), n)  # a character a byte
+    if of:
+        automaton.make_automaton()
+
+    def scan(docs: pa.Table | pa.RecordBatch) -> Iterator[pa.Table]:
+        told = lambda q, d: pa.table({"query": asked["query"].take(pa.array(q, pa.int64())), "id": docs["id"].take(pa.array(d, pa.int64()))})
+        which, where = [], []
+        for row, text in enumerate(docs["text"]):
+            hits = {n for _, n in automaton.iter(text.as_py().decode("latin-1"))} if of else ()
+            own = everywhere + [i for n in hits for i in of[n]]
+            which += own
+            where += [row] * len(own)
+            if len(which) >= most:
+                yield told(which, where)
+                which, where = [], []
+        yield told(which, where)
+
+    return scan
+
+
+def containing_any(docs: DataFrame, passages: DataFrame, *, words: int = 7, list_bytes: int = 1 << 20, doc_bytes: int = 1 << 23) -> DataFrame:
+    """(query, id) as containing gives them, and also of passages of under three words, empty ones among them. Such a passage may stand
+    within words, so an automaton of all of them reads each document once. A list of up to list_bytes goes where the documents are read; of a
+    longer one blocks of that size meet blocks of documents, in one task each two."""
+    found = containing(docs, passages, words=words)
+    few = passages.filter(F.size(_words("text")) < 3).select("query", F.col("text").cast("binary").alias("text"))
+    size = few.agg(F.sum(F.octet_length("text") + 16)).first()[0]
+    if size is None:
+        return found
+    texts = docs.filter("text is not null").select("id", F.col("text").cast("binary").alias("text"))
+    kinds = f"query {passages.schema['query'].dataType.simpleString()}, id {docs.schema['id'].dataType.simpleString()}"
+    if size <= list_bytes:
+        listed = few.toArrow()
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scan = _scan(listed)
+            for batch in batches:
+                for out in scan(batch):
+                    yield from out.to_batches()
+
+        short = texts.mapInArrow(read, kinds)
+    else:
+        asked, held = -(-size // list_bytes), max(1, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // doc_bytes))
+        left = few.withColumn("_q", F.pmod(F.xxhash64("query", "text"), F.lit(asked)).cast("int")).withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(held - 1))))
+        right = texts.withColumn("_d", F.pmod(F.xxhash64("id"), F.lit(held)).cast("int")).withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(asked - 1))))
+        short = left.groupBy("_q", "_d").cogroup(right.groupBy("_q", "_d")).applyInArrow(lambda a, b: pa.concat_tables(_scan(a)(b)), kinds)
+    return found.unionByName(short).distinct()
+
+
 def by_modality(queries: DataFrame, corpus: DataFrame, k: int, excluded: tuple[str, ...] = (), **options) -> DataFrame:
     """The k nearest inside each modality, without the excluded domains: both cuts are made before the ranking."""
     rows = corpus.filter(~F.col("domain_label").isin(*excluded)) if excluded else corpus
@@ -142,7 +209,7 @@ def modalities(raw: str, known: tuple[str, ...] = ("text", "image", "video", "au
 def metrics(ranked: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
     """(query, recall, precision, mrr, ndcg, nonrelevant_mean_rank, nonrelevant_exposure) of the first k of each query that has a
     relevant id; a query without results has zeros, and null where nothing non-relevant was shown."""
-    r = relevant.select("query", "id").distinct()
+    r = written(relevant.select("query", "id").distinct(), "relevant")
     sizes = r.groupBy("query").agg(F.count("*").alias("n"))
     rows = ranked.select("query", "id", "rank").join(r.withColumn("_r", F.lit(1)), ["query", "id"], "left").withColumn("_hit", F.coalesce("_r", F.lit(0)))
     top = F.col("rank") <= k

@@ -62,7 +62,7 @@ def fused_search(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT n.query, round(coalesce(hits / n, 0), 6) AS recall, round(coalesce(hits / 5, 0), 6) AS precision, round(coalesce(1 / first, 0), 6) AS mrr, round(coalesce(dcg / list_sum(list_transform(range(1, least(n, 5) + 1), lambda i: 1 / log2(i + 1))), 0), 6) AS ndcg, round(mean_rank, 6) AS nonrelevant_mean_rank, round(coalesce(shown / 5, 0), 6) AS nonrelevant_exposure FROM n LEFT JOIN a USING (query)""")
 def search_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), "text")
-    rel = search.containing(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), b)
+    rel = search.containing_any(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), b)
     m = search.metrics(_bm25(spark, sf_dir), rel, 5)
     return m.select("query", *[F.round(c, 6).alias(c) for c in m.columns if c != "query"])
 
